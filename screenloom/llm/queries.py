@@ -5,11 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from screenloom.llm.clusters import describe_clusters, linked_clusters, pivot_clusters, points
 from screenloom.llm.leaks import leaked_passages, reworded_passages
 from screenloom.llm.topn import top_n
 from screenloom.session import load
 
 
+COORDINATES = [f"delta_pc{k}" for k in range(1, 13)]
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    pts = points(load(spark, d, "perturbation_clusters"), "perturbation", COORDINATES)
+    rows = linked_clusters(pts, 1.0).select("component", "name").distinct()
+    found = rows.groupBy("component").agg(F.min("name").alias("perturbation_a"), F.count(F.lit(1)).alias("n")).where("n >= 3")
+    out = rows.join(found, "component").where("name <> perturbation_a")
+    return out.select("perturbation_a", F.col("name").alias("perturbation_b"))
+
+
+def p3_clusters(spark: SparkSession, d: str) -> DataFrame:
+    pts = points(load(spark, d, "perturbation_clusters"), "perturbation", COORDINATES)
+    members, _ = pivot_clusters(pts, 1.0)
+    return describe_clusters(members)
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_top_genes(spark, d).select("perturbation", "gene")
 
@@ -26,7 +44,7 @@ def p8_reworded(spark: SparkSession, d: str) -> DataFrame:
     return reworded_passages(load(spark, d, "documents"), load(spark, d, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_top_genes, p8_found, p8_reworded)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_clusters, p6_found, p6_top_genes, p8_found, p8_reworded)}
 
 _TOP = """
 WITH v AS (SELECT DISTINCT perturbation, gene, score + 0.0 AS score FROM perturbation_differential_genes
@@ -38,7 +56,17 @@ WITH w AS (SELECT {key}, list_transform(regexp_extract_all(text, '[A-Za-z0-9_]+'
 SELECT DISTINCT {key}, array_to_string(words[s:s + 12], ' ') AS passage
 FROM (SELECT {key}, words, unnest(range(1, len(words) - 11)) AS s FROM w WHERE len(words) >= 13)
 """
+_DIMS = [f"delta_pc{k}" for k in range(1, 13)]
 ORACLES = {
+    "p3_found": f"""
+WITH RECURSIVE p AS (SELECT DISTINCT perturbation AS n, {", ".join(_DIMS)} FROM perturbation_clusters
+  WHERE perturbation IS NOT NULL AND {" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in _DIMS)}),
+e AS (SELECT a.n AS a, b.n AS b FROM p a JOIN p b ON abs(a.delta_pc1 - b.delta_pc1) <= 1
+  AND {" + ".join(f"(a.{c} - b.{c}) ** 2" for c in _DIMS)} <= 1.0),
+c(a, b) AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a),
+m AS (SELECT a AS n, min(b) AS root FROM c GROUP BY a),
+s AS (SELECT root FROM m GROUP BY root HAVING count(*) >= 3)
+SELECT root AS perturbation_a, n AS perturbation_b FROM m WHERE root IN (SELECT root FROM s) AND n <> root""",
     "p6_found": _TOP + "SELECT perturbation, gene FROM r WHERE rank <= 10",
     "p6_top_genes": _TOP + "SELECT perturbation, gene, score, rank FROM r WHERE rank <= 10",
     "p8_found": f"""
