@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from screenloom.llm.clusters import describe_clusters, linked_clusters, pivot_clusters, points
 from screenloom.llm.leaks import leaked_passages, reworded_passages
+from screenloom.llm.percentiles import digit_histogram, merge_histograms, percentiles_of_histogram, radix_percentiles
 from screenloom.llm.topn import top_n
 from screenloom.session import load
 
@@ -14,6 +15,32 @@ from screenloom.session import load
 COORDINATES = [f"delta_pc{k}" for k in range(1, 13)]
 
 
+PERCENTS = [1, 5, 25, 50, 75, 95, 99]
+
+
+def _umi_results(spark: SparkSession, d: str) -> DataFrame:
+    """Partial results of 0 or more, exact redeliveries removed."""
+    rows = load(spark, d, "hct_mixscape_ko_by_umi_decile").distinct()
+    return rows.where("median_guide_umi >= 0 AND NOT isnan(median_guide_umi)")
+
+
+def p2_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    found = radix_percentiles(_umi_results(spark, d), ["dataset", "umi_decile"], "median_guide_umi", PERCENTS)
+    return found.withColumn("max_error", F.lit(0.0))
+
+
+def p2_combined_days(spark: SparkSession, d: str) -> DataFrame:
+    """Percentiles of all days from the states of single days, with the bounds of their error."""
+    daily = digit_histogram(_umi_results(spark, d), ["dataset", "umi_decile", "run_date"], "median_guide_umi")
+    whole = merge_histograms(daily, ["dataset", "umi_decile"])
+    return percentiles_of_histogram(whole, ["dataset", "umi_decile"], PERCENTS)
+
+
+def p2_daily_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    daily = digit_histogram(_umi_results(spark, d), ["dataset", "run_date"], "median_guide_umi")
+    return percentiles_of_histogram(daily, ["dataset", "run_date"], PERCENTS)
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     pts = points(load(spark, d, "perturbation_clusters"), "perturbation", COORDINATES)
     rows = linked_clusters(pts, 1.0).select("component", "name").distinct()
@@ -44,7 +71,7 @@ def p8_reworded(spark: SparkSession, d: str) -> DataFrame:
     return reworded_passages(load(spark, d, "documents"), load(spark, d, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_clusters, p6_found, p6_top_genes, p8_found, p8_reworded)}
+QUERIES = {f.__name__: f for f in (p2_percentiles, p2_combined_days, p2_daily_percentiles, p3_found, p3_clusters, p6_found, p6_top_genes, p8_found, p8_reworded)}
 
 _TOP = """
 WITH v AS (SELECT DISTINCT perturbation, gene, score + 0.0 AS score FROM perturbation_differential_genes
@@ -58,6 +85,13 @@ FROM (SELECT {key}, words, unnest(range(1, len(words) - 11)) AS s FROM w WHERE l
 """
 _DIMS = [f"delta_pc{k}" for k in range(1, 13)]
 ORACLES = {
+    "p2_percentiles": """
+WITH v AS (SELECT dataset, umi_decile, median_guide_umi AS x FROM (SELECT DISTINCT * FROM hct_mixscape_ko_by_umi_decile)
+  WHERE median_guide_umi >= 0 AND NOT isnan(median_guide_umi)),
+r AS (SELECT *, row_number() OVER (PARTITION BY dataset, umi_decile ORDER BY x) AS k, count(*) OVER (PARTITION BY dataset, umi_decile) AS n FROM v),
+q AS (SELECT unnest([1, 5, 25, 50, 75, 95, 99])::INTEGER AS percentile)
+SELECT dataset, umi_decile, percentile, n AS n_values, x + 0.0 AS value, 0.0::DOUBLE AS max_error
+FROM r JOIN q ON k = greatest(1, (n * percentile + 99) // 100)""",
     "p3_found": f"""
 WITH RECURSIVE p AS (SELECT DISTINCT perturbation AS n, {", ".join(_DIMS)} FROM perturbation_clusters
   WHERE perturbation IS NOT NULL AND {" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in _DIMS)}),
