@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from screenloom.llm.clusters import describe_clusters, linked_clusters, pivot_clusters, points
 from screenloom.llm.leaks import leaked_passages, reworded_passages
+from screenloom.llm.packing import fill_containers, fill_report, token_counts
 from screenloom.llm.percentiles import digit_histogram, merge_histograms, percentiles_of_histogram, radix_percentiles
 from screenloom.llm.topn import top_n
 from screenloom.session import load
@@ -63,6 +64,24 @@ def p6_top_genes(spark: SparkSession, d: str) -> DataFrame:
     return top_n(load(spark, d, "perturbation_differential_genes"), "perturbation", "gene", "score", 10)
 
 
+def _placed(spark: SparkSession, d: str, capacity: int) -> DataFrame:
+    sizes = token_counts(load(spark, d, "documents").select("doc_id", "text"), "text")
+    return fill_containers(sizes, "doc_id", "n_tokens", capacity)
+
+
+def p7_pack_2048(spark: SparkSession, d: str) -> DataFrame:
+    return _placed(spark, d, 2048)
+
+
+def p7_pack_8192(spark: SparkSession, d: str) -> DataFrame:
+    return _placed(spark, d, 8192)
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    reports = [fill_report(_placed(spark, d, c), c).withColumn("capacity", F.lit(c)) for c in (2048, 8192)]
+    return reports[0].unionByName(reports[1])
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaked_passages(load(spark, d, "documents"), load(spark, d, "eval_items"))
 
@@ -71,7 +90,7 @@ def p8_reworded(spark: SparkSession, d: str) -> DataFrame:
     return reworded_passages(load(spark, d, "documents"), load(spark, d, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p2_percentiles, p2_combined_days, p2_daily_percentiles, p3_found, p3_clusters, p6_found, p6_top_genes, p8_found, p8_reworded)}
+QUERIES = {f.__name__: f for f in (p2_percentiles, p2_combined_days, p2_daily_percentiles, p3_found, p3_clusters, p6_found, p6_top_genes, p7_pack_2048, p7_pack_8192, p7_fill, p8_found, p8_reworded)}
 
 _TOP = """
 WITH v AS (SELECT DISTINCT perturbation, gene, score + 0.0 AS score FROM perturbation_differential_genes
