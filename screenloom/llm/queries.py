@@ -9,6 +9,7 @@ from screenloom.llm.clusters import describe_clusters, linked_clusters, pivot_cl
 from screenloom.llm.leaks import leaked_passages, reworded_passages
 from screenloom.llm.packing import fill_containers, fill_report, token_counts
 from screenloom.llm.percentiles import digit_histogram, merge_histograms, percentiles_of_histogram, radix_percentiles
+from screenloom.llm.subjects import composition, main_subjects, subject_words
 from screenloom.llm.topn import top_n
 from screenloom.session import load
 
@@ -90,7 +91,19 @@ def p8_reworded(spark: SparkSession, d: str) -> DataFrame:
     return reworded_passages(load(spark, d, "documents"), load(spark, d, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p2_percentiles, p2_combined_days, p2_daily_percentiles, p3_found, p3_clusters, p6_found, p6_top_genes, p7_pack_2048, p7_pack_8192, p7_fill, p8_found, p8_reworded)}
+def _subjects(spark: SparkSession, d: str) -> DataFrame:
+    return subject_words(load(spark, d, "documents"), load(spark, d, "subject_areas"), load(spark, d, "eval_items"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return main_subjects(_subjects(spark, d)).select("doc_id", "subject")
+
+
+def p9_composition(spark: SparkSession, d: str) -> DataFrame:
+    return composition(_subjects(spark, d))
+
+
+QUERIES = {f.__name__: f for f in (p2_percentiles, p2_combined_days, p2_daily_percentiles, p3_found, p3_clusters, p6_found, p6_top_genes, p7_pack_2048, p7_pack_8192, p7_fill, p8_found, p8_reworded, p9_found, p9_composition)}
 
 _TOP = """
 WITH v AS (SELECT DISTINCT perturbation, gene, score + 0.0 AS score FROM perturbation_differential_genes
