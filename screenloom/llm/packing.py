@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from screenloom.session import cut
+
 #: Where the public tokenizer's ranks lie on every worker; a parameter, never a copy.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Pieces that one task packs together, about.
@@ -125,7 +127,8 @@ def fill_containers(sizes: DataFrame, key: str, size: str, capacity: int, group:
     zero or null have one row without a container. Items with equal keys are packed as separate
     items. An empty input gives an empty result.
     """
-    rows = sizes.select(F.col(key).alias("k"), F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("n"))
+    # Two numbers an item, kept, so that counting and both branches don't measure the texts again.
+    rows = cut(sizes.select(F.col(key).alias("k"), F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("n")), "sizes")
     count = rows.count()
     groups = max(1, -(-count // group))
     pieces = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / capacity)))
