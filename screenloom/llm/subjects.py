@@ -94,7 +94,7 @@ def boilerplate(docs: DataFrame, text: str, share: float = 0.01) -> list[str]:
     parts = F.filter(F.split(F.col(text), "[.\n\r]+"), lambda s: F.length(s) > 2 * PHRASE)
     said = docs.select(F.explode(F.array_distinct(F.transform(parts, clean))).alias("s"))
     said = said.where(F.length(F.regexp_replace("s", "[^ ]", "")) >= PHRASE - 1)
-    said = said.groupBy(F.xxhash64("s").alias("h")).agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("s"))
+    said = said.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
     total = docs.where(F.col(text).isNotNull()).agg(F.count(F.lit(1))).scalar()
     return [r.s for r in said.where(F.col("n") >= F.lit(share) * total).select("s").collect()]
 
