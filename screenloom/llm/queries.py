@@ -11,7 +11,7 @@ from screenloom.llm.packing import fill_containers, fill_report, token_counts
 from screenloom.llm.percentiles import digit_histogram, merge_histograms, percentiles_of_histogram, radix_percentiles
 from screenloom.llm.subjects import composition, main_subjects, subject_words
 from screenloom.llm.topn import top_n
-from screenloom.session import cut, load
+from screenloom.session import load
 
 
 COORDINATES = [f"delta_pc{k}" for k in range(1, 13)]
@@ -23,8 +23,7 @@ PERCENTS = [1, 5, 25, 50, 75, 95, 99]
 def _umi_results(spark: SparkSession, d: str) -> DataFrame:
     """Partial results of 0 or more, exact redeliveries removed."""
     rows = load(spark, d, "hct_mixscape_ko_by_umi_decile").where("median_guide_umi >= 0 AND NOT isnan(median_guide_umi)")
-    # Kept, so that the passes of a selection don't each remove the repeats again.
-    return cut(rows.distinct().select("dataset", "umi_decile", "run_date", "median_guide_umi"), "umi")
+    return rows.distinct()
 
 
 def p2_percentiles(spark: SparkSession, d: str) -> DataFrame:
