@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from screenloom.plans import dealt
+from screenloom.plans import catalog, dealt
 
-FLAGSHIP = "p4_found"
-QUERIES = {**dealt.QUERIES}
-ORACLES = {**dealt.ORACLES}
+FLAGSHIP = "c11_global_de"
+QUERIES = {**dealt.QUERIES, **catalog.QUERIES}
+ORACLES = {**dealt.ORACLES, **catalog.ORACLES}

@@ -57,6 +57,7 @@ def same(spark, query, sql: str, d: str) -> str:
 
 
 def main() -> None:
+    import re
     import time
 
     import __spark_entry__ as e
@@ -64,14 +65,15 @@ def main() -> None:
 
     spark, d, names = make_session(), sys.argv[1], sys.argv[2:]
     q, o = e.queries(), e.oracle_sql()
-    for name in names or q:
-        if name.endswith("*"):
-            continue
+    for name in [n for n in q if any(re.fullmatch(p, n) for p in names)] if names else q:
         t = time.time()
-        if name in o:
+        try:
+          if name in o:
             out = same(spark, q[name], o[name], d) or "ok"
-        else:
+          else:
             out = f"rows only: {q[name](spark, d).count()}"
+        except Exception as x:
+            out = f"ERROR {type(x).__name__} {str(x)[:600]}"
         print(f"{name}: {out} ({time.time() - t:.1f} s)", flush=True)
 
 
