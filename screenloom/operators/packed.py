@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,23 +120,26 @@ def split_packed(
     count: str = "n_places",
 ) -> DataFrame:
     """One row per place of ``column`` with its position (from 1), its text and the number of
-    places; the input's other columns are kept.
+    places, in place of the column; the input's other columns are kept.
 
     A null field gives no row; an empty or blank one gives one empty place. Repeated rows come
     out repeated. An input column that has the name of a new one is kept as ``<name>_input``.
     The walk is linear in the text's length and holds one field at a time; rows stay in their
-    partition, so nothing is shuffled.
+    partition, so nothing is shuffled, and leave in batches of bounded size.
     """
     made = {position.lower(), value.lower(), count.lower()}
     renamed = [free_name(f"{f.name}_input", df.columns) if f.name.lower() in made else f.name for f in df.schema]
     source = renamed[df.columns.index(column)]
     df = df.toDF(*renamed)
+    fields = [f for f in df.schema.fields if f.name != source]
     schema = T.StructType(
-        [*df.schema.fields, T.StructField(position, T.IntegerType()), T.StructField(value, T.StringType()), T.StructField(count, T.IntegerType())]
+        [*fields, T.StructField(position, T.IntegerType()), T.StructField(value, T.StringType()), T.StructField(count, T.IntegerType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rest = pa.Table.from_batches([batch]).drop_columns([source])
+            size = _batch_rows(rest)
             rows, at, texts, counts = [], [], [], []
             for i, text in enumerate(batch.column(source).to_pylist()):
                 if text is not None:
@@ -144,19 +148,26 @@ def split_packed(
                     at += range(1, len(places) + 1)
                     texts += places
                     counts += [len(places)] * len(places)
-            kept = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array(at, pa.int32()), pa.array(texts, pa.string()), pa.array(counts, pa.int32())],
-                names=schema.names,
-            )
+            for k in range(0, len(rows), size):
+                kept = rest.take(pa.array(rows[k : k + size], pa.int64())).combine_chunks()
+                new = [pa.array(at[k : k + size], pa.int32()), pa.array(texts[k : k + size], pa.string()), pa.array(counts[k : k + size], pa.int32())]
+                columns = [c.chunk(0) if c.num_chunks else c.combine_chunks() for c in kept.columns]
+                yield pa.RecordBatch.from_arrays([*columns, *new], names=schema.names)
 
     return df.where(F.col(source).isNotNull()).mapInArrow(run, schema)
 
 
+def _batch_rows(table: pa.Table) -> int:
+    """Rows of a batch of some 64 MB if all were as long as the longest."""
+    longest = 64
+    for c in table.columns:
+        text = pa.types.is_string(c.type) or pa.types.is_binary(c.type)
+        longest += (pc.max(pc.binary_length(c)).as_py() or 0) if text else 16 if c.type.num_fields == 0 else c.nbytes
+    return max(1, min(10_000, (64 << 20) // longest))
+
+
 def whole_number(column: Column | str) -> Column:
     """The whole number that a place means (``485`` and ``485.0``), or null."""
     column = F.col(column) if isinstance(column, str) else column
     digits = F.regexp_extract(column, r"^\s*(\d+)(?:\.0*)?\s*$", 1)
     return F.when(digits != "", digits.try_cast("bigint"))
-
-
