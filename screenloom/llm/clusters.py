@@ -120,7 +120,8 @@ def _runs(table: pa.Table, names: list[str]) -> Iterator[dict[str, np.ndarray]]:
     flat = table.column("x").combine_chunks()
     x = flat.flatten().to_numpy().reshape(len(cells), -1)
     for a, b in zip(starts, ends):
-        if b - a > 1:
+        # A home point whose neighbours have all been absorbed stands alone and is asked too.
+        if columns["home"][a:b].any():
             yield {n: c[a:b] for n, c in columns.items()} | {"x": x[a:b]}
 
 
