@@ -10,7 +10,7 @@ component. A document's mixture is then the expected number of its words per sub
 Terms are the parts of identifiers and words (split at case changes, digits and underscores), in
 lower case and singular. Before they are cut, passages that point to no subject are blanked:
 sentences found in ``boilerplate_share`` of all texts (licence headers and texts) and passages of
-given other texts (evaluation items), both by windows of ``PHRASE`` words.
+given other texts (evaluation items), the latter by windows of ``PHRASE`` words.
 
 Null and empty texts have no subject. Repeated rows count as documents of their own. Terms in
 fewer than ``min_docs`` documents cannot be placed and are no evidence.
@@ -86,23 +86,54 @@ def _phrases(texts: list[str]) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
 
 
-def boilerplate(docs: DataFrame, text: str, share: float = 0.01) -> list[str]:
-    """Sentences (runs between line ends and full stops) of ``PHRASE`` words or more found in at
-    least ``share`` of the texts. There are at most (sentences per text) / share of them,
-    whatever the size of the corpus; all texts are counted, with partial sums."""
-    clean = lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9_]+", " "))
-    parts = F.filter(F.split(F.col(text), "[.\n\r]+"), lambda s: F.length(s) > 2 * PHRASE)
-    said = docs.select(F.explode(F.array_distinct(F.transform(parts, clean))).alias("s"))
-    said = said.where(F.length(F.regexp_replace("s", "[^ ]", "")) >= PHRASE - 1)
-    said = said.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+_STOPS = np.zeros(256, bool)
+_STOPS[[10, 13, 46]] = True
+
+
+def _sentences(w: Words, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, word after the last, hash) of each sentence of ``PHRASE`` words or more."""
+    if not len(w.start):
+        return w.start, w.start, w.hash
+    part = np.cumsum(_STOPS[w.text])[w.start]
+    first = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])])
+    last = np.r_[first[1:], len(part)]
+    keep = last - first >= PHRASE
+    first, last = first[keep], last[keep]
+    up, down = _powers(max(2, len(part)))
+    sums = np.zeros(len(part) + 1, np.uint64)
+    np.cumsum(w.hash * up[: len(part)], out=sums[1:])
+    return first, last, _mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+
+
+def boilerplate(docs: DataFrame, text: str, share: float = 0.01) -> np.ndarray:
+    """Hashes of the sentences (runs between line ends and full stops) of ``PHRASE`` words or
+    more found in at least ``share`` of the texts. There are at most (sentences per text) /
+    share of them, whatever the size of the corpus; all texts are counted, once for each
+    different sentence (a text longer than a segment once for each segment), with partial sums."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for _, offsets, data in segments(list(range(len(texts))), texts, 1):
+                w = Words(data)
+                owner = np.searchsorted(np.array(offsets), w.start, "right") - 1
+                first, _, h = _sentences(w, owner)
+                if len(first):
+                    said = np.unique(np.stack([owner[first].astype(np.uint64), h], 1), axis=0)[:, 1]
+                    each, n = np.unique(said, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(each.view(np.int64)), pa.array(n.astype(np.int64))], names=["s", "n"])
+
+    said = docs.select(text).mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
     total = docs.where(F.col(text).isNotNull()).agg(F.count(F.lit(1))).scalar()
-    return [r.s for r in said.where(F.col("n") >= F.lit(share) * total).select("s").collect()]
+    found = said.where(F.col("n") >= F.lit(share) * total).select("s").collect()
+    return np.sort(np.array([r.s for r in found], np.int64).view(np.uint64))
 
 
-def document_terms(docs: DataFrame, doc_id: str, text: str, blank: list[str]) -> DataFrame:
+def document_terms(docs: DataFrame, doc_id: str, text: str, blank: list[str], common: np.ndarray) -> DataFrame:
     """(doc_id, terms, counts) of each text with a term; a text cut into segments gives a row
-    for each."""
-    shared, kind = docs.sparkSession.sparkContext.broadcast(_phrases(blank)), dict(docs.dtypes)[doc_id]
+    for each. Passages of the texts ``blank`` and sentences with a hash in ``common`` give no
+    term."""
+    shared, kind = docs.sparkSession.sparkContext.broadcast((_phrases(blank), common)), dict(docs.dtypes)[doc_id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,12 +141,18 @@ def document_terms(docs: DataFrame, doc_id: str, text: str, blank: list[str]) ->
             for rows, offsets, data in segments(list(range(len(ids))), batch.column(1).to_pylist(), 1):
                 raw = np.frombuffer(data, np.uint8)
                 w = Words(data)
-                if len(w.start) >= PHRASE and len(shared.value):
-                    hit = np.flatnonzero(_member(_rolling(w.hash, PHRASE), shared.value))
-                    gone = np.zeros(len(raw) + 1, np.int32)
+                phrases, sentences = shared.value
+                gone = np.zeros(len(raw) + 1, np.int32)
+                if len(w.start) >= PHRASE and len(phrases):
+                    hit = np.flatnonzero(_member(_rolling(w.hash, PHRASE), phrases))
                     np.add.at(gone, w.start[hit], 1)
                     np.add.at(gone, w.end[hit + PHRASE - 1], -1)
-                    raw = np.where(np.cumsum(gone[:-1]) > 0, np.uint8(32), raw)
+                if len(sentences):
+                    first, last, h = _sentences(w, np.searchsorted(np.array(offsets), w.start, "right"))
+                    hit = np.flatnonzero(_member(h, sentences))
+                    np.add.at(gone, w.start[first[hit]], 1)
+                    np.add.at(gone, w.end[last[hit] - 1], -1)
+                raw = np.where(np.cumsum(gone[:-1]) > 0, np.uint8(32), raw)
                 start, end = _terms(raw)
                 keep = end - start >= 3
                 start, end = start[keep], end[keep]
@@ -318,8 +355,8 @@ def subject_words(
     names = [s for s, _ in seeds]
     owners = np.array([k for k, (_, words) in enumerate(seeds) for _ in words], np.int64)
     anchors = term_hash([w for _, words in seeds for w in words])
-    blank = boilerplate(docs, text, boilerplate_share) + [r[0] for r in other.select(text).collect()]
-    matrix = cut(document_terms(docs, doc_id, text, blank), "matrix")
+    blank = [r[0] for r in other.select(text).collect()]
+    matrix = cut(document_terms(docs, doc_id, text, blank, boilerplate(docs, text, boilerplate_share)), "matrix")
     factors = Factors(matrix, doc_id, anchors, owners, len(names), min_docs)
     last = np.zeros(len(names) + 1)
     for _ in range(rounds):
