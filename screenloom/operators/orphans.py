@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from screenloom.operators.skew import heavy_keys
 
 KEY = ["dataset", "cell_barcode"]
-SLICE = "month"
+SLICE = "day"
 #: A key is split by time slices when it holds 0.1 % of all events and this many.
 HOT_PERCENT, HOT_ROWS = 0.1, 50_000
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenloom.functions.columns import finite, says_perturbed
+from screenloom.session import cut
 
 
 def min_count(df: DataFrame, key: str, least: int, counted: str | None = None, out: str = "n_cells") -> DataFrame:
@@ -74,6 +75,8 @@ def chunk_labels(labels: DataFrame, label: str, size: int) -> DataFrame:
     labels is one row per label; the running number over all of them comes from range partitions
     numbered apart, so that it is not one task's sort."""
     ranged = labels.select(label).distinct().repartitionByRange(label).withColumn("__p", F.spark_partition_id())
+    # Kept, so that both uses see the same ranges.
+    ranged = cut(ranged, "ranges")
     within = ranged.withColumn("__k", F.row_number().over(Window.partitionBy("__p").orderBy(label)))
     sizes = within.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     before = F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))

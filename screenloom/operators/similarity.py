@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from screenloom.operators.relational import chunk_labels
 from screenloom.session import cut
 
 #: Genes that a principal component analysis takes, at most: its covariance is square in them.
@@ -80,11 +81,11 @@ def communities(neighbours: DataFrame, key: str, rounds: int = 20) -> DataFrame:
     labels = cut(links.select("a").distinct().withColumn("label", F.col("a")), "labels")
     for r in range(rounds):
         votes = links.join(labels.withColumnsRenamed({"a": "b"}), "b").groupBy("a", "label").agg(F.count(F.lit(1)).alias("n"))
-        best = votes.groupBy("a").agg(F.max("n").alias("m"), F.collect_list(F.struct("n", "label")).alias("v"))
-        top = F.filter("v", lambda e: e.n == F.col("m"))
-        best = best.select("a", F.array_sort(F.transform(top, lambda e: e.label)).alias("tops"))
+        votes = votes.join(labels.withColumnRenamed("label", "own"), "a")
+        first = F.struct((-F.col("n")).alias("n"), (F.col("label") != F.col("own")).alias("o"), "label")
+        best = votes.groupBy("a").agg(F.min_by("label", first).alias("top"))
         turn = F.pmod(F.xxhash64("a"), F.lit(2)) == r % 2
-        moved = F.when(turn & F.col("tops").isNotNull() & ~F.array_contains(F.col("tops"), F.col("label")), F.col("tops")[0]).otherwise(F.col("label"))
+        moved = F.when(turn, F.coalesce("top", "label")).otherwise(F.col("label"))
         new = cut(labels.join(best, "a", "left").select("a", moved.alias("label"), (moved != F.col("label")).alias("changed")), "labels")
         same = new.where("changed").limit(1).count() == 0
         labels = new.select("a", "label")
@@ -100,7 +101,7 @@ def cluster_profiles(vectors: DataFrame, k: int, key: str, seed: int = 0) -> Dat
     vectors = cut(vectors.select(key, "x").where(F.col(key).isNotNull()), "profiles")
     data = vectors.select(key, array_to_vector("x").alias("v")).cache()
     if k < 2 or data.limit(3).count() < 3:
-        return vectors.select(key, F.lit(1).alias("cluster"), F.row_number().over(Window.orderBy(key)).alias("order_index"))
+        return chunk_labels(vectors, key, 1).select(key, F.lit(1).alias("cluster"), (F.col("chunk_index") + 1).alias("order_index"))
     model = BisectingKMeans(k=k, featuresCol="v", predictionCol="c", seed=seed).fit(data)
     rows = model.transform(data).select(key, "c")
     sizes = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("least"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -23,9 +25,25 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_RUN = uuid.uuid4().hex
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/screenloom/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; this driver's paths are removed when it ends."""
+    root = f"{shared_dir(spark)}/screenloom-{_RUN}"
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        atexit.register(_tidy, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+_ROOTS: set[str] = set()
+
+
+def _tidy(spark: SparkSession, root: str) -> None:
+    # The session may have ended before; then the folder's owner clears it.
+    with contextlib.suppress(Exception):
+        drop_path(spark, root)
 
 
 def cut(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
