@@ -141,7 +141,8 @@ def orphan_references(refs: DataFrame, parents: DataFrame, **options) -> DataFra
 
 def orphan_snapshots(refs: DataFrame, parents: DataFrame) -> DataFrame:
     """Per table and month: references so far, and how many of their keys have no parent at the
-    month's end. Columns source_table, period, n_references, n_open.
+    month's end. Columns source_table, period, n_references, n_open; one row for every month with
+    an event from the table's first reference on.
 
     Works on one row per (key, month) with the month's change of balance and of references.
     A key's contribution changes only in those months, so the change is summed per table and
@@ -169,10 +170,11 @@ def orphan_snapshots(refs: DataFrame, parents: DataFrame) -> DataFrame:
     rows = rows.withColumn("open", F.when(F.col("balance") <= 0, total).otherwise(0))
     rows = rows.withColumn("change", F.col("open") - F.lag("open", 1, 0).over(tables))
     monthly = rows.groupBy("source_table", "period").agg(F.sum("n").alias("n"), F.sum("change").alias("change"))
+    # A few rows from here on: every table has a row for every month of the history.
+    months = events.agg(F.collect_set("period")).scalar()
+    grid = monthly.select("source_table").distinct().withColumn("months", months)
+    grid = grid.select("source_table", F.explode("months").alias("period")).join(monthly, ["source_table", "period"], "left")
     along = Window.partitionBy("source_table").orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
-    return monthly.select(
-        "source_table",
-        "period",
-        F.sum("n").over(along).cast("bigint").alias("n_references"),
-        F.sum("change").over(along).cast("bigint").alias("n_open"),
-    )
+    total = lambda c: F.coalesce(F.sum(c).over(along), F.lit(0)).cast("bigint")
+    out = grid.select("source_table", "period", total("n").alias("n_references"), total("change").alias("n_open"))
+    return out.where("n_references > 0")

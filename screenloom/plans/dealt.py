@@ -115,8 +115,9 @@ WHERE NOT EXISTS (SELECT 1 FROM obs o WHERE o.dataset = r.dataset AND o.cell_bar
   AND o.loaded_at <= r.loaded_at AND (o.removed_at IS NULL OR o.removed_at > r.loaded_at))""",
     "p4_snapshots": f"""
 WITH {_REFS},
+live AS (SELECT * FROM obs WHERE dataset IS NOT NULL AND cell_barcode IS NOT NULL AND loaded_at IS NOT NULL AND (removed_at IS NULL OR removed_at > loaded_at)),
 months AS (SELECT DISTINCT date_trunc('month', t) AS m FROM (
-  SELECT loaded_at AS t FROM refs UNION ALL SELECT loaded_at FROM obs UNION ALL SELECT removed_at FROM obs) WHERE t IS NOT NULL),
+  SELECT loaded_at AS t FROM refs UNION ALL SELECT loaded_at FROM live UNION ALL SELECT removed_at FROM live) WHERE t IS NOT NULL),
 keyed AS (SELECT source_table, dataset, cell_barcode, date_trunc('month', loaded_at) AS m, count(*) AS n FROM refs
   WHERE loaded_at IS NOT NULL GROUP BY ALL),
 gone AS (SELECT k.source_table, months.m, sum(k.n) AS n_references,
