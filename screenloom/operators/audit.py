@@ -11,8 +11,8 @@ from screenloom.operators.expression import integer_like
 from screenloom.operators.relational import recommend
 
 # The columns and control labels that are tried, in order.
-LABEL_COLUMNS = ["gene_target", "gene", "perturbation", "target_gene", "guide_target", "condition", "guide_identity", "target", "sgRNA", "guide"]
-CONTROL_LABELS = ["Non-Targeting", "non-targeting", "NTC", "control", "Control", "ctrl", "nontargeting", "safe-targeting"]
+LABEL_COLUMNS = ["gene_target", "guide_target", "target_gene", "perturbation", "perturbation_label", "gene", "target", "sgRNA", "sgrna", "guide"]
+CONTROL_LABELS = ["Non-Targeting", "non-targeting", "NTC", "NT", "negative", "neg", "control", "CTRL"]
 
 
 def structure(df: DataFrame) -> DataFrame:
