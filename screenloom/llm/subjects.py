@@ -9,7 +9,8 @@ component. A document's mixture is then the expected number of its words per sub
 
 Terms are the parts of identifiers and words (split at case changes, digits and underscores), in
 lower case and singular. Before they are cut, passages that point to no subject are blanked:
-sentences found in ``boilerplate_share`` of all texts (licence headers and texts) and passages of
+sentences found in ``boilerplate_share`` of all texts (licence headers and texts; of ten texts at
+the least) and passages of
 given other texts (evaluation items), the latter by windows of ``PHRASE`` words.
 
 Null and empty texts have no subject. Repeated rows count as documents of their own. Terms in
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenloom.llm.leaks import Words, _member, _mix, _powers, _rolling, segments
@@ -105,9 +106,10 @@ def _sentences(w: Words, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return first, last, _mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
 
 
-def boilerplate(docs: DataFrame, text: str, share: float = 0.01) -> np.ndarray:
+def boilerplate(docs: DataFrame, text: str, share: float = 0.01, least: int = 10) -> np.ndarray:
     """Hashes of the sentences (runs between line ends and full stops) of ``PHRASE`` words or
-    more found in at least ``share`` of the texts. There are at most (sentences per text) /
+    more found in at least ``share`` of the texts, and in ``least`` of them, without which every
+    sentence of a few texts would be common. There are at most (sentences per text) /
     share of them, whatever the size of the corpus; all texts are counted, once for each
     different sentence (a text longer than a segment once for each segment), with partial sums."""
 
@@ -125,7 +127,7 @@ def boilerplate(docs: DataFrame, text: str, share: float = 0.01) -> np.ndarray:
 
     said = docs.select(text).mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
     total = docs.where(F.col(text).isNotNull()).agg(F.count(F.lit(1))).scalar()
-    found = said.where(F.col("n") >= F.lit(share) * total).select("s").collect()
+    found = said.where((F.col("n") >= least) & (F.col("n") >= F.lit(share) * total)).select("s").collect()
     return np.sort(np.array([r.s for r in found], np.int64).view(np.uint64))
 
 
@@ -375,14 +377,24 @@ def _shares(words: DataFrame, doc_id: str, names: list[str]) -> DataFrame:
     return each.select(doc_id, subject.alias("subject"), "n_words", F.try_divide("n_words", "total").alias("share"))
 
 
-def main_subjects(words: DataFrame, share: float = 0.25, least: float = 3.0) -> DataFrame:
-    """The subjects of at least ``share`` of a document's subject words and ``least`` words."""
-    return words.where((F.col("share") >= share) & (F.col("n_words") >= least))
+def _marked(words: DataFrame, share: float, least: float, most: int) -> DataFrame:
+    """``words`` with ``main``: whether the subject is one of its document's. The first column
+    names the document, which has one row a subject; equal counts go by the subject's name."""
+    order = Window.partitionBy(words.columns[0]).orderBy(F.col("n_words").desc(), "subject")
+    large = (F.col("share") >= share) & (F.col("n_words") >= least)
+    return words.withColumn("main", F.coalesce(large, F.lit(False)) & (F.row_number().over(order) <= most))
 
 
-def composition(words: DataFrame) -> DataFrame:
-    """(subject, n_documents, share): the share of each subject in the corpus's subject words."""
-    main = F.when((F.col("share") >= 0.25) & (F.col("n_words") >= 3.0), 1).otherwise(0)
-    each = words.groupBy("subject").agg(F.sum(main).cast("long").alias("n_documents"), F.sum("n_words").alias("n_words"))
+def main_subjects(words: DataFrame, share: float = 0.25, least: float = 3.0, most: int = 2) -> DataFrame:
+    """The ``most`` largest of the subjects of at least ``share`` of a document's subject words
+    and ``least`` words."""
+    return _marked(words, share, least, most).where("main").drop("main")
+
+
+def composition(words: DataFrame, share: float = 0.25, least: float = 3.0, most: int = 2) -> DataFrame:
+    """(subject, n_documents, share): the documents whose ``main_subjects`` hold the subject, and
+    its share in the corpus's subject words."""
+    rows = _marked(words, share, least, most)
+    each = rows.groupBy("subject").agg(F.sum(F.col("main").cast("long")).alias("n_documents"), F.sum("n_words").alias("n_words"))
     total = each.agg(F.sum("n_words")).scalar()
     return each.select("subject", "n_documents", F.try_divide("n_words", total).alias("share"))

@@ -79,7 +79,7 @@ def chains(rows, radius):
 
 def as_points(spark, rows, dims):
     data = [(k, *v) for k, v in rows.items()]
-    data += data[:7] + [("none", *[None] * dims), ("nan", *[NAN] * dims), (None, *[0.0] * dims)]
+    data += data[:7] + [("none", *[None] * dims), ("nan", *[NAN] * dims), ("inf", *[INF] * dims), ("inf2", *[INF] * dims), (None, *[0.0] * dims)]
     columns = [f"c{k}" for k in range(dims)]
     df = spark.createDataFrame(data, "name string, " + ", ".join(f"{c} double" for c in columns))
     return clusters.points(df, "name", columns)
@@ -204,6 +204,17 @@ def test_fill_containers(spark):
     assert packing.fill_containers(spark.createDataFrame([], "id long, n long"), "id", "n", 100).count() == 0
 
 
+def test_groups_follow_the_pieces(spark):
+    """A document of very many pieces is spread over groups of bounded size."""
+    df = spark.createDataFrame([(1, 1000 * 10 - 3), (2, 4), (3, 3)], "id long, n long")
+    got = packing.fill_containers(df, "id", "n", 10, group=100).collect()
+    groups = {}
+    for r in got:
+        groups[r.container >> 32] = groups.get(r.container >> 32, 0) + 1
+    assert len(groups) == 11 and max(groups.values()) < 150
+    assert sum(r.n_tokens for r in got) == 9997 + 7 and len(got) == 1002
+
+
 def test_token_counts(spark):
     rows = [(1, "def f(x):\n  return x"), (2, None), (3, ""), (4, "a" * 200_000), (5, "é 中 🙂 <|endoftext|>")]
     got = {r.id: r.n for r in packing.token_counts(spark.createDataFrame(rows, "id int, t string"), "t", "n").collect()}
@@ -317,6 +328,23 @@ def test_composition(corpus):
     assert {r.subject: r.n_documents for r in rows} == {s: sum(s in t for t in truth.values()) for s in ("law", "music", "sport")}
 
 
+def test_few_documents_are_not_all_boilerplate(corpus):
+    docs, areas, other, truth = corpus
+    few = docs.where("doc_id < 60")
+    assert len(subjects.boilerplate(few, "text")) <= 1
+    got = subjects.main_subjects(subjects.subject_words(few, areas, other)).collect()
+    right = sum(r.subject in truth[r.doc_id] for r in got)
+    want = sum(len(s) for k, s in truth.items() if k < 60)
+    assert right >= 0.9 * len(got) and right >= 0.9 * want
+
+
+def test_at_most_two_subjects(spark):
+    rows = [(1, "a", 30.0, 0.3), (1, "b", 30.0, 0.3), (1, "c", 40.0, 0.4), (2, "a", 2.0, 1.0), (3, "b", 9.0, 1.0), (4, "a", None, None)]
+    words = spark.createDataFrame(rows, "doc_id long, subject string, n_words double, share double")
+    assert {(r.doc_id, r.subject) for r in subjects.main_subjects(words).collect()} == {(1, "c"), (1, "a"), (3, "b")}
+    assert {r.subject: r.n_documents for r in subjects.composition(words).collect()} == {"a": 1, "b": 1, "c": 1}
+
+
 def test_subjects_of_no_documents(corpus):
     docs, areas, other, _ = corpus
     assert subjects.main_subjects(subjects.subject_words(docs.limit(0), areas, other)).count() == 0
