@@ -3,7 +3,7 @@
 A document's size is its number of tokens. Documents longer than a container are cut into full
 pieces and a rest; nothing else is split. Full pieces fill a container each. The other pieces
 are spread by a hash over packing groups of bounded size (the number of groups follows from the
-number of documents) and each group is packed on its own, which leaves at most about one
+number of pieces) and each group is packed on its own, which leaves at most about one
 container a group less full than it could be.
 
 Within a group a container is first filled greedily with the largest piece that still fits.
@@ -129,10 +129,10 @@ def fill_containers(sizes: DataFrame, key: str, size: str, capacity: int, group:
     """
     # Two numbers an item, kept, so that counting and both branches don't measure the texts again.
     rows = cut(sizes.select(F.col(key).alias("k"), F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("n")), "sizes")
-    count = rows.count()
+    last = F.greatest(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / capacity))
+    count = rows.agg(F.sum(last + 1)).first()[0] or 0
     groups = max(1, -(-count // group))
-    pieces = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / capacity)))
-    parts = rows.withColumn("piece", F.explode(pieces)).withColumn("start", F.col("piece") * capacity)
+    parts = rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn("start", F.col("piece") * capacity)
     parts = parts.withColumn("n", F.least(F.col("n") - F.col("start"), F.lit(capacity)))
     parts = parts.withColumn("g", F.pmod(F.xxhash64("k", "piece"), F.lit(groups)).cast("int"))
     kind = f"k {dict(parts.dtypes)['k']}, piece long, start long, n long, container long, slot int"
