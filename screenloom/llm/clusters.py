@@ -13,7 +13,8 @@ home cell. Within a cell distances are computed in blocks of array arithmetic an
 to one row per point; pairs are never emitted. A crowded cell is split into chunks that meet in
 block pairs, so that no task holds a cell of unbounded size.
 
-Vectors with a null or NaN coordinate are left out. Repeated rows count once. A name with two
+Vectors with a null, NaN or infinite coordinate are left out: the last two are near nothing, not
+even themselves. Repeated rows count once. A name with two
 different vectors is two points under one name. An empty input gives an empty result.
 """
 
@@ -36,7 +37,7 @@ def points(df: DataFrame, name: str, coordinates: list[str]) -> DataFrame:
     """Distinct points (point, name, hash, x): ``point`` names a vector of ``name``."""
     x = F.array(*[F.col(c).cast("double") for c in coordinates])
     rows = df.select(F.col(name).alias("name"), x.alias("x")).where(F.col("name").isNotNull())
-    rows = rows.where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v))).distinct()
+    rows = rows.where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))).distinct()
     key = F.concat_ws("\x01", "name", F.hex(F.xxhash64("x")))
     return rows.select(key.alias("point"), "name", F.xxhash64(F.lit("pivot"), key).alias("hash"), "x")
 
