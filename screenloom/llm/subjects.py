@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenloom.llm.leaks import Words, _member, _mix, _powers, _rolling, segments
@@ -377,24 +377,27 @@ def _shares(words: DataFrame, doc_id: str, names: list[str]) -> DataFrame:
     return each.select(doc_id, subject.alias("subject"), "n_words", F.try_divide("n_words", "total").alias("share"))
 
 
-def _marked(words: DataFrame, share: float, least: float, most: int) -> DataFrame:
-    """``words`` with ``main``: whether the subject is one of its document's. The first column
-    names the document, which has one row a subject; equal counts go by the subject's name."""
-    order = Window.partitionBy(words.columns[0]).orderBy(F.col("n_words").desc(), "subject")
-    large = (F.col("share") >= share) & (F.col("n_words") >= least)
-    return words.withColumn("main", F.coalesce(large, F.lit(False)) & (F.row_number().over(order) <= most))
+def _large(share: float, least: float) -> Column:
+    return F.coalesce((F.col("share") >= share) & (F.col("n_words") >= least), F.lit(False))
+
+
+def _place(words: DataFrame) -> Column:
+    """The place of a subject in its document, which the first column names; equal counts go by
+    the subject's name."""
+    return F.row_number().over(Window.partitionBy(words.columns[0]).orderBy(F.col("n_words").desc(), "subject"))
 
 
 def main_subjects(words: DataFrame, share: float = 0.25, least: float = 3.0, most: int = 2) -> DataFrame:
     """The ``most`` largest of the subjects of at least ``share`` of a document's subject words
     and ``least`` words."""
-    return _marked(words, share, least, most).where("main").drop("main")
+    rows = words.where(_large(share, least))
+    return rows.withColumn("place", _place(rows)).where(F.col("place") <= most).drop("place")
 
 
 def composition(words: DataFrame, share: float = 0.25, least: float = 3.0, most: int = 2) -> DataFrame:
     """(subject, n_documents, share): the documents whose ``main_subjects`` hold the subject, and
     its share in the corpus's subject words."""
-    rows = _marked(words, share, least, most)
+    rows = words.withColumn("main", _large(share, least) & (_place(words) <= most))
     each = rows.groupBy("subject").agg(F.sum(F.col("main").cast("long")).alias("n_documents"), F.sum("n_words").alias("n_words"))
     total = each.agg(F.sum("n_words")).scalar()
     return each.select("subject", "n_documents", F.try_divide("n_words", total).alias("share"))
