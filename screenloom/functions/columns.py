@@ -56,6 +56,6 @@ def neg_log10(column: Column | str, least: float = 1e-300) -> Column:
 
 
 def lenient_decode(column: Column | str) -> Column:
-    """Bytes as text in UTF-8."""
+    """Bytes as text in UTF-8; what is not valid becomes the replacement character."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.decode(c, "UTF-8")
+    return F.make_valid_utf8(c.cast("string"))

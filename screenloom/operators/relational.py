@@ -138,11 +138,6 @@ def overlap_report(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return out.withColumn("percent_of_a", F.try_divide(F.col("n_both") * 100.0, F.col("n_a")))
 
 
-def mid_rank(key: list[str], column: str) -> Column:
-    """The mean rank of tied values within ``key``."""
-    return F.rank().over(Window.partitionBy(*key).orderBy(column)) + (F.count(F.lit(1)).over(Window.partitionBy(*key, column)) - 1) / 2
-
-
 def pairwise_correlation(df: DataFrame, columns: list[str], least: int = 3) -> DataFrame:
     """(metric_a, metric_b, pearson_r, n) of all pairs a before b over rows where both are known;
     null below ``least`` rows. One aggregate computes all pairs."""

@@ -1,6 +1,6 @@
 """Queries of the engine's own operators over the given tables, with their SQL oracles.
 
-Names carry the operator's group and number: s sources, f filters, j joins, a aggregates, w
+Names carry the operator's group and number: s sources, k sinks, f filters, j joins, a aggregates, w
 windows, o ordering, u sets, h reshaping, r samples, n numerics, v audit, c composites.
 """
 
@@ -91,6 +91,52 @@ def s21_guide_filter(spark, d):
     return tables.filtered_guide_calls(calls, keep, is_true("pass_guide_filter"), [F.col("call_id"), F.col("loaded_at")]).select("cell_barcode", "gene_target", "num_umis")
 
 
+@query("SELECT cell_barcode, gene_target FROM obs_cells")
+def s04_label_scan(spark, d):
+    return tables.label_scan(load(spark, d, "obs_cells"), "cell_barcode", "gene_target")
+
+
+@query("SELECT c_custkey, c_acctbal, 'c_mktsegment=' || c_mktsegment AS source_chunk FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')")
+def s08_finished_chunks(spark, d):
+    """Of the folders of all segments two are marked as finished."""
+    root = scratch_path(spark, "chunks")
+    load(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment").write.partitionBy("c_mktsegment").options(header=True, sep="\t").csv(root)
+    for done in ("BUILDING", "MACHINERY"):
+        sinks.mark_done(spark, f"{root}/c_mktsegment={done}")
+    return tables.read_finished_chunks(spark, root, "*.csv", "c_custkey bigint, c_acctbal double")
+
+
+@query("SELECT DISTINCT trim(perturbation) AS perturbation FROM perturbation_clusters WHERE trim(perturbation) <> '' AND trim(perturbation) NOT LIKE '#%'")
+def s10_target_list(spark, d):
+    path = scratch_path(spark, "targets")
+    names = load(spark, d, "perturbation_clusters").select("perturbation")
+    lines = names.unionByName(names.select(F.concat(F.lit("# "), "perturbation").alias("perturbation"))).unionByName(names.select(F.lit(" ").alias("perturbation")))
+    sinks.write_list(lines, "perturbation", path)
+    return tables.read_target_list(spark, path).select("perturbation")
+
+
+@query("SELECT c_custkey, c_nationkey, n_name AS label FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON c_nationkey = n_nationkey")
+def s14_decode_categories(spark, d):
+    known = load(spark, d, "nation").where("n_nationkey < 20").select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("label"))
+    return tables.decode_categories(load(spark, d, "customer").select("c_custkey", "c_nationkey"), "c_nationkey", known)
+
+
+@query(f"WITH {COUNTS_SQL} SELECT cell_barcode, gene, value FROM counts ORDER BY cell_barcode, gene LIMIT 1000")
+def s15_matrix_sample(spark, d):
+    return tables.matrix_sample(counts(spark, d), 1000)
+
+
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query(f"""WITH {CELLS_SQL}, {COUNTS_SQL} SELECT gene, {", ".join(f"coalesce(sum(value) FILTER (perturbation = '{s}'), 0) AS {s}" for s in _SEGMENTS)}
+FROM counts JOIN cells USING (cell_barcode) GROUP BY 1""")
+def k09_wide_matrix(spark, d):
+    path = scratch_path(spark, "wide")
+    sinks.write_wide(ex.pseudobulk(counts(spark, d), cells(spark, d)), "gene", "perturbation", "value", _SEGMENTS, path)
+    return tables.read_table(spark, path, "gene string, " + ", ".join(f"{s} double" for s in _SEGMENTS))
+
+
 # Filters.
 
 
@@ -686,6 +732,32 @@ def c01_manifest(spark, d):
     return _manifest(spark, d)
 
 
+@query(f"WITH {_MANIFEST} SELECT chunk_id, cell_barcode, gene_target, is_control FROM m")
+def k03_chunk_files(spark, d):
+    path = scratch_path(spark, "manifest")
+    sinks.write_chunks(_manifest(spark, d), path)
+    return spark.read.parquet(path)
+
+
+@query()
+def c03_run_mixscape(spark, d):
+    classes, _, _ = co.run_mixscape(counts(spark, d, True), cells(spark, d), CONTROL)
+    return classes.withColumn("p_ko", F.round("p_ko", 6))
+
+
+@query("""WITH v AS (SELECT CAST(label AS VARCHAR) AS perturbation, vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(1, len(embedding) + 1)) AS k FROM embeddings),
+m AS (SELECT perturbation, k, avg(x) AS m, var_samp(x) AS v, count(*)::DOUBLE AS n FROM v GROUP BY ALL),
+e AS (SELECT a.perturbation, sqrt(sum((a.m - b.m) ** 2)) AS effect FROM m a JOIN m b ON a.k = b.k AND b.perturbation = '0' GROUP BY 1),
+t AS (SELECT a.perturbation, CASE WHEN a.perturbation <> '0' THEN (a.m - b.m) / sqrt(a.v / a.n + b.v / b.n) END AS t FROM m a JOIN m b ON b.perturbation = '0' AND a.k = 1 AND b.k = 1),
+f AS (SELECT CAST(label AS VARCHAR) AS perturbation, count(*) AS n_cells, sum(CASE WHEN embedding[2] > 0 THEN 1 ELSE 0 END)::BIGINT AS n_predicted_perturbed FROM embeddings GROUP BY 1)
+SELECT perturbation, n_cells, n_predicted_perturbed, round(n_predicted_perturbed / n_cells, 6) AS frac_predicted_perturbed, round(t, 6) AS pc1_t_stat_vs_control, round(effect, 6) AS effect_l2_vs_control
+FROM f JOIN t USING (perturbation) JOIN e USING (perturbation)""")
+def c04_summarize_effects(spark, d):
+    rows = _vectors(spark, d)
+    out = co.summarize_effects(rows, rows, F.col("x")[1] > 0, "0").drop("pc1_p_value_vs_control")
+    return out.withColumns({c: F.round(c, 6) for c in ("frac_predicted_perturbed", "pc1_t_stat_vs_control", "effect_l2_vs_control")})
+
+
 @query(f"""WITH {_MANIFEST} SELECT chunk_id, count(DISTINCT gene_target) FILTER (is_control = 0) AS n_perturbations, count(*) FILTER (is_control = 0) AS n_perturbed_cells, count(*) FILTER (is_control = 1) AS n_control_cells, count(*) AS n_total_cells,
 array_to_string(list_sort(list_distinct(list(gene_target) FILTER (is_control = 0)))[:5], ',') || CASE WHEN count(DISTINCT gene_target) FILTER (is_control = 0) > 5 THEN '...' ELSE '' END AS first_perturbations FROM m GROUP BY 1""")
 def c01_manifest_summary(spark, d):
@@ -769,6 +841,14 @@ def c12_ora_summary(spark, d):
     return ora.term_summary(ora.over_representation(_ora_query(spark, d), gene_sets(spark, d), universe), _ora_query(spark, d))
 
 
+@query()
+def c12_run_ora(spark, d):
+    """Genes' name stems are the sets, the tested genes the universe."""
+    de = load(spark, d, "perturbation_differential_genes").where("gene IS NOT NULL")
+    sets = de.select(F.substring("gene", 1, 2).alias("term"), "gene").distinct()
+    return co.run_ora(de, sets, de.select("gene"))[0]
+
+
 @query("""WITH a AS (SELECT perturbation, avg(effect_l2_vs_control) AS x FROM perturbation_clusters WHERE perturbation IS NOT NULL GROUP BY 1),
 b AS (SELECT perturbation, avg(score) AS y FROM perturbation_differential_genes WHERE perturbation IS NOT NULL AND score IS NOT NULL AND NOT isnan(score) GROUP BY 1),
 t AS (SELECT perturbation, x, y FROM a FULL JOIN b USING (perturbation)), m AS (SELECT avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my, stddev_pop(y) AS sy FROM t)

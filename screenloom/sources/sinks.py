@@ -14,8 +14,8 @@ def write_tsv(df: DataFrame, path: str, gzip: bool = False) -> None:
 
 
 def write_chunks(df: DataFrame, path: str, chunk: str = "chunk_id") -> None:
-    """One folder per chunk. Rows of a chunk are spread over several files by a hash, so that a
-    large chunk is no single task."""
+    """One folder per chunk. Each task writes its own rows of a chunk, so that a large chunk is no
+    single task."""
     df.write.mode("overwrite").partitionBy(chunk).parquet(path)
 
 

@@ -8,9 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from screenloom.functions import pvalues
+from screenloom.functions import columns, pvalues
 from screenloom.functions.columns import label_seed
-from screenloom.operators import de, ora, sampling, similarity, streams
+from screenloom.operators import audit, de, ora, sampling, similarity, streams
 from screenloom.operators import relational as rel
 from screenloom.plans import composites as co
 from screenloom.plans import config
@@ -177,3 +177,21 @@ def test_orphans_follow_batches(spark):
     stream_orphans.follow(stream, f"{root}/out").awaitTermination()
     got = spark.read.parquet(f"{root}/out/orphans").drop("batch").distinct()
     assert {tuple(r) for r in got.select("source_table", "dataset", "cell_barcode", "period").collect()} == orphans_by_hand(refs, obs)
+
+
+def test_bytes_that_are_no_text(spark):
+    df = spark.createDataFrame([(1, b"NTC"), (2, b"\xff\xfeA"), (3, None), (4, b"")], "i int, b binary")
+    got = {r.i: r.t for r in df.select("i", columns.lenient_decode("b").alias("t")).collect()}
+    assert got[1] == "NTC" and got[2].endswith("A") and "�" in got[2] and got[3] is None and got[4] == ""
+
+
+def test_readiness_gate(spark):
+    df = spark.range(1)
+    audit.require_ready(audit.readiness([("rows", True, "3")], df))
+    with pytest.raises(ValueError, match="control"):
+        audit.require_ready(audit.readiness([("rows", True, "3"), ("control", False, "0")], df))
+
+
+def test_enabled_datasets():
+    assert config.enabled_datasets({"datasets": {"a": {}, "b": {"enabled": False}, "c": {"enabled": True}}}) == ["a", "c"]
+    assert config.enabled_datasets({}) == []
