@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenloom.operators.skew import heavy_keys
+from screenloom.session import cut
 
 KEY = ["dataset", "cell_barcode"]
 SLICE = "day"
@@ -170,7 +171,9 @@ def orphan_snapshots(refs: DataFrame, parents: DataFrame) -> DataFrame:
     rows = rows.withColumn("open", F.when(F.col("balance") <= 0, total).otherwise(0))
     rows = rows.withColumn("change", F.col("open") - F.lag("open", 1, 0).over(tables))
     monthly = rows.groupBy("source_table", "period").agg(F.sum("n").alias("n"), F.sum("change").alias("change"))
-    # A few rows from here on: every table has a row for every month of the history.
+    # A few rows from here on, written since they are read twice: every table has a row for every
+    # month of the history.
+    monthly = cut(monthly, "monthly")
     months = events.agg(F.collect_set("period")).scalar()
     grid = monthly.select("source_table").distinct().withColumn("months", months)
     grid = grid.select("source_table", F.explode("months").alias("period")).join(monthly, ["source_table", "period"], "left")
