@@ -9,8 +9,8 @@ component. A document's mixture is then the expected number of its words per sub
 
 Terms are the parts of identifiers and words (split at case changes, digits and underscores), in
 lower case and singular. Before they are cut, passages that point to no subject are blanked:
-sentences found in ``boilerplate_share`` of all texts (licence headers and texts; of ten texts at
-the least) and passages of
+sentences found in ``boilerplate_share`` of all different texts (licence headers and texts; of
+ten texts at the least) and passages of
 given other texts (evaluation items), the latter by windows of ``PHRASE`` words.
 
 Null and empty texts have no subject. Repeated rows count as documents of their own. Terms in
@@ -108,25 +108,26 @@ def _sentences(w: Words, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 def boilerplate(docs: DataFrame, text: str, share: float = 0.01, least: int = 10) -> np.ndarray:
     """Hashes of the sentences (runs between line ends and full stops) of ``PHRASE`` words or
-    more found in at least ``share`` of the texts, and in ``least`` of them, without which every
-    sentence of a few texts would be common. There are at most (sentences per text) /
-    share of them, whatever the size of the corpus; all texts are counted, once for each
-    different sentence (a text longer than a segment once for each segment), with partial sums."""
+    more found in at least ``share`` of the different texts, and in ``least`` of them, without
+    which every sentence of a few texts would be common. Copies of a text, by its hash, count
+    once: a file that is often vendored is no licence. There are at most (sentences per text) /
+    share of them, whatever the size of the corpus; all texts are counted, with partial sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for _, offsets, data in segments(list(range(len(texts))), texts, 1):
+            texts, hashes = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            for rows, offsets, data in segments(list(range(len(texts))), texts, 1):
                 w = Words(data)
                 owner = np.searchsorted(np.array(offsets), w.start, "right") - 1
                 first, _, h = _sentences(w, owner)
                 if len(first):
-                    said = np.unique(np.stack([owner[first].astype(np.uint64), h], 1), axis=0)[:, 1]
-                    each, n = np.unique(said, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(each.view(np.int64)), pa.array(n.astype(np.int64))], names=["s", "n"])
+                    of = hashes[np.array(rows)[owner[first]]].view(np.uint64)
+                    said = np.unique(np.stack([of, h], 1), axis=0).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(said[:, 1]), pa.array(said[:, 0])], names=["s", "t"])
 
-    said = docs.select(text).mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
-    total = docs.where(F.col(text).isNotNull()).agg(F.count(F.lit(1))).scalar()
+    texts = docs.where(F.col(text).isNotNull()).select(text, F.xxhash64(text).alias("t"))
+    said = texts.mapInArrow(run, "s long, t long").distinct().groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    total = texts.select("t").distinct().agg(F.count(F.lit(1))).scalar()
     found = said.where((F.col("n") >= least) & (F.col("n") >= F.lit(share) * total)).select("s").collect()
     return np.sort(np.array([r.s for r in found], np.int64).view(np.uint64))
 

@@ -348,3 +348,15 @@ def test_at_most_two_subjects(spark):
 def test_subjects_of_no_documents(corpus):
     docs, areas, other, _ = corpus
     assert subjects.main_subjects(subjects.subject_words(docs.limit(0), areas, other)).count() == 0
+
+
+def test_copies_are_no_boilerplate(spark):
+    """A file that is vendored often is one text; a licence line of many texts stays common."""
+    licence = "You may copy and change this file as long as the notice stays."
+    own = lambda k: " ".join(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}{j}" for j in range(8))
+    rows = [(k, own(k) + ".\n" + (licence if k < 20 else "")) for k in range(200)]
+    rows += [(1000 + k, "The vendored parser reads rules of the law from tables.") for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = subjects.boilerplate(docs, "text").tolist()
+    _, _, want = subjects._sentences(w := leaks.Words(licence.encode()), np.zeros(len(w.start), int))
+    assert got == want.tolist()
