@@ -73,21 +73,43 @@ def student_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(out, index=t.index).where(ok, None)
 
 
+#: Terms of a hypergeometric tail summed at once.
+TERMS = 1 << 16
+
+
+def _hypergeometric_run(j: int, last: int, u: int, m: int, n: int) -> float:
+    """The probabilities from ``j``, away from the mode, to ``last``; ends where they no longer
+    count, so its length follows the deviation and not the counts."""
+    f = lambda v: math.lgamma(v + 1)
+    log = f(m) - f(j) - f(m - j) + f(u - m) - f(n - j) - f(u - m - n + j) - f(u) + f(n) + f(u - n)
+    step, total = (1 if last >= j else -1), 0.0
+    while True:
+        x = (j + step * np.arange(min(TERMS, abs(last - j) + 1))).astype(float)
+        with np.errstate(divide="ignore"):
+            if step > 0:
+                ratio = np.log(m - x) + np.log(n - x) - np.log(x + 1) - np.log(u - m - n + x + 1)
+            else:
+                ratio = np.log(x) + np.log(u - m - n + x) - np.log(m - x + 1) - np.log(n - x + 1)
+        terms = np.exp(log + np.r_[0.0, np.cumsum(ratio[:-1])])
+        total += float(terms.sum())
+        j += step * len(x)
+        if (j - last) * step > 0 or terms[-1] <= 1e-18 * total:
+            return total
+        log += float(ratio.sum())
+
+
 def hypergeometric_tail(k: np.ndarray, u: np.ndarray, m: np.ndarray, n: np.ndarray) -> np.ndarray:
-    size = int(max(u.max(initial=0), 1))
-    log = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, size + 1)))])
     out = np.ones(len(k))
-    for i, (kk, uu, mm, nn) in enumerate(zip(k, u, m, n)):
-        lo, hi = max(kk, 0, nn - (uu - mm)), min(mm, nn)
-        if kk <= max(0, nn - (uu - mm)):
+    for i, (kk, uu, mm, nn) in enumerate(zip(*(v.tolist() for v in (k, u, m, n)))):
+        lo, hi = max(0, nn - (uu - mm)), min(mm, nn)
+        if kk <= lo:
             continue
-        if lo > hi:
+        if kk > hi:
             out[i] = 0.0
-            continue
-        j = np.arange(lo, hi + 1)
-        terms = log[mm] - log[j] - log[mm - j] + log[uu - mm] - log[nn - j] - log[uu - mm - nn + j] - log[uu] + log[nn] + log[uu - nn]
-        top = terms.max()
-        out[i] = min(1.0, math.exp(top) * np.exp(terms - top).sum())
+        elif kk > (nn + 1) * (mm + 1) // (uu + 2):
+            out[i] = min(1.0, _hypergeometric_run(kk, hi, uu, mm, nn))
+        else:
+            out[i] = max(0.0, 1.0 - _hypergeometric_run(kk - 1, lo, uu, mm, nn))
     return out
 
 

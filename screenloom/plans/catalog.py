@@ -68,6 +68,17 @@ def s07_union_of_chunks(spark, d):
     return tables.read_many(spark, [f"{base}/{n}" for n in (1, 2, 3)], "cell_barcode string, perturbation string")
 
 
+@query(f"WITH {MANY_SQL} SELECT cell_barcode, perturbation FROM cells")
+def s07_all_chunks(spark, d):
+    """The chunks of all labels, and one that is missing."""
+    base = scratch_path(spark, "chunks")
+    rows = cut(cells_many(spark, d), "cells")
+    labels = [r[0] for r in load(spark, d, "nation").select("n_name").distinct().orderBy("n_name").collect()]
+    for n, label in enumerate(labels):
+        sinks.write_tsv(rows.where(F.col("perturbation") == label), f"{base}/{n}")
+    return tables.read_many(spark, [f"{base}/{n}" for n in range(len(labels) + 1)], "cell_barcode string, perturbation string")
+
+
 @query("SELECT 'sets:' || p_brand AS term, p_type AS gene FROM part GROUP BY ALL")
 def s09_gene_set_file(spark, d):
     path = scratch_path(spark, "gmt")
@@ -146,6 +157,11 @@ def f02_lenient_cast(spark, d):
     return rows.select("call_id", as_double("num_umis").alias("n"))
 
 
+@query("SELECT call_id, CASE WHEN isfinite(try_cast(num_umis AS DOUBLE)) THEN try_cast(num_umis AS DOUBLE) END AS n FROM guide_calls_csv")
+def f02_lenient_cast_all(spark, d):
+    return load(spark, d, "guide_calls_csv").select("call_id", as_double("num_umis").alias("n"))
+
+
 @query("SELECT dataset, cell_barcode, gene_target FROM chunk_cells WHERE cell_barcode IS NOT NULL AND gene_target IS NOT NULL AND dataset IS NOT NULL")
 def f03_drop_null_keys(spark, d):
     return load(spark, d, "chunk_cells").select("dataset", "cell_barcode", "gene_target").dropna()
@@ -392,6 +408,21 @@ def a17_fisher(spark, d):
     return t.select("dataset", F.round(fisher_greater("a", "b", "c", "e"), 5).alias("p_value"))
 
 
+def fisher_of_deciles(rows: DataFrame) -> DataFrame:
+    """(dataset, p_value): whether the upper five deciles have more KO cells, of all days and
+    datasets whatever their counts; a side without cells counts as zeros."""
+    rows = rows.where("umi_decile IS NOT NULL AND n_ko IS NOT NULL AND n_cells IS NOT NULL")
+    high, rest = F.col("umi_decile") >= 5, F.col("n_cells") - F.col("n_ko")
+    s = lambda c, v: F.coalesce(F.sum(F.when(c, v)), F.lit(0))
+    t = rows.groupBy("dataset").agg(s(high, F.col("n_ko")).alias("a"), s(high, rest).alias("b"), s(~high, F.col("n_ko")).alias("c"), s(~high, rest).alias("e"))
+    return t.select("dataset", fisher_greater("a", "b", "c", "e").alias("p_value"))
+
+
+@query()
+def a17_fisher_all(spark, d):
+    return fisher_of_deciles(load(spark, d, "hct_mixscape_ko_by_umi_decile"))
+
+
 _DE_SQL = f"""{CELLS_SQL}, {COUNTS_SQL},
 size AS (SELECT perturbation, count(*) AS n1 FROM cells GROUP BY 1),
 r AS (SELECT gene, perturbation, value FROM counts JOIN cells USING (cell_barcode) WHERE value > 0),
