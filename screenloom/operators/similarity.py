@@ -38,20 +38,24 @@ def principal_components(vectors: DataFrame, k: int, key: str = "cell_barcode")
     return model.transform(data).select(key, turned.alias("x"))
 
 
-def nearest_neighbours(vectors: DataFrame, k: int, key: str, block: int = 2048) -> DataFrame:
-    """(key, neighbour, rank, distance): the exact ``k`` nearest other rows of each row by
-    Euclidean distance, ties by name.
+def nearest_neighbours(vectors: DataFrame, k: int, key: str, block: int = 2048, among: DataFrame | None = None) -> DataFrame:
+    """(key, neighbour, rank, distance): the exact ``k`` nearest other rows of each row, of
+    ``among`` where it is given, by Euclidean distance, ties by name.
 
     Rows are dealt to blocks; each pair of blocks is one task's array product, which keeps ``k``
     candidates a row, and the candidates of a row are merged. A task holds two blocks whatever
     the number of rows.
     """
-    rows = cut(vectors.select(F.col(key).cast("string").alias("k"), "x").where("k IS NOT NULL AND x IS NOT NULL"), "vectors")
-    blocks = max(1, -(-rows.count() // block))
-    rows = rows.withColumn("b", F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    asks = rows.select("k", "x", F.col("b").alias("i"), other.alias("j"))
-    given = rows.select(F.col("k").alias("n"), F.col("x").alias("y"), F.col("b").alias("j"), other.alias("i"))
+    def dealt(df: DataFrame) -> tuple[DataFrame, int]:
+        rows = cut(df.select(F.col(key).cast("string").alias("k"), "x").where("k IS NOT NULL AND x IS NOT NULL"), "vectors")
+        blocks = max(1, -(-rows.count() // block))
+        return rows.withColumn("b", F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int")), blocks
+
+    rows, blocks = dealt(vectors)
+    others, other_blocks = (rows, blocks) if among is None else dealt(among)
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asks = rows.select("k", "x", F.col("b").alias("i"), each(other_blocks).alias("j"))
+    given = others.select(F.col("k").alias("n"), F.col("x").alias("y"), F.col("b").alias("j"), each(blocks).alias("i"))
 
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):

@@ -698,7 +698,7 @@ def n10_clusters(spark, d):
 
 @query()
 def n13_signature(spark, d):
-    out = models.signature(_vectors(spark, d), "0", 20, 2000)
+    out = models.signature(_vectors(spark, d), "0", 20)
     return out.select("cell_barcode", "perturbation", F.transform("signature", lambda v: F.round(v, 6)).alias("signature"))
 
 

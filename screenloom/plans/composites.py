@@ -37,6 +37,7 @@ class Defaults:
     clusters: int = 20
     ps_quantile: float = 0.90
     ps_min_cells: int = 20
+    ps_max_controls: int = 0
     max_de_genes: int = 100
 
 
@@ -147,10 +148,10 @@ def ps_select(ps: DataFrame, control: str, q: float = 0.90, mode: str = "top_pos
 
 
 def ps_select_and_de(ps: DataFrame, counts: DataFrame, cells: DataFrame, control: str, d: Defaults = Defaults(), top: int = 200) -> DataFrame:
-    """Differential expression of the selected cells against sampled controls on values
-    normalised to the median."""
+    """Differential expression of the selected cells against all controls, or a sample of
+    ``ps_max_controls`` where that is above 0, on values normalised to the median."""
     chosen = ps_select(ps, control, d.ps_quantile, min_cells=d.ps_min_cells).select("cell_barcode", "perturbation")
-    controls = sampling.sample_rows(cells.where(control_equals("perturbation", control)), "cell_barcode", 50_000, d.seed).select("cell_barcode", "perturbation")
+    controls = sampling.sample_rows(cells.where(control_equals("perturbation", control)), "cell_barcode", d.ps_max_controls, d.seed).select("cell_barcode", "perturbation")
     rows = cut(chosen.unionByName(controls), "cells")
     values = cut(prepared(counts.join(rows, "cell_barcode", "left_semi"), None), "values")
     found = de_ops.differential_expression(values, rows, control)

@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 
 from screenloom.functions import pvalues
+from screenloom.operators import models
 from screenloom.plans import catalog
+from screenloom.plans import composites as co
 
 
 def exact_tail(k, u, m, n):
@@ -38,3 +40,30 @@ def test_registered_whole_tables(spark, sf):
     calls = spark.read.parquet(f"{sf}/guide_calls_csv.parquet").count()
     assert catalog.f02_lenient_cast_all(spark, sf).count() == calls > catalog.f02_lenient_cast(spark, sf).count()
     assert catalog.s07_all_chunks(spark, sf).select("perturbation").distinct().count() > 2
+
+
+def test_signature_of_all_controls(spark):
+    r = np.random.default_rng(4)
+    x = r.normal(0, 1, (90, 3))
+    rows = [(f"c{i:02d}", "ctl" if i < 60 else "p", v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "cell_barcode string, perturbation string, x array<double>")
+    got = {s.cell_barcode: s.signature for s in models.signature(df, "ctl", 5).collect()}
+    assert len(got) == 90
+    for i in range(90):
+        d = ((x[i] - x[:60]) ** 2).sum(1)
+        if i < 60:
+            d[i] = np.inf
+        assert got[f"c{i:02d}"] == pytest.approx((x[i] - x[np.argsort(d)[:5]].mean(0)).tolist())
+    # Fewer controls than asked for: a control is not its own neighbour.
+    few = {s.cell_barcode: s.signature for s in models.signature(df.where("cell_barcode < 'c02' OR perturbation = 'p'"), "ctl", 5).collect()}
+    assert few["c00"] == pytest.approx((x[0] - x[1]).tolist())
+
+
+def test_selected_cells_meet_all_controls(spark):
+    """More controls than the former fixed sample."""
+    cells = spark.range(50_300).selectExpr("concat('c', id) AS cell_barcode", "if(id < 50200, 'ctl', 'p') AS perturbation")
+    ps = cells.where("perturbation = 'p'").selectExpr("cell_barcode", "perturbation", "double(substring(cell_barcode, 2)) AS ps_score")
+    counts = cells.selectExpr("cell_barcode", "concat('g', length(cell_barcode) % 2) AS gene", "double(1 + hash(cell_barcode) % 2) AS value").unionByName(cells.selectExpr("cell_barcode", "'h' AS gene", "1d AS value"))
+    found = co.ps_select_and_de(ps, counts.where("value > 0"), cells, "ctl", co.Defaults(ps_quantile=0.5))
+    share = counts.where("value > 0 AND gene = 'g1'").join(cells.where("perturbation = 'ctl'"), "cell_barcode").count() / 50_200
+    assert found.where("gene = 'g1'").first().pct_nz_reference == pytest.approx(share, rel=1e-12)
