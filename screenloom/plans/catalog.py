@@ -702,11 +702,11 @@ def n13_signature(spark, d):
     return out.select("cell_barcode", "perturbation", F.transform("signature", lambda v: F.round(v, 6)).alias("signature"))
 
 
-def _scored(spark, d):
+def _scored(spark, d, **bounds):
     # Each is read several times below.
     rows, values = cut(cells(spark, d), "cells"), cut(co.prepared(counts(spark, d, True), 10_000), "values")
     de = de_ops.differential_expression(values, rows, CONTROL)
-    chosen = cut(models.effect_genes(de, 0.0, 1.0, 40), "chosen")
+    chosen = cut(models.effect_genes(de, co.Defaults.lfc, co.Defaults.p, **bounds), "chosen")
     return rows, models.projections(values, rows, chosen, CONTROL), models.control_moments(values, rows, chosen, CONTROL)
 
 
@@ -718,7 +718,7 @@ def n14_mixscape(spark, d):
 
 @query()
 def n15_mixscale(spark, d):
-    _, scores, moments = _scored(spark, d)
+    _, scores, moments = _scored(spark, d, most=co.Defaults.mixscale_max_genes, least=co.Defaults.mixscale_min_genes)
     return models.mixscale_scores(scores, moments).withColumn("mixscale_score", F.round("mixscale_score", 6))
 
 

@@ -38,7 +38,8 @@ class Defaults:
     ps_quantile: float = 0.90
     ps_min_cells: int = 20
     ps_max_controls: int = 0
-    max_de_genes: int = 100
+    mixscale_min_genes: int = 5
+    mixscale_max_genes: int = 100
 
 
 def build_manifest(cells: DataFrame, control: str, per_chunk: int = 128, min_cells: int = 30, max_controls: int = 10_000, seed: int = 0) -> DataFrame:
@@ -101,7 +102,7 @@ def run_mixscape(counts: DataFrame, cells: DataFrame, control: str, d: Defaults
     pcs = similarity.principal_components(similarity.cell_vectors(values, genes), d.n_pcs)
     deltas = fx.centroid_deltas(pcs.join(rows, "cell_barcode"), control)
     found = de_ops.differential_expression(values, rows, control)
-    chosen = cut(models.effect_genes(found, d.lfc, d.p, d.max_de_genes), "chosen")
+    chosen = cut(models.effect_genes(found, d.lfc, d.p), "chosen")
     scores = models.projections(values, rows, chosen, control)
     classes = models.classify(scores, models.control_moments(values, rows, chosen, control), control, rows)
     return classes, deltas, scores

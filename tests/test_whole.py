@@ -67,3 +67,20 @@ def test_selected_cells_meet_all_controls(spark):
     found = co.ps_select_and_de(ps, counts.where("value > 0"), cells, "ctl", co.Defaults(ps_quantile=0.5))
     share = counts.where("value > 0 AND gene = 'g1'").join(cells.where("perturbation = 'ctl'"), "cell_barcode").count() / 50_200
     assert found.where("gene = 'g1'").first().pct_nz_reference == pytest.approx(share, rel=1e-12)
+
+
+def test_all_significant_genes(spark):
+    rows = [("p", f"g{i:03d}", 1.0, 0.5, 0.01) for i in range(150)] + [("p", "weak", 1.0, 0.05, 0.01), ("p", "noise", 1.0, 0.5, 0.2), ("q", "g000", 1.0, 0.5, 0.01)]
+    de = spark.createDataFrame(rows, "perturbation string, gene string, score double, logfoldchange double, pval_adj double")
+    each = lambda df: {r.perturbation: r["count"] for r in df.groupBy("perturbation").count().collect()}
+    assert each(models.effect_genes(de)) == {"p": 150, "q": 1}
+    assert each(models.effect_genes(de, most=100, least=5)) == {"p": 100}
+
+
+def test_mixture_does_not_follow_the_number_of_cells(monkeypatch):
+    at = (np.arange(-40, 60) + 0.5) / 10
+    h = np.round(900 * np.exp(-0.5 * at**2) + 200 * np.exp(-0.5 * ((at - 3) / 0.7) ** 2))
+    # The start alone, without a step of the fit.
+    monkeypatch.setattr(models, "range", lambda n: [], raising=False)
+    few, many = models._mixture(h, at, 0.0, 1.0), models._mixture(100 * h, at, 0.0, 1.0)
+    assert few == pytest.approx(many) and few[0] == pytest.approx(np.quantile(np.repeat(at, h.astype(int)), 0.75), abs=0.1)
