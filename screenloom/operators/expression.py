@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,3 +98,31 @@ def budgeted_genes(ranked: DataFrame, budget: int, max_genes: int = 0) -> DataFr
     out = rows.join(before.drop("__s"), "__b").withColumn("__run", run + F.col("__o")).where(F.col("__run") <= budget)
     out = out.where(F.col("position") <= max_genes) if max_genes > 0 else out
     return out.select("gene", "position", "n_nonzero")
+
+
+#: Factors by which the cap on one gene's non-zeros is raised until enough genes are candidates.
+CAP_FACTORS = (1, 2, 4, 8, 16, 32, 64, 128)
+
+
+def greedy_genes(ranked: DataFrame, budget: int, max_genes: int) -> DataFrame:
+    """(gene, position, n_nonzero) of at most ``max_genes`` genes in order of ``position`` whose
+    non-zeros fit in ``budget``: a gene that would exceed it is skipped and the next is tried.
+    Genes under a cap come first (the even share, raised until a third of ``max_genes`` and 100
+    are under it), then the others with what is left. The choice is sequential over one row per
+    gene, which one task holds."""
+    cap = max(1, budget // max(1, max_genes))
+    enough = max(100, max_genes // 3)
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf[pdf["n_nonzero"] > 0].sort_values("position", ignore_index=True)
+        n = pdf["n_nonzero"].to_numpy()
+        top = next((cap * f for f in CAP_FACTORS if (n <= cap * f).sum() >= enough), cap * CAP_FACTORS[-1])
+        picked, total = [], 0
+        for i in [*np.flatnonzero(n <= top), *np.flatnonzero(n > top)]:
+            if len(picked) < max_genes and total + n[i] <= budget:
+                picked.append(i)
+                total += n[i]
+        return pdf.iloc[sorted(picked)]
+
+    rows = ranked.select("gene", F.col("position").cast("bigint").alias("position"), F.col("n_nonzero").cast("bigint").alias("n_nonzero"))
+    return rows.groupBy().applyInPandas(choose, rows.schema)

@@ -553,11 +553,22 @@ def w11_priority(spark, d):
 @query(f"""WITH {COUNTS_SQL}, g AS (SELECT gene, count(*) AS n_nonzero, row_number() OVER (ORDER BY count(*) DESC, gene) AS position FROM counts GROUP BY 1),
 r AS (SELECT *, sum(n_nonzero) OVER (ORDER BY position) AS run, sum(n_nonzero) OVER () AS total FROM g) SELECT gene, position, n_nonzero FROM r WHERE run <= total // 2""")
 def w13_gene_budget(spark, d):
+    ranked, total = _ranked_genes(spark, d)
+    return ex.budgeted_genes(ranked, total // 2)
+
+
+@query()
+def w13_greedy_genes(spark, d):
+    ranked, total = _ranked_genes(spark, d)
+    return ex.greedy_genes(ranked, total // 2, 2000)
+
+
+def _ranked_genes(spark, d):
     per = counts(spark, d).groupBy("gene").agg(F.count(F.lit(1)).alias("n_nonzero"))
     total = per.agg(F.sum("n_nonzero")).first()[0] or 0
     keyed = per.withColumn("key", F.struct((-F.col("n_nonzero")).alias("n"), "gene"))
     ranked = rel.chunk_labels(keyed, "key", 1).select(F.col("key.gene").alias("gene"), (-F.col("key.n")).alias("n_nonzero"), (F.col("chunk_index") + 1).cast("bigint").alias("position"))
-    return ex.budgeted_genes(ranked, total // 2)
+    return ranked, total
 
 
 @query("SELECT perturbation, cluster, n_cells FROM (SELECT DISTINCT perturbation, cluster, n_cells FROM perturbation_clusters) ORDER BY n_cells DESC NULLS LAST, cluster NULLS LAST, perturbation LIMIT 25")

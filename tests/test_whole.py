@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from screenloom.functions import pvalues
-from screenloom.operators import models
+from screenloom.operators import expression, models
 from screenloom.plans import catalog
 from screenloom.plans import composites as co
 
@@ -84,3 +84,16 @@ def test_mixture_does_not_follow_the_number_of_cells(monkeypatch):
     monkeypatch.setattr(models, "range", lambda n: [], raising=False)
     few, many = models._mixture(h, at, 0.0, 1.0), models._mixture(100 * h, at, 0.0, 1.0)
     assert few == pytest.approx(many) and few[0] == pytest.approx(np.quantile(np.repeat(at, h.astype(int)), 0.75), abs=0.1)
+
+
+def test_greedy_genes_skip_and_go_on(spark):
+    n = [900, 5, 0, 400, 300, 200, 5]
+    ranked = spark.createDataFrame([(f"g{i}", i + 1, v) for i, v in enumerate(n)], "gene string, position long, n_nonzero long")
+    pick = lambda budget, most: {r.gene for r in expression.greedy_genes(ranked, budget, most).collect()}
+    assert expression.budgeted_genes(ranked, 600).count() == 0
+    # All are under the last cap: the first is over the budget and the rest go on.
+    assert pick(600, 7) == {"g1", "g3", "g6"} and pick(600, 2) == {"g1", "g3"}
+    many = [(f"big{i}", i + 1, 1500) for i in range(3)] + [(f"s{i:03d}", i + 4, 10) for i in range(100)]
+    ranked = spark.createDataFrame(many, "gene string, position long, n_nonzero long")
+    # The cap 3000 // 103 holds the large ones back for the second pass.
+    assert pick(3000, 103) == {f"s{i:03d}" for i in range(100)} | {"big0"}
