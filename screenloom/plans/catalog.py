@@ -787,6 +787,11 @@ def c03_run_mixscape(spark, d):
     return classes.withColumn("p_ko", F.round("p_ko", 6))
 
 
+@query()
+def c03_effects(spark, d):
+    return co.run_mixscape(counts(spark, d, True), cells(spark, d), CONTROL)[1]
+
+
 @query("""WITH v AS (SELECT CAST(label AS VARCHAR) AS perturbation, vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(1, len(embedding) + 1)) AS k FROM embeddings),
 m AS (SELECT perturbation, k, avg(x) AS m, var_samp(x) AS v, count(*)::DOUBLE AS n FROM v GROUP BY ALL),
 e AS (SELECT a.perturbation, sqrt(sum((a.m - b.m) ** 2)) AS effect FROM m a JOIN m b ON a.k = b.k AND b.perturbation = '0' GROUP BY 1),
@@ -826,7 +831,8 @@ def c08_merge_tables(spark, d):
 @query()
 def c06_postprocess(spark, d):
     rows = cells_many(spark, d)
-    return co.postprocess(counts(spark, d, True), rows.where(F.col("perturbation") != CONTROL_MANY), 20).select("perturbation", "n_selected_cells", "community")
+    out = co.postprocess(counts(spark, d, True), rows.where(F.col("perturbation") != CONTROL_MANY), 20)
+    return out.withColumns({c: F.round(c, 6) for c in ("axis_1", "axis_2")})
 
 
 @query("""WITH e AS (SELECT CAST(event_id AS VARCHAR) AS cell_barcode, event_type AS perturbation, value AS ps_score FROM events WHERE event_type <> 'click'),

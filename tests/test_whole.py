@@ -97,3 +97,8 @@ def test_greedy_genes_skip_and_go_on(spark):
     ranked = spark.createDataFrame(many, "gene string, position long, n_nonzero long")
     # The cap 3000 // 103 holds the large ones back for the second pass.
     assert pick(3000, 103) == {f"s{i:03d}" for i in range(100)} | {"big0"}
+
+
+def test_axes_and_effects_are_registered(spark, sf):
+    assert {"axis_1", "axis_2"} <= set(catalog.c06_postprocess(spark, sf).columns)
+    assert "effect_l2_vs_control" in catalog.c03_effects(spark, sf).columns
