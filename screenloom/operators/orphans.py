@@ -1,30 +1,33 @@
 """References to records that do not exist at the time of the reference.
 
-The state of one key is its *balance*: the number of parent rows present. A parent's arrival
-adds one, its removal takes one away; a reference is an orphan when the balance at its time is
-zero. The fold over a key's events in time order keeps the pending orphans: an arrival resolves
-those that wait, a removal that brings the balance back to zero opens them again.
-
-``advance`` takes the events of any batch together with the state left by earlier batches, so a
-history can be worked off in one go or period by period with equal results. Nulls: a parent
-without key or arrival time, or removed no later than it arrived, is never present. A reference
-with a null barcode is no case. One with a null parent scope (``dataset``) or a null time can
-match no parent and is an orphan, its period null when its time is. Repeated parents raise and
-lower the balance together, repeated references give the same verdict.
+The state is keyed by (dataset, cell_barcode). A key holds its parent index, which is the steps
+of its *balance* (an arrival adds one parent, a removal takes one away), and its references, each
+marked ``open`` while no parent is present at its time. ``absorb`` takes the next batch of
+events: new references probe the parent index, parents that arrive, also late ones, resolve the
+references that wait, and removals open them again. Batches may come in any order; only the keys
+a batch touches are decided again. A history worked off in one batch or in many gives one state.
+``open_references`` and ``orphan_snapshots`` read the state.
+
+Nulls: a parent without key or arrival time, or removed no later than it arrived, is never
+present. A reference with a null barcode is no case. One with a null parent scope (``dataset``)
+or a null time can match no parent and is an orphan, its period null when its time is. Repeated
+parents raise and lower the balance together, repeated references give the same verdict and
+count as often as they occur. Empty tables give an empty state.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from screenloom.operators.skew import heavy_keys
 from screenloom.session import cut
 
 KEY = ["dataset", "cell_barcode"]
-SLICE = "day"
-#: A key is split by time slices when it holds 0.1 % of all events and this many.
+COLUMNS = ["source_table", *KEY, "ts", "delta", "n"]
+#: A key is cut into ranges of time when it holds 0.1 % of a batch's events and this many.
 HOT_PERCENT, HOT_ROWS = 0.1, 50_000
+#: Keys that the sketch of frequent keys follows; its counts are right to 1 / 6000 of the events.
+FOLLOWED = 8192
 
 
 def barcode_key(column: str = "cell_barcode") -> Column:
@@ -33,19 +36,17 @@ def barcode_key(column: str = "cell_barcode") -> Column:
 
 
 def reference_events(refs: DataFrame) -> DataFrame:
-    """References (source_table, dataset, cell_barcode, loaded_at) as events of delta 0."""
-    return refs.select(
-        "dataset",
-        barcode_key().alias("cell_barcode"),
-        F.col("loaded_at").alias("ts"),
-        F.lit(1).cast("tinyint").alias("kind"),
-        F.lit(0).cast("bigint").alias("delta"),
-        "source_table",
-    ).where(F.col("cell_barcode").isNotNull())
+    """References (source_table, dataset, cell_barcode, loaded_at) as events without a step."""
+    rows = refs.select(
+        "source_table", "dataset", barcode_key().alias("cell_barcode"), F.col("loaded_at").alias("ts"),
+        F.lit(0).cast("bigint").alias("delta"), F.lit(1).cast("bigint").alias("n"),
+    )
+    return rows.where(F.col("cell_barcode").isNotNull())
 
 
 def parent_events(parents: DataFrame) -> DataFrame:
-    """Parents (dataset, cell_barcode, loaded_at, removed_at) as arrivals and removals."""
+    """Parents (dataset, cell_barcode, loaded_at, removed_at) as steps up and down; they have no
+    ``source_table`` and count as no reference."""
     live = (
         parents.select("dataset", barcode_key().alias("cell_barcode"), "loaded_at", "removed_at")
         .where(F.col("dataset").isNotNull() & F.col("cell_barcode").isNotNull())
@@ -55,92 +56,82 @@ def parent_events(parents: DataFrame) -> DataFrame:
     arrived = F.struct(F.col("loaded_at").alias("ts"), F.lit(1).cast("bigint").alias("delta"))
     removed = F.struct(F.col("removed_at").alias("ts"), F.lit(-1).cast("bigint").alias("delta"))
     steps = live.select(*KEY, F.inline(F.array(arrived, removed))).where(F.col("ts").isNotNull())
-    return steps.select(
-        *KEY, "ts", F.lit(0).cast("tinyint").alias("kind"), "delta", F.lit(None).cast("string").alias("source_table")
-    )
+    return steps.select(F.lit(None).cast("string").alias("source_table"), *KEY, "ts", "delta", F.lit(0).cast("bigint").alias("n"))
 
 
-def advance(
-    refs: DataFrame,
-    parents: DataFrame,
-    state: DataFrame | None = None,
-    hot_percent: float = HOT_PERCENT,
-    hot_rows: int = HOT_ROWS,
+def absorb(
+    events: DataFrame, state: DataFrame | None = None, hot_percent: float = HOT_PERCENT, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Every reference of the batch with its ``balance``; it is an orphan at zero.
-
-    ``refs`` and ``parents`` are events as above, ``state`` the balances (dataset,
-    cell_barcode, balance) before the batch. One shuffle by key and a running sum decide all
-    references. A key that holds a large share of the events would be one task's work, so such
-    keys (a thousand at most, counted first from partial counts) are cut into time slices: the
-    compact per-slice sums give each slice its opening balance, and its events are decided on
-    their own.
+    """The state after a batch: (source_table, dataset, cell_barcode, ts, delta, n, open), one
+    row per reference (``open`` says whether it waits for a parent) and per step of a parent
+    (``source_table`` null).
+
+    ``events`` are read once. They are written together with what the state knows of their keys,
+    and a sketch of frequent keys comes out of the same pass. One shuffle by key and a running
+    sum then decide all references. Keys that hold a large share would be one task's work; they
+    are cut by ``_ranged`` instead. Keys the batch does not touch keep their rows.
     """
-    events = refs.unionByName(parents)
-    if state is not None:
-        carried = state.where(F.col("dataset").isNotNull()).select(
-            *KEY,
-            F.lit(None).cast("timestamp_ntz" if dict(refs.dtypes)["ts"] == "timestamp_ntz" else "timestamp").alias("ts"),
-            F.lit(-1).cast("tinyint").alias("kind"),
-            F.col("balance").alias("delta"),
-            F.lit(None).cast("string").alias("source_table"),
-        )
-        events = events.unionByName(carried)
-    hot = (
-        heavy_keys(events, KEY, hot_percent)
-        .where(F.col("n_rows") >= hot_rows)
-        .select(*KEY, F.lit(True).alias("hot"))
-    )
-    # At most 100 / hot_percent rows: safe to broadcast at any size of the input.
-    marked = events.join(F.broadcast(hot), KEY, "left").withColumn(
-        "slice", F.when(F.col("hot"), F.coalesce(F.date_trunc(SLICE, "ts").cast("string"), F.lit("")))
-    )
-    sums = (
-        marked.where("hot").groupBy(*KEY, "slice").agg(F.sum("delta").alias("delta"), F.min("ts").alias("ts"))
-    )
-    before = Window.partitionBy(*KEY).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    opening = (
-        sums.withColumn("delta", F.coalesce(F.sum("delta").over(before), F.lit(0)).cast("bigint"))
-        .withColumn("kind", F.lit(-2).cast("tinyint"))
-        .withColumn("source_table", F.lit(None).cast("string"))
-    )
-    columns = [*KEY, "slice", "ts", "kind", "delta", "source_table"]
-    opening = opening.withColumn("ts", F.lit(None).cast(dict(marked.dtypes)["ts"])).select(*columns)
-    # References without a time sort before carried balances would apply to them.
-    order = F.when(F.col("ts").isNull() & (F.col("kind") == 1), 0).otherwise(1)
-    running = (
-        Window.partitionBy(*KEY, "slice")
-        .orderBy(order, F.col("ts").asc_nulls_first(), "kind")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    decided = marked.select(*columns).unionByName(opening)
-    return (
-        decided.withColumn("balance", F.sum("delta").over(running))
-        .where("kind = 1")
-        .select("source_table", *KEY, "ts", "balance")
-    )
-
-
-def close(refs: DataFrame, parents: DataFrame, state: DataFrame | None = None) -> DataFrame:
-    """The balances after the batch: what ``advance`` needs as ``state`` for the next one."""
-    steps = parents.select(*KEY, F.col("delta").alias("balance"))
+    spark, rest = events.sparkSession, None
+    rows = events.select(*COLUMNS)
     if state is not None:
-        steps = steps.unionByName(state.select(*KEY, "balance"))
-    return steps.groupBy(*KEY).agg(F.sum("balance").alias("balance")).where("balance <> 0")
+        # Keys with a null match nothing: their references stay open and need no new verdict.
+        touched = events.select(*KEY).distinct()
+        rows = rows.unionByName(state.join(touched, KEY, "left_semi").select(*COLUMNS))
+        rest = state.join(touched, KEY, "left_anti").select(*COLUMNS, "open")
+    seen, key = Observation("frequent keys"), F.xxhash64(*KEY)
+    most = int(100 / hot_percent)
+    figures = [F.expr(f"approx_top_k(__h, {most}, {max(FOLLOWED, 8 * most)})").alias("top"), F.count(F.lit(1)).alias("n")]
+    rows = cut(rows.withColumn("__h", key).observe(seen, *figures).drop("__h"), "events")
+    found = seen.get
+    least = max(hot_rows, (found["n"] or 0) * hot_percent / 100)
+    hot = [r["item"] for r in found["top"] or [] if r["count"] >= least and r["item"] is not None]
+    if hot:
+        # At most 100 / hot_percent numbers, whatever the input.
+        is_hot = key.isin(hot)
+        decided = _decided(rows.where(~is_hot), KEY).unionByName(_ranged(rows.where(is_hot)))
+    else:
+        decided = _decided(rows, KEY)
+    return decided if rest is None else decided.unionByName(rest)
+
+
+def _decided(rows: DataFrame, key: list[str], opening: Column | None = None) -> DataFrame:
+    """Rows with ``open``: at the time of a reference, steps of that time included, the balance
+    is not positive. References without a time come before all steps."""
+    upto = Window.partitionBy(*key).orderBy(F.col("ts").asc_nulls_first()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    balance = F.sum("delta").over(upto)
+    balance = balance if opening is None else balance + opening
+    waits = F.when(F.col("source_table").isNotNull(), F.col("ts").isNull() | (balance <= 0))
+    return rows.withColumn("open", waits).select(*COLUMNS, "open")
+
+
+def _ranged(rows: DataFrame) -> DataFrame:
+    """``_decided`` for keys of any number of events: events of one time are added up in their
+    tasks, the rest is cut into ranges of (key, time), within a day where a day is crowded, and
+    every range is decided on its own from the balance that the ranges before it leave."""
+    packed = rows.groupBy("source_table", *KEY, "ts").agg(F.sum("delta").alias("delta"), F.sum("n").alias("n"))
+    ranges = packed.repartitionByRange(*KEY, "ts").withColumn("__p", F.spark_partition_id())
+    # Kept, so that both uses see the same ranges.
+    ranges = cut(ranges, "ranges")
+    sums = ranges.groupBy(*KEY, "__p").agg(F.sum("delta").alias("d"))
+    before = Window.partitionBy(*KEY).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*[F.col(k).alias(f"__{k}") for k in KEY], F.col("__p").alias("__q"), F.coalesce(F.sum("d").over(before), F.lit(0)).alias("__o"))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in KEY]
+    opened = ranges.join(sums, [*same, F.col("__p") == F.col("__q")])
+    return _decided(opened, [*KEY, "__p"], F.col("__o"))
+
+
+def open_references(state: DataFrame) -> DataFrame:
+    """Distinct (source_table, dataset, cell_barcode, period) of the references that wait; the
+    period is the month ``yyyy-MM`` of the reference."""
+    return state.where("open").select("source_table", *KEY, F.date_format("ts", "yyyy-MM").alias("period")).distinct()
 
 
 def orphan_references(refs: DataFrame, parents: DataFrame, **options) -> DataFrame:
-    """Distinct (source_table, dataset, cell_barcode, period) of orphan references; the period
-    is the month ``yyyy-MM`` of the reference."""
-    decided = advance(reference_events(refs), parent_events(parents), **options)
-    return (
-        decided.where("balance <= 0")
-        .select("source_table", *KEY, F.date_format("ts", "yyyy-MM").alias("period"))
-        .distinct()
-    )
+    """``open_references`` of a history that is absorbed in one batch."""
+    return open_references(absorb(reference_events(refs).unionByName(parent_events(parents)), **options))
 
 
-def orphan_snapshots(refs: DataFrame, parents: DataFrame) -> DataFrame:
+def orphan_snapshots(state: DataFrame) -> DataFrame:
     """Per table and month: references so far, and how many of their keys have no parent at the
     month's end. Columns source_table, period, n_references, n_open; one row for every month with
     an event from the table's first reference on.
@@ -150,32 +141,30 @@ def orphan_snapshots(refs: DataFrame, parents: DataFrame) -> DataFrame:
     month and added up over the months: arrivals resolve, removals reopen, nothing is replayed.
     References without a time belong to no month and are left out.
     """
-    events = reference_events(refs).unionByName(parent_events(parents)).where(F.col("ts").isNotNull())
-    events = events.withColumn("period", F.date_format("ts", "yyyy-MM"))
-    asked = F.when(F.col("kind") == 1, 1).otherwise(0)
-    steps = events.groupBy(*KEY, "period", "source_table").agg(F.sum("delta").alias("delta"), F.sum(asked).alias("n"))
-    state = steps.groupBy(*KEY, "period").agg(
+    events = state.where(F.col("ts").isNotNull()).withColumn("period", F.date_format("ts", "yyyy-MM"))
+    steps = events.groupBy(*KEY, "period", "source_table").agg(F.sum("delta").alias("delta"), F.sum("n").alias("n"))
+    months = steps.groupBy(*KEY, "period").agg(
         F.sum("delta").alias("delta"),
         F.map_from_entries(F.collect_list(F.when(F.col("source_table").isNotNull(), F.struct("source_table", "n")))).alias("asked"),
     )
     upto = Window.partitionBy(*KEY).orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
     tables = Window.partitionBy(*KEY, "source_table").orderBy("period")
-    balance = state.select(*KEY, "period", F.sum("delta").over(upto).alias("balance"), "asked")
-    # One row per (key, month, table that the key is referenced from); few tables per key.
-    known = balance.withColumn(
-        "names", F.array_distinct(F.flatten(F.collect_list(F.map_keys("asked")).over(Window.partitionBy(*KEY))))
-    )
+    balance = months.select(*KEY, "period", F.sum("delta").over(upto).alias("balance"), "asked")
+    # One row per (key, month, table that the key is referenced from); few tables per key. The
+    # table without a name stands for the month itself.
+    names = F.array_distinct(F.flatten(F.collect_list(F.map_keys("asked")).over(Window.partitionBy(*KEY))))
+    known = balance.withColumn("names", F.array_append(names, F.lit(None).cast("string")))
     rows = known.select(*KEY, "period", "balance", "asked", F.explode("names").alias("source_table"))
-    rows = rows.withColumn("n", F.coalesce(F.col("asked")[F.col("source_table")], F.lit(0)))
+    rows = rows.withColumn("n", F.when(F.col("source_table").isNull(), 0).otherwise(F.coalesce(F.col("asked")[F.col("source_table")], F.lit(0))))
     total = F.sum("n").over(tables.rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumn("open", F.when(F.col("balance") <= 0, total).otherwise(0))
     rows = rows.withColumn("change", F.col("open") - F.lag("open", 1, 0).over(tables))
     monthly = rows.groupBy("source_table", "period").agg(F.sum("n").alias("n"), F.sum("change").alias("change"))
-    # A few rows from here on, written since they are read twice: every table has a row for every
-    # month of the history.
+    # A few rows from here on, written since they are read three times: every table has a row for
+    # every month of the history.
     monthly = cut(monthly, "monthly")
-    months = events.agg(F.collect_set("period")).scalar()
-    grid = monthly.select("source_table").distinct().withColumn("months", months)
+    periods = monthly.agg(F.collect_set("period")).scalar()
+    grid = monthly.select("source_table").where("source_table IS NOT NULL").distinct().withColumn("months", periods)
     grid = grid.select("source_table", F.explode("months").alias("period")).join(monthly, ["source_table", "period"], "left")
     along = Window.partitionBy("source_table").orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
     total = lambda c: F.coalesce(F.sum(c).over(along), F.lit(0)).cast("bigint")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenloom.operators.orphans import orphan_references, orphan_snapshots
+from screenloom.operators.orphans import absorb, open_references, orphan_snapshots, parent_events, reference_events
 from screenloom.operators.packed import split_packed, whole_number
 from screenloom.operators.skew import heavy_keys, label_key, skewed_aggregate
 from screenloom.session import load
@@ -54,12 +54,16 @@ def _references(spark: SparkSession, d: str) -> DataFrame:
     return guides.unionByName(chunks)
 
 
+def _orphan_state(spark: SparkSession, d: str) -> DataFrame:
+    return absorb(reference_events(_references(spark, d)).unionByName(parent_events(load(spark, d, "obs_cells"))))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return orphan_references(_references(spark, d), load(spark, d, "obs_cells"))
+    return open_references(_orphan_state(spark, d))
 
 
 def p4_snapshots(spark: SparkSession, d: str) -> DataFrame:
-    return orphan_snapshots(_references(spark, d), load(spark, d, "obs_cells"))
+    return orphan_snapshots(_orphan_state(spark, d))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

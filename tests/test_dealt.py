@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from screenloom.operators import orphans as op
 from screenloom.operators.packed import Dialect, split_packed, tokenize, whole_number
 from screenloom.operators.skew import heavy_keys, label_key, skewed_aggregate
+from screenloom.session import cut
 
 T = lambda day, hour=0, month=1: dt.datetime(2025, month, day, hour)
 REF = "source_table string, dataset string, cell_barcode string, loaded_at timestamp"
@@ -66,23 +67,37 @@ def test_orphans_against_hand(spark, seed, hot):
     assert {tuple(r) for r in got.collect()} == orphans_by_hand(refs, obs)
 
 
-def test_orphans_period_by_period(spark):
-    """Working off the history month by month gives what one batch gives."""
-    refs, obs = orphan_case(20, 9)
-    r, p = op.reference_events(spark.createDataFrame(refs, REF)), op.parent_events(spark.createDataFrame(obs, OBS))
-    month, state, found = F.coalesce(F.month("ts"), F.lit(1)), None, set()
-    for m in range(1, 6):
-        a, b = r.where(month == m), p.where(month == m)
-        decided = op.advance(a, b, state).where("balance <= 0").select("source_table", *op.KEY, F.date_format("ts", "yyyy-MM"))
-        found |= {tuple(x) for x in decided.collect()}
-        state = op.close(a, b, state)
-    assert found == orphans_by_hand(refs, obs)
+def history(spark, refs, obs):
+    return op.reference_events(spark.createDataFrame(refs, REF)).unionByName(op.parent_events(spark.createDataFrame(obs, OBS)))
+
+
+@pytest.mark.parametrize("seed", [9, 10])
+@pytest.mark.parametrize("hot", [{}, {"hot_rows": 1, "hot_percent": 1.0}])
+def test_orphans_in_batches_of_any_order(spark, seed, hot):
+    """Late parents resolve, late removals reopen: any split gives the state of one batch."""
+    refs, obs = orphan_case(20, seed)
+    events = cut(history(spark, refs, obs).withColumn("b", F.floor(F.rand(seed) * 4)), "batches")
+    state = None
+    for b in range(4):
+        state = cut(op.absorb(events.where(F.col("b") == b).drop("b"), state, **hot), "state")
+    assert {tuple(r) for r in op.open_references(state).collect()} == orphans_by_hand(refs, obs)
+    once = op.absorb(events.drop("b"))
+    assert sorted(map(tuple, op.orphan_snapshots(state).collect())) == sorted(map(tuple, op.orphan_snapshots(once).collect()))
+
+
+def test_orphans_of_one_hot_key_within_a_day(spark):
+    r = random.Random(3)
+    refs = [("g", "x", "aa", T(1, r.randint(0, 23)).replace(minute=r.randint(0, 59), second=r.randint(0, 59))) for _ in range(3000)]
+    obs = [("x", "AA", T(1, h), T(1, h).replace(minute=40)) for h in range(0, 24, 2)]
+    state = op.absorb(history(spark, refs, obs), hot_rows=100)
+    want = sum(t.hour % 2 == 1 or t.minute >= 40 for *_, t in refs)
+    assert state.where("open").agg(F.sum("n")).first()[0] == want
 
 
 def test_orphans_empty(spark):
     refs, obs = spark.createDataFrame([], REF), spark.createDataFrame([], OBS)
     assert op.orphan_references(refs, obs).count() == 0
-    assert op.orphan_snapshots(refs, obs).count() == 0
+    assert op.orphan_snapshots(op.absorb(history(spark, [], []))).count() == 0
     one = spark.createDataFrame([("g", "x", "aa", T(1))], REF)
     assert [tuple(r) for r in op.orphan_references(one, obs).collect()] == [("g", "x", "AA", "2025-01")]
 
@@ -90,7 +105,7 @@ def test_orphans_empty(spark):
 def test_snapshots_resolve_and_reopen(spark):
     refs = [("g", "x", "aa", T(1)), ("g", "x", "bb", T(2)), ("c", "x", "aa", T(3, month=3))]
     obs = [("x", "AA", T(5, month=2), T(6, month=3)), ("x", "AA", T(1, month=4), None)]
-    got = op.orphan_snapshots(spark.createDataFrame(refs, REF), spark.createDataFrame(obs, OBS))
+    got = op.orphan_snapshots(op.absorb(history(spark, refs, obs)))
     rows = {(r.source_table, r.period): (r.n_references, r.n_open) for r in got.collect()}
     assert rows[("g", "2025-01")] == (2, 2)
     assert rows[("g", "2025-02")] == (2, 1)

@@ -3,6 +3,7 @@
 import math
 import random
 import tempfile
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from screenloom.functions import columns, pvalues
 from screenloom.functions.columns import label_seed
 from screenloom.operators import audit, de, ora, sampling, similarity, streams
 from screenloom.operators import relational as rel
+from screenloom.operators.orphans import open_references
 from screenloom.plans import composites as co
 from screenloom.plans import config
 from screenloom.sources import sinks, tables
@@ -163,20 +165,25 @@ def test_streams_follow_files(spark, sf):
 
 
 def test_orphans_follow_batches(spark):
-    from screenloom.operators import orphans as op
-    from tests.test_dealt import OBS, REF, orphan_case, orphans_by_hand
+    from tests.test_dealt import history, orphan_case, orphans_by_hand
 
     refs, obs = orphan_case(20, 5)
-    refs = [r for r in refs if r[3] is not None]
     root = "file://" + tempfile.mkdtemp(prefix="spark-")
-    events = op.reference_events(spark.createDataFrame(refs, REF)).unionByName(op.parent_events(spark.createDataFrame(obs, OBS)))
-    # One file a month; files are taken in the order they were written.
-    for m in range(1, 5):
-        events.where(F.month("ts") == m).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    # Files in any order: references come before their parents, removals before arrivals.
+    history(spark, refs, obs).repartition(4, F.rand(3)).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{root}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
     stream_orphans.follow(stream, f"{root}/out").awaitTermination()
-    got = spark.read.parquet(f"{root}/out/orphans").drop("batch").distinct()
-    assert {tuple(r) for r in got.select("source_table", "dataset", "cell_barcode", "period").collect()} == orphans_by_hand(refs, obs)
+    last = max(int(p.name.split("=")[1]) for p in Path(f"{root}/out/state".removeprefix("file://")).glob("batch=*"))
+    state = spark.read.parquet(f"{root}/out/state/batch={last}")
+    assert {tuple(r) for r in open_references(state).collect()} == orphans_by_hand(refs, obs)
+    assert last and len(list(Path(f"{root}/out/state".removeprefix("file://")).glob("batch=*"))) == 2
+    # What was opened, resolved and reopened adds up to what is open.
+    sign = F.when(F.col("change") == "resolved", -1).otherwise(1)
+    changes = spark.read.parquet(f"{root}/out/changes").groupBy("source_table", "dataset", "cell_barcode", "ts").agg(F.sum(sign).alias("s"))
+    assert changes.where("s = 1").count() == state.where("open").select("source_table", "dataset", "cell_barcode", "ts").distinct().count()
+    assert changes.where("s NOT IN (0, 1)").count() == 0
+    counted = spark.read.parquet(f"{root}/out/open/batch={last}").agg(F.sum("n_open")).first()[0]
+    assert counted == state.where("open").agg(F.sum("n")).first()[0]
 
 
 def test_bytes_that_are_no_text(spark):
