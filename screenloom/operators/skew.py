@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from screenloom.session import cut
+
 
 def label_key(column: Column | str) -> Column:
     """A label without surrounding blanks and tabs, in lower case; null stays null."""
@@ -51,10 +53,10 @@ def heavy_keys(df: DataFrame, keys: list[str], percent: float) -> DataFrame:
 
     Rows with a null in a key count towards the total but are no result. There are at most
     ``100 / percent`` result rows whatever the size of the input, which makes the result safe
-    to broadcast. The total is a scalar subquery, computed like the counts from partial sums.
-    An empty input has no heavy key.
+    to broadcast. The counts, one row a key, are written once, since the total comes from them
+    too. An empty input has no heavy key.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")), "counts")
     total = counts.agg(F.sum("n_rows")).scalar()
     for k in keys:
         counts = counts.where(F.col(k).isNotNull())

@@ -16,10 +16,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``; a temporary one is
-    set only where the session names none, as in local tests."""
+    """The folder all executors share, from ``spark.checkpoint.dir``. A session on one machine
+    that names none gets a temporary one; on a cluster that would be another folder on every
+    machine, so that there the setting is required."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-screenloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
