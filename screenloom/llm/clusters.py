@@ -9,9 +9,12 @@ none is left gives the chains (``linked_clusters``).
 
 Neighbours are found through a grid on the most spread coordinates: a point is at home in one
 cell and is copied into every cell its ball reaches, so that all neighbours of a point are in its
-home cell. Within a cell distances are computed in blocks of array arithmetic and reduced at once
-to one row per point; pairs are never emitted. A crowded cell is split into chunks that meet in
-block pairs, so that no task holds a cell of unbounded size.
+home cell. A second, finer grid on all coordinates has cells whose points are all neighbours of
+one another: of such a sub-cell only the point of least hash can become a pivot, so that it alone
+asks for its neighbours, however many points lie there. Absorbed points are found by asking the
+few new pivots only. Distances are computed in blocks of array arithmetic and reduced at once to
+one row per point; pairs are never emitted. A crowded cell is split into chunks of points, each of
+which meets all that ask, so that no task holds a cell of unbounded size.
 
 Vectors with a null, NaN or infinite coordinate are left out: the last two are near nothing, not
 even themselves. Repeated rows count once. A name with two
@@ -39,12 +42,24 @@ def points(df: DataFrame, name: str, coordinates: list[str]) -> DataFrame:
     rows = df.select(F.col(name).alias("name"), x.alias("x")).where(F.col("name").isNotNull())
     rows = rows.where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))).distinct()
     key = F.concat_ws("\x01", "name", F.hex(F.xxhash64("x")))
-    return rows.select(key.alias("point"), "name", F.xxhash64(F.lit("pivot"), key).alias("hash"), "x")
+    # 48 bits of a hash of the name that any engine has, then bits that part the vectors of a name.
+    order = F.conv(F.substring(F.md5("name"), 1, 12), 16, 10).cast("bigint") * 32768 + F.xxhash64("x").bitwiseAND(F.lit(32767))
+    return rows.select(key.alias("point"), "name", order.alias("hash"), "x")
+
+
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    """One number a row of whole numbers."""
+    out = np.zeros(len(codes), np.uint64)
+    for k in range(codes.shape[1]):
+        out = (out ^ codes[:, k].astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64)
 
 
 def grid_copies(pts: DataFrame, radius: float, block: int = BLOCK) -> DataFrame:
     """Each point in its home cell and in every other cell within ``radius`` of it, cells that
-    hold one point left out and crowded ones split: (cell, home, point, hash, x)."""
+    hold one point left out: (cell, home, point, hash, sub, x, chunks). ``sub`` is the point's
+    sub-cell, ``chunks`` the number of chunks of ``block`` points that its cell is split into."""
     spread = pts.select(F.posexplode("x").alias("k", "v")).groupBy("k").agg(F.var_samp("v").alias("var"))
     dims = [r.k for r in spread.orderBy(F.col("var").desc_nulls_last(), "k").limit(GRID_DIMS).collect()]
     width, reach = CELL_RADII * radius, radius * (1 + 1e-9)
@@ -54,8 +69,10 @@ def grid_copies(pts: DataFrame, radius: float, block: int = BLOCK) -> DataFrame:
             n = len(batch)
             if not n:
                 continue
-            flat = batch.column("x").flatten().to_numpy()
-            x = flat.reshape(n, -1)[:, dims]
+            full = batch.column("x").flatten().to_numpy().reshape(n, -1)
+            # The diagonal of a sub-cell is less than the radius.
+            sub = _mixed(np.floor(full / (radius * (1 - 1e-9) / np.sqrt(full.shape[1]))))
+            x = full[:, dims]
             base = np.floor(x / width)
             low = x - base * width
             row, cell, gap = np.arange(n), base.astype(np.int64), np.zeros(n)
@@ -68,41 +85,48 @@ def grid_copies(pts: DataFrame, radius: float, block: int = BLOCK) -> DataFrame:
                     moved[:, k] += step
                     parts.append((row[near], moved, (gap + off**2)[near], np.zeros(len(near), bool)))
                 row, cell, gap, home = (np.concatenate(p) for p in zip(*parts))
-            code = np.zeros(len(row), np.uint64)
-            for k in range(len(dims)):
-                code = (code ^ cell[:, k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-                code ^= code >> np.uint64(29)
             taken = batch.take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(code.view(np.int64)), pa.array(home), taken.column("point"), taken.column("hash"), taken.column("x")],
-                names=["cell", "home", "point", "hash", "x"],
+                [pa.array(_mixed(cell)), pa.array(home), taken.column("point"), taken.column("hash"), pa.array(sub[row]), taken.column("x")],
+                names=["cell", "home", "point", "hash", "sub", "x"],
             )
 
-    kind = "cell long, home boolean, point string, hash long, x array<double>"
-    copies = pts.select("point", "hash", "x").mapInArrow(run, kind)
+    kind = "cell long, home boolean, point string, hash long, sub long, x array<double>"
+    # Kept, since the sizes of the cells come from it too.
+    copies = cut(pts.select("point", "hash", "x").mapInArrow(run, kind), "grid")
     sizes = copies.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("lived"))
-    sizes = sizes.where(F.col("lived") & (F.col("n") > 1)).select("cell", "n")
-    # In a cell of several chunks, block (i, j) has chunk i ask for its neighbours among chunk j.
-    split = copies.join(sizes, "cell").withColumn("chunks", F.ceil(F.col("n") / block).cast("int"))
-    split = split.withColumn("mine", F.pmod(F.col("hash"), F.col("chunks")).cast("int"))
-    split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    asks = F.struct("mine", "other", F.col("home").alias("asks"))
-    company = F.struct(F.col("other").alias("mine"), F.col("mine").alias("other"), F.lit(False).alias("asks"))
-    # Within the diagonal block a point asks and keeps company at once.
-    roles = F.when(F.col("mine") == F.col("other"), F.array(asks)).when(F.col("home"), F.array(asks, company)).otherwise(F.array(company))
-    split = split.select("cell", "point", "hash", "x", F.inline(roles))
-    return split.select(F.xxhash64("cell", "mine", "other").alias("cell"), F.col("asks").alias("home"), "point", "hash", "x")
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dict[str, np.ndarray]]:
-    """The columns of each run of equal cells in a sorted partition; one run at a time."""
+    sizes = sizes.where(F.col("lived") & (F.col("n") > 1)).select("cell", F.ceil(F.col("n") / block).cast("int").alias("chunks"))
+    return copies.join(sizes, "cell")
+
+
+def _dealt(asks: DataFrame, company: DataFrame, columns: list[str], block: int) -> DataFrame:
+    """Both sides as rows (block, asks, columns, x), a block for each cell. In crowded cells
+    (``block`` above 0: there are some) each side is dealt to chunks of about ``block`` rows, and
+    each chunk of the one side meets each of the other."""
+    sides = []
+    if block:
+        parts = asks.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+        asks, company = asks.join(parts, "cell"), company.join(parts, "cell")
+    each, own = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)), lambda n: F.pmod("hash", F.col(n)).cast("int")
+    for df, flag in ((asks, True), (company, False)):
+        if block:
+            df = df.withColumn("i", own("parts") if flag else each("parts")).withColumn("j", each("chunks") if flag else own("chunks"))
+        # A new number, not the cell itself: the shuffle by block may not be left out for one by
+        # cell further up, which adaptive execution may still replace.
+        key = F.xxhash64("cell", "i", "j") if block else F.xxhash64("cell")
+        sides.append(df.select(key.alias("block"), F.lit(flag).alias("asks"), *columns, "x"))
+    return sides[0].unionByName(sides[1])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[dict, dict]]:
+    """(those that ask, their company) of each block in a sorted partition; one at a time."""
     rest: pa.Table | None = None
     for batch in batches:
         if not len(batch):
             continue
         table = pa.Table.from_batches([batch])
         rest = table if rest is None else pa.concat_tables([rest, table])
-        cells = rest.column("cell").to_numpy()
+        cells = rest.column("block").to_numpy()
         if cells[0] == cells[-1]:
             continue
         last = int(np.flatnonzero(cells != cells[-1])[-1]) + 1
@@ -112,18 +136,19 @@ def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dic
         yield from _runs(rest, names)
 
 
-def _runs(table: pa.Table, names: list[str]) -> Iterator[dict[str, np.ndarray]]:
+def _runs(table: pa.Table, names: list[str]) -> Iterator[tuple[dict, dict]]:
     table = table.combine_chunks()
-    cells = table.column("cell").to_numpy()
+    cells = table.column("block").to_numpy()
     starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
     ends = np.r_[starts[1:], len(cells)]
     columns = {n: table.column(n).to_numpy(zero_copy_only=False) for n in names}
     flat = table.column("x").combine_chunks()
     x = flat.flatten().to_numpy().reshape(len(cells), -1)
     for a, b in zip(starts, ends):
-        # A home point whose neighbours have all been absorbed stands alone and is asked too.
-        if columns["home"][a:b].any():
-            yield {n: c[a:b] for n, c in columns.items()} | {"x": x[a:b]}
+        ask = columns["asks"][a:b]
+        if ask.any() and not ask.all():
+            rows = {n: c[a:b] for n, c in columns.items()} | {"x": x[a:b]}
+            yield tuple({n: c[side] for n, c in rows.items()} for side in (ask, ~ask))
 
 
 def _near(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
@@ -137,60 +162,80 @@ def _near(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
         yield slice(a, a + step), d
 
 
-def _scan(copies: DataFrame, names: list[str], kind: str, work) -> DataFrame:
-    """``work`` on the columns of every block; it returns output columns or None."""
-    out = [p.split()[0] for p in kind.split(",")]
+def _scan(blocks: DataFrame, kind: str, work) -> DataFrame:
+    """``work`` on (those that ask, their company) of every block; it returns output columns or
+    None."""
+    out, names = [p.split()[0] for p in kind.split(",")], [c for c in blocks.columns if c not in ("block", "x")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches, names):
-            found = work(block)
+        for a, b in _blocks(batches, names):
+            found = work(a, b)
             if found is not None and len(found[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(c, from_pandas=True) for c in found], names=out)
 
-    return copies.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, kind)
+    return blocks.repartition("block").sortWithinPartitions("block").mapInArrow(run, kind)
 
 
-def _least_hash(radius: float):
-    def work(b: dict[str, np.ndarray]):
-        ask = np.flatnonzero(b["home"])
-        best = np.empty(len(ask), np.int64)
-        for rows, d in _near(b["x"][ask], b["x"]):
+def _least_hash(active: DataFrame, radius: float, block: int) -> DataFrame:
+    """(point) of the active points that have the least hash among their active neighbours."""
+
+    def work(a: dict, b: dict):
+        # Points of one sub-cell are neighbours: the least of them alone can be a pivot.
+        order = np.lexsort((a["hash"], a["sub"]))
+        first = order[np.r_[True, a["sub"][order][1:] != a["sub"][order][:-1]]]
+        best = np.empty(len(first), np.int64)
+        for rows, d in _near(a["x"][first], b["x"]):
             best[rows] = np.where(d <= radius**2, b["hash"][None, :], np.iinfo(np.int64).max).min(1)
-        return b["point"][ask], best
+        return a["point"][first], a["hash"][first], best
 
-    return work
+    asks = active.where("home")
+    if block:
+        crowded = asks.where("chunks > 1").groupBy("cell", "sub").agg(F.min("hash").alias("hash"))
+        few = asks.where("chunks > 1").join(crowded, ["cell", "sub", "hash"], "left_semi").select(*asks.columns)
+        asks = asks.where("chunks = 1").unionByName(few)
+    # A point asks in its home cell only; in a crowded one it meets every chunk.
+    found = _scan(_dealt(asks, active, ["point", "hash", "sub"], block), "point string, hash long, least long", work)
+    return found.groupBy("point").agg(F.max("hash").alias("hash"), F.min("least").alias("least")).where("hash <= least").select("point")
 
 
-def _closest_pivot(radius: float):
-    def work(b: dict[str, np.ndarray]):
-        ask, pivots = np.flatnonzero(b["home"]), np.flatnonzero(b["pivot"])
-        if not len(pivots) or not len(ask):
-            return None
-        best, at = np.empty(len(ask)), np.empty(len(ask), np.int64)
-        for rows, d in _near(b["x"][ask], b["x"][pivots]):
-            at[rows] = d.argmin(1)
-            best[rows] = d.min(1)
+def _closest_pivot(home: DataFrame, pivots: DataFrame, radius: float, block: int) -> DataFrame:
+    """(point, pivot, d) of the points within ``radius`` of a pivot, the closest one."""
+
+    def work(a: dict, b: dict):
+        at, best = np.empty(len(a["point"]), np.int64), np.empty(len(a["point"]))
+        for rows, d in _near(a["x"], b["x"]):
+            at[rows], best[rows] = d.argmin(1), d.min(1)
         ok = best <= radius**2
-        return b["point"][ask][ok], b["point"][pivots[at]][ok], best[ok]
+        return a["point"][ok], b["point"][at[ok]], best[ok]
 
-    return work
+    # The points are the company that is dealt to chunks; the pivots, which are far apart, ask.
+    near = home.join(pivots.select("cell").distinct(), "cell", "left_semi").select(*home.columns)
+    found = _scan(_dealt(pivots, near, ["point"], block), "point string, pivot string, d double", lambda a, b: work(b, a))
+    return found.groupBy("point").agg(F.min(F.struct("d", "pivot")).alias("b")).select("point", "b.pivot", "b.d")
 
 
-def _cross_links(radius: float):
-    def work(b: dict[str, np.ndarray]):
-        names, code = np.unique(b["cluster"].astype(str), return_inverse=True)
-        if len(names) < 2:
-            return None
-        ask, links = np.flatnonzero(b["home"]), set()
-        for rows, d in _near(b["x"][ask], b["x"]):
-            i, j = np.nonzero((d <= radius**2) & (code[ask[rows]][:, None] != code[None, :]))
-            links.update(zip(code[ask[rows]][i].tolist(), code[j].tolist()))
+def _cross_links(copies: DataFrame, radius: float, block: int) -> DataFrame:
+    """(a, b): pairs of clusters with a pair of neighbours, from copies with ``cluster``."""
+
+    def work(a: dict, b: dict):
+        names, code = np.unique(np.r_[a["cluster"], b["cluster"]].astype(str), return_inverse=True)
+        mine, other, links = code[: len(a["cluster"])], code[len(a["cluster"]) :], set()
+        for rows, d in _near(a["x"], b["x"]):
+            i, j = np.nonzero((d <= radius**2) & (mine[rows][:, None] != other[None, :]))
+            links.update(np.unique(mine[rows][i] * len(names) + other[j]).tolist())
         if not links:
             return None
-        a, c = np.array(sorted(links)).T
-        return names[a], names[c]
+        found = np.array(sorted(links))
+        return names[found // len(names)], names[found % len(names)]
+
+    mixed = copies.groupBy("cell").agg(F.min("cluster").alias("a"), F.max("cluster").alias("b")).where("a <> b").select("cell")
+    rows = copies.join(mixed, "cell", "left_semi").select(*copies.columns)
+    return _scan(_dealt(rows.where("home"), rows, ["cluster"], block), "a string, b string", work)
 
-    return work
+
+def _crowded(copies: DataFrame, block: int) -> int:
+    """``block`` where a cell has several chunks, else 0."""
+    return block if (copies.agg(F.max("chunks")).first()[0] or 1) > 1 else 0
 
 
 def pivot_clusters(pts: DataFrame, radius: float, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -198,25 +243,18 @@ def pivot_clusters(pts: DataFrame, radius: float, block: int = BLOCK) -> tuple[D
     and the grid copies that found it."""
     pts = cut(pts, "points")
     copies = cut(grid_copies(pts, radius, block), "copies")
-    pivots, active = None, copies
-    while True:
-        least = _scan(active, ["home", "point", "hash"], "point string, least long", _least_hash(radius))
-        least = least.groupBy("point").agg(F.min("least").alias("least"))
-        own = active.where("home").select("point", "hash").distinct()
-        new = cut(own.join(least, "point").where("hash = least").select("point"), "pivots")
+    pivots, active, dealt = None, copies, _crowded(copies, block)
+    while active.where("home").limit(1).count():
+        new = cut(_least_hash(active, radius, dealt), "pivots")
         pivots = new if pivots is None else pivots.unionByName(new)
-        flagged = active.join(new.withColumn("pivot", F.lit(True)), "point", "left").withColumn("pivot", F.coalesce("pivot", F.lit(False)))
-        taken = _scan(flagged, ["home", "point", "pivot"], "point string, by string, d double", _closest_pivot(radius))
-        rest = cut(active.join(taken.select("point").distinct(), "point", "left_anti"), "active")
-        if not rest.where("home").limit(1).count():
-            break
-        active = rest
-    flagged = copies.join(pivots.withColumn("pivot", F.lit(True)), "point", "left").withColumn("pivot", F.coalesce("pivot", F.lit(False)))
-    near = _scan(flagged, ["home", "point", "pivot"], "point string, pivot string, d double", _closest_pivot(radius))
-    near = near.groupBy("point").agg(F.min(F.struct("d", "pivot")).getField("pivot").alias("cluster"))
+        taken = _closest_pivot(active.where("home"), active.join(new, "point", "left_semi").select(*active.columns), radius, dealt)
+        active = cut(active.join(taken.select("point"), "point", "left_anti").select(*active.columns), "active")
+    if pivots is None:
+        return cut(pts.withColumn("cluster", F.col("point")), "members"), copies
+    near = _closest_pivot(copies.where("home"), copies.join(pivots, "point", "left_semi").select(*copies.columns), radius, dealt)
     # A point alone in its cell has no neighbour and is its own cluster.
-    members = pts.join(near, "point", "left").withColumn("cluster", F.coalesce("cluster", "point"))
-    return cut(members, "members"), copies
+    members = pts.join(near.select("point", F.col("pivot").alias("cluster")), "point", "left")
+    return cut(members.withColumn("cluster", F.coalesce("cluster", "point")), "members"), copies
 
 
 def contract_links(links: DataFrame) -> DataFrame:
@@ -248,13 +286,24 @@ def contract_links(links: DataFrame) -> DataFrame:
 
 def linked_clusters(pts: DataFrame, radius: float, block: int = BLOCK) -> DataFrame:
     """Each point with ``component``: points within ``radius`` of one another, and points that a
-    chain of such pairs joins, share it."""
+    chain of such pairs joins, share it.
+
+    Clusters that share a sub-cell are linked without a distance. What cells then still hold of
+    several components is compared point by point.
+    """
     members, copies = pivot_clusters(pts, radius, block)
-    labelled = copies.join(members.select("point", "cluster"), "point")
-    links = _scan(labelled, ["home", "cluster"], "a string, b string", _cross_links(radius))
-    links = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    joined = members.join(contract_links(links), "cluster", "left")
-    return joined.withColumn("component", F.coalesce("component", "cluster"))
+    both = lambda links: links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labelled = cut(copies.join(members.select("point", "cluster"), "point"), "labelled")
+    shared = labelled.where("home").groupBy("sub").agg(F.min("cluster").alias("least"), F.max("cluster").alias("most")).where("least <> most").select("sub", "least")
+    shared = labelled.where("home").join(shared, "sub").where("cluster <> least").select(F.col("cluster").alias("a"), F.col("least").alias("b"))
+    first = _renamed(members.select("point", "cluster"), contract_links(both(shared)))
+    again = labelled.drop("cluster").join(first, "point")
+    whole = _renamed(first, contract_links(both(_cross_links(again, radius, _crowded(copies, block)))))
+    return members.join(whole.withColumnRenamed("cluster", "component"), "point")
+
+
+def _renamed(labels: DataFrame, mapping: DataFrame) -> DataFrame:
+    return labels.join(mapping, "cluster", "left").select("point", F.coalesce("component", "cluster").alias("cluster"))
 
 
 def describe_clusters(members: DataFrame, label: str = "cluster", typical: int = 3) -> DataFrame:

@@ -54,7 +54,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 def p3_clusters(spark: SparkSession, d: str) -> DataFrame:
     pts = points(load(spark, d, "perturbation_clusters"), "perturbation", COORDINATES)
     members, _ = pivot_clusters(pts, 1.0)
-    return describe_clusters(members)
+    return describe_clusters(members).withColumn("spread", F.round("spread", 6))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -133,6 +133,22 @@ c(a, b) AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a)
 m AS (SELECT a AS n, min(b) AS root FROM c GROUP BY a),
 s AS (SELECT root FROM m GROUP BY root HAVING count(*) >= 3)
 SELECT root AS perturbation_a, n AS perturbation_b FROM m WHERE root IN (SELECT root FROM s) AND n <> root""",
+    "p3_clusters": f"""
+WITH RECURSIVE p AS (SELECT DISTINCT perturbation AS name, [{", ".join(_DIMS)}] AS x FROM perturbation_clusters
+  WHERE perturbation IS NOT NULL AND {" AND ".join(f"isfinite({c})" for c in _DIMS)}),
+o AS (SELECT row_number() OVER (ORDER BY substr(md5(name), 1, 12), name) AS i, name, x FROM p),
+near AS (SELECT a.i, list(b.i) AS before FROM o a JOIN o b ON b.i < a.i AND abs(a.x[1] - b.x[1]) <= 1
+  AND {" + ".join(f"(a.x[{k}] - b.x[{k}]) ** 2" for k in range(1, 13))} <= 1.0 GROUP BY a.i),
+g(i, pivots) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL
+  SELECT g.i + 1, CASE WHEN list_has_any(coalesce(near.before, []), g.pivots) THEN g.pivots ELSE list_append(g.pivots, g.i + 1) END
+  FROM g LEFT JOIN near ON near.i = g.i + 1 WHERE g.i < (SELECT count(*) FROM o)),
+q AS (SELECT o.* FROM o JOIN (SELECT unnest(pivots) AS i FROM g WHERE i = (SELECT max(i) FROM g)) USING (i)),
+m AS (SELECT a.i, a.name, a.x, arg_min(q.i, (d, q.name)) AS c FROM (SELECT o.i, o.name, o.x, q.i AS qi,
+    {" + ".join(f"(o.x[{k}] - q.x[{k}]) ** 2" for k in range(1, 13))} AS d FROM o JOIN q ON abs(o.x[1] - q.x[1]) <= 1) a JOIN q ON q.i = a.qi WHERE d <= 1.0 GROUP BY ALL),
+v AS (SELECT c, k, avg(x[k]) AS u FROM m, range(1, 13) t(k) GROUP BY ALL),
+f AS (SELECT m.c, m.name, sum((m.x[v.k] - v.u) ** 2) AS far FROM m JOIN v USING (c) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY round(far, 9), name) AS r FROM f)
+SELECT min(name) AS cluster_name, count(*) AS size, max(name) FILTER (r = 1) AS medoid, string_agg(name, ',' ORDER BY r) FILTER (r <= 3) AS typical, round(sqrt(avg(far)), 6) AS spread FROM r GROUP BY c""",
     "p6_found": _TOP + "SELECT perturbation, gene FROM r WHERE rank <= 10",
     "p6_top_genes": _TOP + "SELECT perturbation, gene, score, rank FROM r WHERE rank <= 10",
     "p8_found": f"""
