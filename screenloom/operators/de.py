@@ -1,8 +1,10 @@
 """Differential expression of every perturbation against the control cells.
 
 Only non-zero values are ever rows. The control cells of a gene are one histogram shared by all
-perturbations: a single running sum over a gene's distinct values ranks every perturbation's
-values against it, so neither the control cells nor the zeros are repeated per perturbation.
+perturbations: a running sum over a gene's distinct values ranks every perturbation's values
+against it, so neither the control cells nor the zeros are repeated per perturbation. The values
+of a gene are cut into narrow bands, each ranked on its own from the number of control cells in
+the bands below, so that no task holds a gene.
 """
 
 from __future__ import annotations
@@ -12,37 +14,51 @@ from pyspark.sql import functions as F
 
 from screenloom.functions.columns import finite
 from screenloom.functions.pvalues import normal_two_sided, student_two_sided
+from screenloom.session import cut
 
 TINY = 1e-9
+#: Bands of values to a doubling, and steps to one in which values are compared.
+BANDS, STEPS = 64, 2.0**30
 
 
 def rank_sums(counts: DataFrame, cells: DataFrame, control: str, tie_correct: bool = False) -> DataFrame:
     """(perturbation, gene, n_group, n_control, rank_sum, z, mean and share figures) of every
     perturbation and gene with a value in either; cells (cell_barcode, perturbation) name each
-    cell once. Values must not be negative; zeros may be stored or not."""
+    cell once. Values must not be negative; zeros may be stored or not. Values are compared in
+    steps of 2^-30, so that equal ratios are ties however they were rounded."""
     cells = cells.where("perturbation IS NOT NULL").select("cell_barcode", "perturbation")
     sizes = cells.groupBy("perturbation").agg(F.count(F.lit(1)).alias("n1"))
     n0 = sizes.where(F.col("perturbation") == control).agg(F.max("n1")).scalar()
-    rows = counts.where("value > 0").join(cells, "cell_barcode")
-    hist = rows.groupBy("gene", "perturbation", "value").agg(F.count(F.lit(1)).alias("n"))
+    near = F.rint(F.col("value") * STEPS) / STEPS
+    rows = counts.where("value > 0").withColumn("value", F.when(near > 0, near).otherwise(F.col("value"))).join(cells, "cell_barcode")
+    band = F.floor(F.log2("value") * BANDS).cast("int").alias("band")
+    hist = rows.groupBy("gene", "perturbation", "value").agg(F.count(F.lit(1)).alias("n")).select("*", band)
+    # Both uses share one shuffle by (gene, band).
+    hist = hist.repartition("gene", "band")
     is_control = F.col("perturbation") == control
-    own, ctl = F.when(~is_control, F.col("n")).otherwise(0), F.when(is_control, F.col("n")).otherwise(0)
-    upto = Window.partitionBy("gene").orderBy("value").rangeBetween(Window.unboundedPreceding, 0)
-    same = Window.partitionBy("gene", "value")
+    ctl = F.when(is_control, F.col("n")).otherwise(0)
+    below = Window.partitionBy("gene").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    opening = hist.groupBy("gene", "band").agg(F.sum(ctl).alias("c"))
+    opening = opening.select("gene", "band", F.coalesce(F.sum("c").over(below), F.lit(0)).alias("opening"))
+    upto = Window.partitionBy("gene", "band").orderBy("value").rangeBetween(Window.unboundedPreceding, 0)
+    same = Window.partitionBy("gene", "band", "value")
     ranked = hist.withColumn("ceq", F.sum(ctl).over(same)).withColumn("cbelow", F.sum(ctl).over(upto) - F.col("ceq"))
+    ranked = ranked.join(opening, ["gene", "band"])
     cube = lambda t: t * t * t - t
     g = F.col("n").cast("double")
     v = F.col("value")
     per = ranked.groupBy("gene", "perturbation").agg(
         F.sum("n").alias("nz"),
-        F.sum(g * (F.col("cbelow") + F.col("ceq") / 2)).alias("wins"),
+        F.sum(g * (F.col("opening") + F.col("cbelow") + F.col("ceq") / 2)).alias("wins"),
         F.sum(cube(g + F.col("ceq")) - cube(F.col("ceq").cast("double"))).alias("ties"),
         F.sum(g * v).alias("s"), F.sum(g * v * v).alias("ss"), F.sum(cube(g)).alias("own_ties"),
     )
+    # One row per gene and perturbation, written since four branches read it.
+    per = cut(per, "sums")
     base = per.where(is_control).select("gene", F.col("nz").alias("nz0"), F.col("s").alias("s0"), F.col("ss").alias("ss0"), F.col("own_ties").alias("ties0"))
     # Every gene meets every perturbation: the result's own size. The labels are one short list.
     names = sizes.where(~is_control).agg(F.sort_array(F.collect_list("perturbation"))).scalar()
-    genes = per.groupBy("gene").agg(F.max("gene").alias("__g")).drop("__g").join(base, "gene", "left")
+    genes = per.select("gene").distinct().join(base, "gene", "left")
     grid = genes.withColumn("__names", names).withColumn("perturbation", F.explode("__names")).drop("__names")
     full = grid.join(per.where(~is_control), ["gene", "perturbation"], "left").join(sizes, "perturbation").withColumn("n0", n0)
     full = full.fillna(0, ["nz", "wins", "ties", "s", "ss", "nz0", "s0", "ss0", "ties0"]).where("n0 > 0")
