@@ -19,6 +19,7 @@ from screenloom.operators import effects as fx
 from screenloom.operators import expression as ex
 from screenloom.operators import relational as rel
 from screenloom.plans import composites as co
+from screenloom.plans import sqlparts as sq
 from screenloom.plans.views import CELLS_SQL, CONTROL, CONTROL_MANY, COUNTS_SQL, FINE_SQL, GUIDE_SQL, MANY_SQL, SETS_SQL
 from screenloom.plans.views import cells, cells_many, counts, gene_sets, guide_cells
 from screenloom.session import cut, load, scratch_path
@@ -843,14 +844,21 @@ def c10_ps_de(spark, d):
     return co.ps_select_and_de(models.efficiency_scores(scores), counts(spark, d, True), cells(spark, d), CONTROL)
 
 
-@query()
+_DE_COLUMNS = ", ".join(f"round({c}, 6) AS {n}" for c, n in (("score", "score"), ("logfoldchange", "logfoldchange"), ("pval", "pval"), ("q", "pval_adj"), ("pct_nz_group", "pct_nz_group"), ("pct_nz_reference", "pct_nz_reference")))
+
+
+def _rounded(de):
+    return de.withColumns({c: F.round(c, 6) for c in ("score", "logfoldchange", "pval", "pval_adj", "pct_nz_group", "pct_nz_reference")})
+
+
+@query(f"WITH {MANY_SQL}, {FINE_SQL}, {sq.global_de(CONTROL_MANY, 2000)} SELECT perturbation, rank, gene, {_DE_COLUMNS} FROM de WHERE rank <= 2000")
 def c11_global_de(spark, d):
-    return co.global_de(counts(spark, d, True), cells_many(spark, d), CONTROL_MANY)
+    return _rounded(co.global_de(counts(spark, d, True), cells_many(spark, d), CONTROL_MANY))
 
 
-@query()
+@query(f"WITH {MANY_SQL}, {FINE_SQL}, {sq.global_de(CONTROL_MANY, 100, 't-test')} SELECT perturbation, rank, gene, {_DE_COLUMNS} FROM de WHERE rank <= 100")
 def c11_global_de_t(spark, d):
-    return co.global_de(counts(spark, d, True), cells_many(spark, d), CONTROL_MANY, method="t-test", top=100)
+    return _rounded(co.global_de(counts(spark, d, True), cells_many(spark, d), CONTROL_MANY, method="t-test", top=100))
 
 
 _ORA = f"""{SETS_SQL}, uni AS (SELECT DISTINCT p_brand || '|' || p_type AS gene FROM part), uu AS (SELECT count(*) AS u FROM uni),
