@@ -26,12 +26,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenloom.llm.leaks import Words, _member, _mix, _powers, _rolling, segments
-from screenloom.session import cut
+from screenloom.llm.files import batches_of
+from screenloom.llm.filters import member
+from screenloom.llm.leaks import Words, _mix, _powers, _rolling, segments
+from screenloom.session import cut, scratch_path
 
 PHRASE = 6
-#: Up to so many terms the component rates are handed to the tasks; more are joined.
+#: Up to so many terms the component rates are handed to the tasks; of more, each block of
+#: documents gets the rates of its own terms.
 BROADCAST_TERMS = 200_000
+#: Entries of the matrix in such a block, about.
+BLOCK_ENTRIES = 5_000_000
 ROUNDS, INNER, FINAL = 30, 3, 8
 #: Rounds end when no component's total changes by more than this share.
 STILL = 0.01
@@ -116,7 +121,7 @@ def boilerplate(docs: DataFrame, text: str, share: float = 0.01, least: int = 10
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, hashes = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            for rows, offsets, data in segments(list(range(len(texts))), texts, 1):
+            for rows, offsets, data, _ in segments(list(range(len(texts))), texts, 1):
                 w = Words(data)
                 owner = np.searchsorted(np.array(offsets), w.start, "right") - 1
                 first, _, h = _sentences(w, owner)
@@ -141,18 +146,18 @@ def document_terms(docs: DataFrame, doc_id: str, text: str, blank: list[str], co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
-            for rows, offsets, data in segments(list(range(len(ids))), batch.column(1).to_pylist(), 1):
+            for rows, offsets, data, _ in segments(list(range(len(ids))), batch.column(1).to_pylist(), 1):
                 raw = np.frombuffer(data, np.uint8)
                 w = Words(data)
                 phrases, sentences = shared.value
                 gone = np.zeros(len(raw) + 1, np.int32)
                 if len(w.start) >= PHRASE and len(phrases):
-                    hit = np.flatnonzero(_member(_rolling(w.hash, PHRASE), phrases))
+                    hit = np.flatnonzero(member(_rolling(w.hash, PHRASE), phrases))
                     np.add.at(gone, w.start[hit], 1)
                     np.add.at(gone, w.end[hit + PHRASE - 1], -1)
                 if len(sentences):
                     first, last, h = _sentences(w, np.searchsorted(np.array(offsets), w.start, "right"))
-                    hit = np.flatnonzero(_member(h, sentences))
+                    hit = np.flatnonzero(member(h, sentences))
                     np.add.at(gone, w.start[first[hit]], 1)
                     np.add.at(gone, w.end[last[hit] - 1], -1)
                 raw = np.where(np.cumsum(gone[:-1]) > 0, np.uint8(32), raw)
@@ -184,28 +189,28 @@ def document_terms(docs: DataFrame, doc_id: str, text: str, blank: list[str], co
 
 
 def _mixtures(rates: np.ndarray, n: np.ndarray, edge: np.ndarray, inner: int) -> tuple[np.ndarray, np.ndarray]:
-    """(document mixtures, their share in each entry) for fixed rates of each entry."""
+    """(document mixtures, their share in each entry), a row for each component, for fixed rates
+    of each entry."""
     size = np.diff(np.r_[edge, len(n)])
-    mix = np.ones((len(edge), rates.shape[1]), np.float32)
+    mix = np.ones((len(rates), len(edge)), np.float32)
     for _ in range(inner):
-        part = np.repeat(mix, size, axis=0)
+        part = np.repeat(mix, size, axis=1)
         part *= rates
-        part *= (n / np.maximum(part.sum(1), 1e-30))[:, None]
-        mix = np.add.reduceat(part, edge, axis=0)
+        part *= n / np.maximum(part.sum(0), np.float32(1e-30))
+        mix = np.add.reduceat(part, edge, axis=1)
     return mix, part
 
 
-def _entries(batch: pa.RecordBatch, known: np.ndarray | None) -> Iterator[tuple]:
-    """Parts of a batch of documents: (rows, entries' term indices, counts, first entries)."""
+def _entries(batch: pa.RecordBatch, known: np.ndarray) -> Iterator[tuple]:
+    """Parts of a batch of documents: (rows, places of the entries' terms in ``known``, counts,
+    first entries); entries of other terms are left out."""
     terms, counts = batch.column("terms"), batch.column("counts")
     flat, n = terms.flatten().to_numpy().view(np.uint64), counts.flatten().to_numpy().astype(np.float32)
     size = np.asarray(terms.value_lengths())
     owner = np.repeat(np.arange(len(size)), size)
-    index = np.arange(len(flat))
-    if known is not None and len(flat):
-        at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-        ok = known[at] == flat
-        owner, n, index = owner[ok], n[ok], at[ok]
+    at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+    ok = known[at] == flat
+    owner, n, index = owner[ok], n[ok], at[ok]
     a = 0
     while a < len(owner):
         b = min(len(owner), a + ENTRIES)
@@ -231,9 +236,43 @@ def gate(sums: np.ndarray, totals: np.ndarray, purity: float = 0.6, two: float =
     return sums + 1e-9
 
 
+def _term_sums(batches, known: np.ndarray, array: np.ndarray) -> np.ndarray:
+    """Expected counts of the terms ``known`` (a row for each component) in some documents, whose
+    mixtures are fitted to the rates ``array`` on the way."""
+    sums = np.zeros(array.shape)
+    for batch in batches:
+        for _, index, n, edge in _entries(batch, known):
+            _, part = _mixtures(array[:, index], n, edge, INNER)
+            for j in range(len(sums)):
+                sums[j] += np.bincount(index, part[j], len(known))
+    return sums
+
+
+def _document_words(batches, known: np.ndarray, array: np.ndarray, key: str) -> Iterator[pa.RecordBatch]:
+    """(key, words): expected words per subject of some documents."""
+    for batch in batches:
+        for rows, index, n, edge in _entries(batch, known):
+            mix, _ = _mixtures(array[:, index], n, edge, FINAL)
+            words = pa.FixedSizeListArray.from_arrays(pa.array(mix[:-1].T.astype(np.float64).ravel()), len(mix) - 1)
+            yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(rows)), words.cast(pa.list_(pa.float64()))], names=[key, "words"])
+
+
+def _as_rows(known: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    """(term, sums) of the terms that occur."""
+    some = np.flatnonzero(sums.any(0))
+    rows = pa.FixedSizeListArray.from_arrays(pa.array(sums[:, some].T.ravel()), len(sums)).cast(pa.list_(pa.float64()))
+    return pa.RecordBatch.from_arrays([pa.array(known[some].view(np.int64)), rows], names=["term", "sums"])
+
+
 class Factors:
-    """Component rates of all terms: an array on the driver and in the tasks while the terms are
-    few (counted), else a table that is joined to the documents' terms."""
+    """Component rates of all terms.
+
+    While the terms are few (counted) the rates are an array in every task. Of more terms the
+    rates stay a table: the documents are written in blocks of bounded size once, with the list of
+    each block's terms (``routes``), and in a round every block gets the rates of its own terms,
+    each once, and reads its documents' file. What is shuffled is the distinct terms of each block,
+    however often they occur, and the matrix never is.
+    """
 
     def __init__(self, matrix: DataFrame, doc_id: str, seeds: np.ndarray, owners: np.ndarray, k: int, min_docs: int):
         self.matrix, self.doc_id, self.k = matrix, doc_id, k
@@ -241,6 +280,8 @@ class Factors:
         terms = counts.agg(F.count(F.lit(1)).alias("docs"), F.sum("e.counts").alias("n")).where(F.col("docs") >= min_docs)
         self.terms = cut(terms.select("term", "n"), "terms")
         self.few = self.terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+        if not self.few:
+            self._route()
         total = float(self.terms.agg(F.sum("n")).first()[0] or 1)
         order = np.argsort(seeds)
         seeds, owners = seeds[order], owners[order]
@@ -260,6 +301,16 @@ class Factors:
 
         self._rates(lambda term, sums: start(term, sums[:, 0]), self.terms.select("term", F.array(F.col("n").cast("double")).alias("sums")))
 
+    def _route(self) -> None:
+        """Write the documents in blocks, and the terms of each block."""
+        spark, size = self.matrix.sparkSession, self.matrix.agg(F.sum(F.size("terms"))).first()[0] or 0
+        self.blocks, self.path = max(1, -(-int(size) // BLOCK_ENTRIES)), scratch_path(self.matrix.sparkSession, "blocks")
+        block = F.pmod(F.xxhash64(self.doc_id, F.element_at("terms", 1)), F.lit(self.blocks)).cast("int")
+        rows = self.matrix.withColumn("block", block).repartition(self.blocks, "block")
+        rows.write.option("compression", "zstd").partitionBy("block").parquet(self.path)
+        rows = spark.read.parquet(self.path)
+        self.routes = cut(rows.select("block", F.explode("terms").alias("term")).distinct().join(self.terms.select("term"), "term"), "routes")
+
     def _rates(self, make, table: DataFrame) -> None:
         """Set the rates to ``make(terms, sums)``, each component scaled to one."""
         k = self.k
@@ -272,7 +323,8 @@ class Factors:
         if self.few:
             term, rates = block(table.toArrow())
             order = np.argsort(term)
-            self.known, self.array = term[order], (rates / np.maximum(rates.sum(0), 1e-30))[order].astype(np.float32)
+            rates = (rates / np.maximum(rates.sum(0), 1e-30))[order].astype(np.float32)
+            self.known, self.array = term[order], np.ascontiguousarray(rates.T)
             return
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,48 +336,40 @@ class Factors:
         rates = cut(table.mapInArrow(run, "term long, rates array<double>"), "rates")
         sums = rates.agg(*[F.sum(F.col("rates")[j]) for j in range(k + 1)]).first()
         scale = F.array(*[F.lit(1.0 / max(s or 0.0, 1e-30)) for s in sums])
-        self.table = rates.withColumn("rates", F.zip_with("rates", scale, lambda a, b: a * b))
+        self.table = rates.select("term", F.zip_with("rates", scale, lambda a, b: a * b).cast("array<float>").alias("rates"))
 
-    def _documents(self) -> DataFrame:
+    def _each(self, work, kind: str) -> DataFrame:
+        """``work(batches of documents, terms, rates)`` for all documents."""
         if self.few:
-            return self.matrix
-        rows = self.matrix.withColumn("part", F.monotonically_increasing_id())
-        rows = rows.select(self.doc_id, "part", F.inline(F.arrays_zip("terms", "counts")).alias("term", "count"))
-        rows = rows.join(self.table, "term").groupBy(self.doc_id, "part")
-        packed = rows.agg(F.collect_list(F.struct("term", "count", "rates")).alias("e"))
-        return packed.select(self.doc_id, F.col("e.term").alias("terms"), F.col("e.count").alias("counts"), F.flatten("e.rates").alias("rates"))
-
-    def _parts(self):
-        """A function from a batch to (rows, terms, mixtures, shares) of its parts."""
-        k, few = self.k, self.few
-        shared = self.matrix.sparkSession.sparkContext.broadcast((self.known, self.array) if few else None)
-
-        def parts(batch: pa.RecordBatch, inner: int):
-            known, array = shared.value if few else (None, None)
-            if few and not len(known):
-                return
-            if not few:
-                array = batch.column("rates").flatten().to_numpy().reshape(-1, k + 1).astype(np.float32)
-                flat = batch.column("terms").flatten().to_numpy().view(np.uint64)
-            for rows, index, n, edge in _entries(batch, known):
-                mix, part = _mixtures(array[index], n, edge, inner)
-                yield rows, (known[index] if few else flat[index]), mix, part
-
-        return parts
+            shared = self.matrix.sparkSession.sparkContext.broadcast((self.known, self.array))
+
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                if len(shared.value[0]):
+                    yield from work(batches, *shared.value)
+
+            return self.matrix.mapInArrow(run, kind)
+        path, k = self.path, self.k
+
+        def part(key: tuple, table: pa.Table) -> pa.Table:
+            term = table.column("term").to_numpy().view(np.uint64)
+            order = np.argsort(term)
+            rates = table.column("rates").combine_chunks().flatten().to_numpy().reshape(-1, k + 1)[order]
+            found = work(batches_of(f"{path}/block={key[0].as_py()}"), term[order], np.ascontiguousarray(rates.T))
+            return pa.Table.from_batches(list(found), schema)
+
+        names, types = zip(*[(c.split()[0].strip("`"), c.split()[1]) for c in kind.split(", ")])
+        arrow = {"array<double>": pa.list_(pa.float64()), "long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+        schema = pa.schema(list(zip(names, (arrow[t] for t in types))))
+        return self.routes.join(self.table, "term").groupBy("block").applyInArrow(part, kind)
 
     def round(self) -> np.ndarray:
         """One update of the mixtures and then of the rates; the components' totals."""
-        parts, k = self._parts(), self.k
+        k = self.k
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for _, terms, _, part in parts(batch, INNER):
-                    term, at = np.unique(terms, return_inverse=True)
-                    sums = np.stack([np.bincount(at, part[:, j], len(term)) for j in range(k + 1)], 1)
-                    rows = pa.FixedSizeListArray.from_arrays(pa.array(sums.ravel()), k + 1).cast(pa.list_(pa.float64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), rows], names=["term", "sums"])
+        def work(batches, known: np.ndarray, array: np.ndarray) -> Iterator[pa.RecordBatch]:
+            yield _as_rows(known, _term_sums(batches, known, array))
 
-        sums = self._documents().mapInArrow(run, "term long, sums array<double>")
+        sums = self._each(work, "term long, sums array<double>")
         each = sums.groupBy("term").agg(F.array(*[F.sum(F.col("sums")[j]) for j in range(k + 1)]).alias("sums"))
         each = cut(each, "sums")
         totals = np.array([v or 0.0 for v in each.agg(*[F.sum(F.col("sums")[j]) for j in range(k + 1)]).first()])
@@ -334,16 +378,9 @@ class Factors:
 
     def mixtures(self) -> DataFrame:
         """(doc_id, words): each document's expected words per subject."""
-        parts, k, key = self._parts(), self.k, self.doc_id
+        key = self.doc_id
         kind = dict(self.matrix.dtypes)[key]
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for rows, _, mix, _ in parts(batch, FINAL):
-                    words = pa.FixedSizeListArray.from_arrays(pa.array(mix[:, :k].astype(np.float64).ravel()), k)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), words.cast(pa.list_(pa.float64()))], names=[key, "words"])
-
-        return self._documents().mapInArrow(run, f"`{key}` {kind}, words array<double>")
+        return self._each(lambda batches, known, array: _document_words(batches, known, array, key), f"`{key}` {kind}, words array<double>")
 
 
 def subject_words(

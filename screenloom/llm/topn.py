@@ -17,21 +17,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from screenloom.llm.files import open_file
 from screenloom.session import scratch_path
 
 ROW_GROUP_BYTES = 1 << 20
 
 
-def _open(uri: str) -> pq.ParquetFile:
-    system, path = fs.FileSystem.from_uri(uri)
-    return pq.ParquetFile(path, filesystem=system)
-
-
 def cluster_by_group(
     df: DataFrame, group: str, item: str, score: str, row_group_bytes: int = ROW_GROUP_BYTES
 ) -> str:
@@ -58,7 +52,7 @@ def _row_groups(files: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                meta, out = _open(path).metadata, []
+                meta, out = open_file(path).metadata, []
                 for k in range(meta.num_row_groups):
                     rg = meta.row_group(k)
                     stats = {rg.column(c).path_in_schema: rg.column(c).statistics for c in range(rg.num_columns)}
@@ -89,7 +83,7 @@ def _candidates(chosen: DataFrame, n: int, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                file, nth = _open(row["path"]), {}
+                file, nth = open_file(row["path"]), {}
                 for rg in row["groups"]:
                     if rg["one_group"] and rg["high"] < nth.get(rg["g"], -np.inf):
                         continue

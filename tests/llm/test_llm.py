@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from screenloom.llm import clusters, leaks, packing, percentiles, subjects, topn
+from screenloom.llm import clusters, filters, leaks, packing, percentiles, subjects, topn
 
 NAN, INF = float("nan"), float("inf")
 
@@ -85,8 +85,9 @@ def as_points(spark, rows, dims):
     return clusters.points(df, "name", columns)
 
 
-@pytest.mark.parametrize("seed, block", [(1, 4096), (2, 4096), (3, 5)])
-def test_linked_clusters_are_chains(spark, seed, block):
+@pytest.mark.parametrize("seed, block, most", [(1, 4096, 0), (2, 4096, filters.MOST), (3, 5, filters.MOST)])
+def test_linked_clusters_are_chains(spark, monkeypatch, seed, block, most):
+    monkeypatch.setattr(filters, "MOST", most)
     rows = cloud(seed)
     got = clusters.linked_clusters(as_points(spark, rows, 5), 1.0, block).collect()
     want = chains(rows, 1.0)
@@ -239,11 +240,12 @@ def leak_tables(spark):
     return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), docs, items
 
 
-@pytest.mark.parametrize("limit", [leaks.FILTER_WINDOWS, 0])
-def test_leaks(spark, monkeypatch, limit):
+@pytest.mark.parametrize("limit, bits", [(filters.MOST, 0), (0, 20), (0, 5)])
+def test_leaks(spark, monkeypatch, limit, bits):
     import re
 
-    monkeypatch.setattr(leaks, "FILTER_WINDOWS", limit)
+    monkeypatch.setattr(filters, "MOST", limit)
+    monkeypatch.setattr(filters, "BITS", bits)
     docs, items, d, i = leak_tables(spark)
     words = lambda t: [w.lower() for w in re.findall("[A-Za-z0-9_]+", t or "")]
     grams = lambda t: {tuple(w[k : k + 13]) for w in [words(t)] for k in range(len(w) - 12)}
@@ -255,12 +257,72 @@ def test_leaks(spark, monkeypatch, limit):
     assert leaks.leaked_passages(docs, items.limit(0)).count() == 0
 
 
+def planted(seed, n=60):
+    """Items of three sentences, and documents that carry them with names, numbers and units
+    renamed, a name of two words in place of one, decimals, and a line put in between."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("bdfgklmnprstvz") + r.choice("aeiou") for _ in range(r.randint(2, 4)))
+    forms = [
+        "For {a} number {m} the answer is {n}; for a {b} with {c} twice it is {k} instead.",
+        "Treat an empty {c} as {m}, but keep {a} and {d} apart until {b} has seen both {a} and {c}.",
+        "Whenever the {d} holds {n} or more {a} values, drop every {b} whose {c} differs from {d} by {k}.",
+        "Given a {b} of {d} and its {a}, return the least {c} that no {b} can reach in {m} steps.",
+    ]
+    items, docs = [], []
+    for i in range(n):
+        text = r.sample(forms, 3)
+        fill = lambda: {x: word() for x in "abcd"} | {x: str(r.randint(10, 9999)) for x in "mnk"}
+        items.append((i, "Write a function that passes the checks below. " + " ".join(f.format(**(own := fill())) for f in text[:1]) + " " + " ".join(f.format(**own) for f in text[1:])))
+        if i % 2:
+            new = fill() | {"a": f"{word()} {word()}", "m": f"{r.randint(1, 9)}.{r.randint(1, 9)}"}
+            lines = [f.format(**new) for f in text]
+            lines.insert(r.randint(1, 2), "this line " + word() + " is of the file")
+            docs.append((1000 + i, "x = 1\n" + "\n".join("# " + line for line in lines) + "\nreturn x"))
+    docs += [(5000 + i, " ".join(word() for _ in range(300))) for i in range(20)]
+    return items, docs
+
+
+def test_reworded_items_are_found(spark):
+    """Recall on planted rewordings, which share their sentences' forms with other items."""
+    items, docs = planted(2)
+    it, do = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in leaks.reworded_passages(do, it).collect()}
+    want = {(d, d - 1000) for d, _ in docs if d < 5000}
+    assert len(want & set(got)) >= 0.9 * len(want)
+    assert all(got[k].n_renamed > 0 and got[k].share >= 0.5 for k in want & set(got))
+    assert not [k for k in got if k[0] >= 5000]
+
+
 def test_reworded(spark):
     docs, items, *_ = leak_tables(spark)
     more = [(100 + k, ITEM.replace("pulsar", f"thing{k}").replace("6554", str(k)).replace("supernova", f"part{k}").replace("level", f"slot{k}")) for k in range(4)]
     items = items.unionByName(spark.createDataFrame(more, "item_id long, text string"))
-    got = {(r.doc_id, r.item_id): r.n_renamed for r in leaks.reworded_passages(docs, items, share=0.6, least=3).collect()}
-    assert got[(1, 1)] == 0 and got[(6, 1)] > 0
+    got = {(r.doc_id, r.item_id): r.n_renamed for r in leaks.reworded_passages(docs, items).collect()}
+    assert got[(1, 1)] == 0 and got[(6, 1)] > 0 and (5, 1) not in got
+    assert leaks.reworded_passages(docs.limit(0), items).count() == 0
+    assert leaks.reworded_passages(docs, items.limit(0)).count() == 0
+
+
+def test_one_renaming_holds_over_the_item(spark):
+    """A name that becomes another in each sentence is no renaming."""
+    parts = [f"keep {{}} and the {w} apart until {{}} has seen both of them in order" for w in ("first", "last", "old", "new")]
+    item = ". ".join(p.format("alpha", "alpha") for p in parts)
+    same, other = ". ".join(p.format("omega", "omega") for p in parts), ". ".join(p.format(f"x{k}", f"x{k}") for k, p in enumerate(parts))
+    frame = [(10 + k, ". ".join(p.format(f"w{k}", f"v{k}") for p in parts)) for k in range(3)]
+    items = spark.createDataFrame([(1, item), *frame], "item_id long, text string")
+    docs = spark.createDataFrame([(1, same), (2, other)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.share for r in leaks.reworded_passages(docs, items, share=0.1, least=1).collect()}
+    assert got[(1, 1)] == 1.0 and got.get((2, 1), 0) < 1.0
+
+
+def test_positions_go_on_over_segments():
+    text = " ".join(f"w{k}" for k in range(400_000))
+    seen = []
+    for _, _, data, bases in leaks.segments([0], [text], 5):
+        w = leaks.Words(data)
+        seen.append((bases[0], data[w.start[0] : w.end[0]].decode(), data[w.start[-1] : w.end[-1]].decode()))
+    assert len(seen) > 2 and all(first == f"w{base}" for base, first, _ in seen) and seen[-1][2] == "w399999"
+    assert all(int(b[1][1:]) == int(a[2][1:]) - 3 for a, b in zip(seen, seen[1:]))
 
 
 def test_words_are_cut_as_by_a_pattern():
