@@ -27,9 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from screenloom.llm.filters import filter_of
 from screenloom.session import cut
 
 #: Coordinates of the grid, its cell width in radii, and the points of a block.
@@ -57,13 +58,22 @@ def _mixed(codes: np.ndarray) -> np.ndarray:
 
 
 def grid_copies(pts: DataFrame, radius: float, block: int = BLOCK) -> DataFrame:
-    """Each point in its home cell and in every other cell within ``radius`` of it, cells that
-    hold one point left out: (cell, home, point, hash, sub, x, chunks). ``sub`` is the point's
-    sub-cell, ``chunks`` the number of chunks of ``block`` points that its cell is split into."""
+    """Each point in its home cell and in every other home cell within ``radius`` of it: (cell, home,
+    point, hash, sub, x), ``sub`` being the point's sub-cell. Where a cell has more than ``block``
+    points, also ``chunks``, the number of chunks that each cell is split into."""
     spread = pts.select(F.posexplode("x").alias("k", "v")).groupBy("k").agg(F.var_samp("v").alias("var"))
     dims = [r.k for r in spread.orderBy(F.col("var").desc_nulls_last(), "k").limit(GRID_DIMS).collect()]
     width, reach = CELL_RADII * radius, radius * (1 + 1e-9)
 
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                x = batch.column("x").flatten().to_numpy().reshape(len(batch), -1)[:, dims]
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(_mixed(np.floor(x / width))))], names=["cell"])
+
+    # Most cells that a ball reaches are no point's home: copies there are not made.
+    lived = pts.sparkSession.sparkContext.broadcast(filter_of(cut(pts.select("x").mapInArrow(homes, "cell long").distinct(), "cells")))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = len(batch)
@@ -85,36 +95,40 @@ def grid_copies(pts: DataFrame, radius: float, block: int = BLOCK) -> DataFrame:
                     moved[:, k] += step
                     parts.append((row[near], moved, (gap + off**2)[near], np.zeros(len(near), bool)))
                 row, cell, gap, home = (np.concatenate(p) for p in zip(*parts))
+            code = _mixed(cell)
+            at = np.flatnonzero(lived.value.has(code.view(np.uint64)))
+            row, home, code = row[at], home[at], code[at]
             taken = batch.take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_mixed(cell)), pa.array(home), taken.column("point"), taken.column("hash"), pa.array(sub[row]), taken.column("x")],
+                [pa.array(code), pa.array(home), taken.column("point"), taken.column("hash"), pa.array(sub[row]), taken.column("x")],
                 names=["cell", "home", "point", "hash", "sub", "x"],
             )
 
     kind = "cell long, home boolean, point string, hash long, sub long, x array<double>"
-    # Kept, since the sizes of the cells come from it too.
-    copies = cut(pts.select("point", "hash", "x").mapInArrow(run, kind), "grid")
-    sizes = copies.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("lived"))
-    sizes = sizes.where(F.col("lived") & (F.col("n") > 1)).select("cell", F.ceil(F.col("n") / block).cast("int").alias("chunks"))
-    return copies.join(sizes, "cell")
+    copies = cut(pts.select("point", "hash", "x").mapInArrow(run, kind), "copies")
+    sizes = copies.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
+    if not sizes.limit(1).count():
+        return copies
+    sizes = sizes.select("cell", F.ceil(F.col("n") / block).cast("int").alias("chunks"))
+    return cut(copies.join(sizes, "cell", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))), "copies")
 
 
-def _dealt(asks: DataFrame, company: DataFrame, columns: list[str], block: int) -> DataFrame:
-    """Both sides as rows (block, asks, columns, x), a block for each cell. In crowded cells
-    (``block`` above 0: there are some) each side is dealt to chunks of about ``block`` rows, and
-    each chunk of the one side meets each of the other."""
-    sides = []
-    if block:
-        parts = asks.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-        asks, company = asks.join(parts, "cell"), company.join(parts, "cell")
+def _whole(rows: DataFrame, asks: Column, given: Column, columns: list[str]) -> DataFrame:
+    """Rows (block, asks, given, columns, x), a block for each cell: who asks, and whom."""
+    # A new number, not the cell itself: the shuffle by block may not be left out for one by cell
+    # further up, which adaptive execution may still replace.
+    return rows.select(F.xxhash64("cell").alias("block"), asks.alias("asks"), given.alias("given"), *columns, "x")
+
+
+def _dealt(asks: DataFrame, given: DataFrame, columns: list[str], block: int) -> DataFrame:
+    """As ``_whole`` where cells are crowded: each side of a cell is dealt to chunks of about
+    ``block`` rows, and each chunk of the one side meets each of the other."""
+    parts = asks.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
     each, own = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)), lambda n: F.pmod("hash", F.col(n)).cast("int")
-    for df, flag in ((asks, True), (company, False)):
-        if block:
-            df = df.withColumn("i", own("parts") if flag else each("parts")).withColumn("j", each("chunks") if flag else own("chunks"))
-        # A new number, not the cell itself: the shuffle by block may not be left out for one by
-        # cell further up, which adaptive execution may still replace.
-        key = F.xxhash64("cell", "i", "j") if block else F.xxhash64("cell")
-        sides.append(df.select(key.alias("block"), F.lit(flag).alias("asks"), *columns, "x"))
+    sides = []
+    for df, flag in ((asks, True), (given, False)):
+        df = df.join(parts, "cell").withColumn("i", own("parts") if flag else each("parts")).withColumn("j", each("chunks") if flag else own("chunks"))
+        sides.append(df.select(F.xxhash64("cell", "i", "j").alias("block"), F.lit(flag).alias("asks"), F.lit(not flag).alias("given"), *columns, "x"))
     return sides[0].unionByName(sides[1])
 
 
@@ -145,10 +159,10 @@ def _runs(table: pa.Table, names: list[str]) -> Iterator[tuple[dict, dict]]:
     flat = table.column("x").combine_chunks()
     x = flat.flatten().to_numpy().reshape(len(cells), -1)
     for a, b in zip(starts, ends):
-        ask = columns["asks"][a:b]
-        if ask.any() and not ask.all():
+        ask, given = columns["asks"][a:b], columns["given"][a:b]
+        if ask.any() and given.any():
             rows = {n: c[a:b] for n, c in columns.items()} | {"x": x[a:b]}
-            yield tuple({n: c[side] for n, c in rows.items()} for side in (ask, ~ask))
+            yield tuple(rows if side.all() else {n: c[side] for n, c in rows.items()} for side in (ask, given))
 
 
 def _near(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
@@ -183,42 +197,51 @@ def _least_hash(active: DataFrame, radius: float, block: int) -> DataFrame:
         # Points of one sub-cell are neighbours: the least of them alone can be a pivot.
         order = np.lexsort((a["hash"], a["sub"]))
         first = order[np.r_[True, a["sub"][order][1:] != a["sub"][order][:-1]]]
-        best = np.empty(len(first), np.int64)
+        lower = np.zeros(len(first), bool)
         for rows, d in _near(a["x"][first], b["x"]):
-            best[rows] = np.where(d <= radius**2, b["hash"][None, :], np.iinfo(np.int64).max).min(1)
-        return a["point"][first], a["hash"][first], best
+            lower[rows] = ((d <= radius**2) & (b["hash"][None, :] < a["hash"][first[rows]][:, None])).any(1)
+        return a["point"][first], lower
 
-    asks = active.where("home")
-    if block:
-        crowded = asks.where("chunks > 1").groupBy("cell", "sub").agg(F.min("hash").alias("hash"))
-        few = asks.where("chunks > 1").join(crowded, ["cell", "sub", "hash"], "left_semi").select(*asks.columns)
-        asks = asks.where("chunks = 1").unionByName(few)
-    # A point asks in its home cell only; in a crowded one it meets every chunk.
-    found = _scan(_dealt(asks, active, ["point", "hash", "sub"], block), "point string, hash long, least long", work)
-    return found.groupBy("point").agg(F.max("hash").alias("hash"), F.min("least").alias("least")).where("hash <= least").select("point")
+    columns, kind, home = ["point", "hash", "sub"], "point string, lower boolean", F.col("home")
+    if not block:
+        # A point asks in its home cell only.
+        return _scan(_whole(active, home, F.lit(True), columns), kind, work).where("NOT lower").select("point")
+    few = active.where(home).groupBy("cell", "sub").agg(F.min("hash").alias("hash"))
+    few = active.where(home).join(few, ["cell", "sub", "hash"], "left_semi").select(*active.columns)
+    # In a crowded cell it meets every chunk.
+    found = _scan(_dealt(few, active, columns, block), kind, work)
+    return found.groupBy("point").agg(F.max("lower").alias("lower")).where("NOT lower").select("point")
 
 
-def _closest_pivot(home: DataFrame, pivots: DataFrame, radius: float, block: int) -> DataFrame:
-    """(point, pivot, d) of the points within ``radius`` of a pivot, the closest one."""
+def _closest_pivot(copies: DataFrame, pivots: DataFrame, radius: float, block: int) -> DataFrame:
+    """(point, pivot) of the points within ``radius`` of a pivot, the closest one."""
 
     def work(a: dict, b: dict):
-        at, best = np.empty(len(a["point"]), np.int64), np.empty(len(a["point"]))
-        for rows, d in _near(a["x"], b["x"]):
+        at, best = np.empty(len(b["point"]), np.int64), np.empty(len(b["point"]))
+        for rows, d in _near(b["x"], a["x"]):
             at[rows], best[rows] = d.argmin(1), d.min(1)
         ok = best <= radius**2
-        return a["point"][ok], b["point"][at[ok]], best[ok]
+        return b["point"][ok], a["point"][at[ok]], best[ok]
 
-    # The points are the company that is dealt to chunks; the pivots, which are far apart, ask.
-    near = home.join(pivots.select("cell").distinct(), "cell", "left_semi").select(*home.columns)
-    found = _scan(_dealt(pivots, near, ["point"], block), "point string, pivot string, d double", lambda a, b: work(b, a))
-    return found.groupBy("point").agg(F.min(F.struct("d", "pivot")).alias("b")).select("point", "b.pivot", "b.d")
+    kind, home = "point string, pivot string, d double", F.col("home")
+    # The points are the given side, which is dealt to chunks; the pivots, far apart, ask them.
+    if not block:
+        rows = copies.join(pivots.withColumn("pivot", F.lit(True)), "point", "left").where("home OR pivot")
+        return _scan(_whole(rows, F.coalesce("pivot", F.lit(False)), home, ["point"]), kind, work).select("point", "pivot")
+    asks = copies.join(pivots, "point", "left_semi").select(*copies.columns)
+    found = _scan(_dealt(asks, copies.where(home), ["point"], block), kind, work)
+    return found.groupBy("point").agg(F.min(F.struct("d", "pivot")).getField("pivot").alias("pivot"))
 
 
 def _cross_links(copies: DataFrame, radius: float, block: int) -> DataFrame:
     """(a, b): pairs of clusters with a pair of neighbours, from copies with ``cluster``."""
 
     def work(a: dict, b: dict):
+        if len(a["cluster"]) == len(b["cluster"]) == 1:
+            return None
         names, code = np.unique(np.r_[a["cluster"], b["cluster"]].astype(str), return_inverse=True)
+        if len(names) < 2:
+            return None
         mine, other, links = code[: len(a["cluster"])], code[len(a["cluster"]) :], set()
         for rows, d in _near(a["x"], b["x"]):
             i, j = np.nonzero((d <= radius**2) & (mine[rows][:, None] != other[None, :]))
@@ -228,33 +251,36 @@ def _cross_links(copies: DataFrame, radius: float, block: int) -> DataFrame:
         found = np.array(sorted(links))
         return names[found // len(names)], names[found % len(names)]
 
+    kind = "a string, b string"
+    if not block:
+        return _scan(_whole(copies, F.col("home"), F.lit(True), ["cluster"]), kind, work)
     mixed = copies.groupBy("cell").agg(F.min("cluster").alias("a"), F.max("cluster").alias("b")).where("a <> b").select("cell")
     rows = copies.join(mixed, "cell", "left_semi").select(*copies.columns)
-    return _scan(_dealt(rows.where("home"), rows, ["cluster"], block), "a string, b string", work)
+    return _scan(_dealt(rows.where("home"), rows, ["cluster"], block), kind, work)
 
 
 def _crowded(copies: DataFrame, block: int) -> int:
     """``block`` where a cell has several chunks, else 0."""
-    return block if (copies.agg(F.max("chunks")).first()[0] or 1) > 1 else 0
+    return block if "chunks" in copies.columns else 0
 
 
 def pivot_clusters(pts: DataFrame, radius: float, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(members, copies): each point with its ``cluster``, the closest pivot within ``radius``,
     and the grid copies that found it."""
     pts = cut(pts, "points")
-    copies = cut(grid_copies(pts, radius, block), "copies")
-    pivots, active, dealt = None, copies, _crowded(copies, block)
+    copies = grid_copies(pts, radius, block)
+    pivots, active, dealt, rounds = None, copies, _crowded(copies, block), 0
     while active.where("home").limit(1).count():
         new = cut(_least_hash(active, radius, dealt), "pivots")
         pivots = new if pivots is None else pivots.unionByName(new)
-        taken = _closest_pivot(active.where("home"), active.join(new, "point", "left_semi").select(*active.columns), radius, dealt)
-        active = cut(active.join(taken.select("point"), "point", "left_anti").select(*active.columns), "active")
+        taken = cut(_closest_pivot(active, new, radius, dealt), "taken")
+        rounds, active = rounds + 1, cut(active.join(taken.select("point"), "point", "left_anti").select(*active.columns), "active")
     if pivots is None:
         return cut(pts.withColumn("cluster", F.col("point")), "members"), copies
-    near = _closest_pivot(copies.where("home"), copies.join(pivots, "point", "left_semi").select(*copies.columns), radius, dealt)
-    # A point alone in its cell has no neighbour and is its own cluster.
-    members = pts.join(near.select("point", F.col("pivot").alias("cluster")), "point", "left")
-    return cut(members.withColumn("cluster", F.coalesce("cluster", "point")), "members"), copies
+    # After a single round the points are with their closest pivots already.
+    near = taken if rounds == 1 else _closest_pivot(copies, pivots, radius, dealt)
+    members = pts.join(near.withColumnRenamed("pivot", "cluster"), "point")
+    return cut(members, "members"), copies
 
 
 def contract_links(links: DataFrame) -> DataFrame:
@@ -293,12 +319,14 @@ def linked_clusters(pts: DataFrame, radius: float, block: int = BLOCK) -> DataFr
     """
     members, copies = pivot_clusters(pts, radius, block)
     both = lambda links: links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labelled = cut(copies.join(members.select("point", "cluster"), "point"), "labelled")
-    shared = labelled.where("home").groupBy("sub").agg(F.min("cluster").alias("least"), F.max("cluster").alias("most")).where("least <> most").select("sub", "least")
-    shared = labelled.where("home").join(shared, "sub").where("cluster <> least").select(F.col("cluster").alias("a"), F.col("least").alias("b"))
-    first = _renamed(members.select("point", "cluster"), contract_links(both(shared)))
-    again = labelled.drop("cluster").join(first, "point")
-    whole = _renamed(first, contract_links(both(_cross_links(again, radius, _crowded(copies, block)))))
+    labels, dealt = members.select("point", "cluster"), _crowded(copies, block)
+    if dealt:
+        home = copies.where("home").select("point", "sub").join(labels, "point")
+        shared = home.groupBy("sub").agg(F.min("cluster").alias("least"), F.max("cluster").alias("most")).where("least <> most").select("sub", "least")
+        shared = home.join(shared, "sub").where("cluster <> least").select(F.col("cluster").alias("a"), F.col("least").alias("b"))
+        labels = _renamed(labels, contract_links(both(shared)))
+    links = _cross_links(copies.join(labels, "point"), radius, dealt)
+    whole = _renamed(labels, contract_links(both(cut(links, "links"))))
     return members.join(whole.withColumnRenamed("cluster", "component"), "point")
 
 
