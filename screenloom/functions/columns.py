@@ -59,3 +59,11 @@ def lenient_decode(column: Column | str) -> Column:
     """Bytes as text in UTF-8; what is not valid becomes the replacement character."""
     c = F.col(column) if isinstance(column, str) else column
     return F.make_valid_utf8(c.cast("string"))
+
+
+def p_column(columns: list[str]) -> str:
+    """The column of p-values to test: the adjusted one, else the plain one; none is an error."""
+    for c in ("pval_adj", "pval"):
+        if c in columns:
+            return c
+    raise ValueError("neither pval_adj nor pval")

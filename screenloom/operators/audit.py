@@ -56,6 +56,52 @@ def raw_count_source(layers: dict[str, DataFrame], column: str = "value", least:
     return best.select(F.coalesce("b.source", F.lit("none")).alias("source"), "b.integer_share")
 
 
+# Layer names that hold raw counts.
+COUNT_LAYERS = ["counts", "raw_counts", "raw", "umi", "umis"]
+
+
+def count_source(layers: dict[str, DataFrame], column: str = "value", least: float = 0.95) -> DataFrame:
+    """(source, integer_share): a layer whose name says counts, the first of ``COUNT_LAYERS``;
+    else the first other layer without values or with whole numbers to at least ``least``."""
+    names = {n.lower(): n for n in layers}
+    named = next((names[c] for c in COUNT_LAYERS if c in names), None)
+    if named is not None:
+        return integer_like(layers[named], column).select(F.lit(named).alias("source"), "integer_share")
+    return raw_count_source(layers, column, least)
+
+
+def require_counts(report: DataFrame, source: DataFrame) -> None:
+    """The gate before a run: raise unless all checks hold and there is a source of raw counts."""
+    require_ready(report)
+    if source.first().source == "none":
+        raise ValueError("not ready: no source of raw counts")
+
+
+def architecture(df: DataFrame) -> DataFrame:
+    """(column, type, n_rows, low, high): the shape of a table, and the least and greatest of its
+    columns of numbers, null for others; one aggregate over all columns."""
+    number = lambda f: f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double")
+    v = lambda f: F.nanvl(F.col(f"`{f.name}`").cast("double"), F.lit(None).cast("double")) if number(f) else F.lit(None).cast("double")
+    parts = [
+        F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.count(F.lit(1)).alias("n_rows"), F.min(v(f)).alias("low"), F.max(v(f)).alias("high"))
+        for f in df.schema
+    ]
+    return df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
+
+
+def dataset_audit(name: str, cells: DataFrame, layers: dict[str, DataFrame], calls: DataFrame | None = None) -> DataFrame:
+    """One row of an audit: (dataset, n_cells, pert_col, control_label, control_count, raw_source,
+    n_overlap, ready). ``n_overlap`` counts the barcodes that the guide calls share with the
+    cells, null without calls; ready needs a control label that occurs and raw counts."""
+    labels = recommend_labels(cells)
+    source = count_source(layers).select(F.col("source").alias("raw_source"))
+    both = None if calls is None else calls.select("cell_barcode").distinct().join(cells.select("cell_barcode").distinct(), "cell_barcode", "left_semi")
+    size = cells.agg(F.count(F.lit(1)).alias("n_cells"))
+    out = size.join(labels).join(source).withColumn("n_overlap", F.lit(None).cast("bigint") if both is None else both.agg(F.count(F.lit(1))).scalar())
+    ready = F.col("ready") & (F.col("raw_source") != "none")
+    return out.select(F.lit(name).alias("dataset"), "n_cells", "pert_col", "control_label", "control_count", "raw_source", "n_overlap", ready.alias("ready"))
+
+
 def guide_summary(calls: DataFrame, cells: DataFrame, control: str) -> DataFrame:
     """One row: rows, distinct barcodes and targets, control rows, and barcodes among the cells."""
     base = calls.agg(

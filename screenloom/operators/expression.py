@@ -70,7 +70,8 @@ def highly_variable(stats: DataFrame, n_top: int, bins: int = 20) -> DataFrame:
 def standardize_genes(matrix: DataFrame, group: str, n_groups: int) -> DataFrame:
     """Each gene's values less its mean over all groups by its population deviation (1 where it
     is 0), absent entries counting as zeros: (group, gene, value, zero) where ``zero`` is the
-    value that an absent entry of the gene would have."""
+    value that an absent entry of the gene would have. Distances between groups are those of
+    ``value - zero``, whose absent entries are 0."""
     per = matrix.groupBy("gene").agg(F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("ss"))
     mean = F.col("s") / n_groups
     sd = F.sqrt(F.greatest(F.col("ss") / n_groups - mean * mean, F.lit(0.0)))
@@ -126,3 +127,36 @@ def greedy_genes(ranked: DataFrame, budget: int, max_genes: int) -> DataFrame:
 
     rows = ranked.select("gene", F.col("position").cast("bigint").alias("position"), F.col("n_nonzero").cast("bigint").alias("n_nonzero"))
     return rows.groupBy().applyInPandas(choose, rows.schema)
+
+
+def gene_scores(matrix: DataFrame, n_groups: int, how: str = "variance") -> DataFrame:
+    """(gene, score): the mean size or the sample variance of each gene over ``n_groups`` groups;
+    entries that are not stored are zeros."""
+    v = F.col("value")
+    sums = matrix.groupBy("gene").agg(F.sum(F.abs(v)).alias("a"), F.sum(v).alias("s"), F.sum(v * v).alias("ss"))
+    if how == "mean_abs":
+        return sums.select("gene", (F.col("a") / n_groups).alias("score"))
+    if how != "variance":
+        raise ValueError("variance or mean_abs")
+    return sums.select("gene", F.greatest(F.try_divide(F.col("ss") - F.col("s") * F.col("s") / n_groups, F.lit(n_groups - 1)), F.lit(0.0)).alias("score"))
+
+
+def gene_bytes(counts: DataFrame, per_value: int = 12) -> DataFrame:
+    """(gene, n_nonzero, n_bytes): what a gene's values take as triplets."""
+    per = counts.where("value <> 0").groupBy("gene").agg(F.count(F.lit(1)).alias("n_nonzero"))
+    return per.withColumn("n_bytes", F.col("n_nonzero") * per_value)
+
+
+def cell_quality(counts: DataFrame, marked: str = "MT-") -> DataFrame:
+    """(cell_barcode, total_counts, n_genes, share_marked): a cell's sum, its genes with a value,
+    and the share of its counts on genes whose names start with ``marked``."""
+    v = F.col("value")
+    own = F.sum(F.when(F.upper("gene").startswith(marked.upper()), v).otherwise(0.0))
+    per = counts.where("value <> 0").groupBy("cell_barcode").agg(F.sum(v).alias("total_counts"), F.count(F.lit(1)).alias("n_genes"), own.alias("m"))
+    return per.select("cell_barcode", "total_counts", "n_genes", F.try_divide("m", "total_counts").alias("share_marked"))
+
+
+def quality_report(quality: DataFrame) -> DataFrame:
+    """One row: cells, and the least, mean and greatest of their sums and genes."""
+    parts = [f(c).alias(f"{n}_{c}") for c in ("total_counts", "n_genes") for n, f in (("min", F.min), ("mean", F.avg), ("max", F.max))]
+    return quality.agg(F.count(F.lit(1)).alias("n_cells"), *parts, F.avg("share_marked").alias("mean_share_marked"))

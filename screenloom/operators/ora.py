@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenloom.functions.columns import as_double
+from screenloom.functions.columns import as_double, p_column
 from screenloom.functions.pvalues import hypergeometric_upper
 from screenloom.operators.de import benjamini_hochberg
 
 
 def regulated_genes(de: DataFrame, min_lfc: float = 0.25, alpha: float = 0.05) -> DataFrame:
     """(perturbation, direction, gene) of rows with finite figures beyond both thresholds."""
-    p = "pval_adj" if "pval_adj" in de.columns else "pval"
-    rows = de.select("perturbation", "gene", as_double("logfoldchange").alias("lfc"), as_double(p).alias("p")).dropna()
+    rows = de.select("perturbation", "gene", as_double("logfoldchange").alias("lfc"), as_double(p_column(de.columns)).alias("p")).dropna()
     way = F.when(F.col("lfc") >= min_lfc, "up").when(F.col("lfc") <= -min_lfc, "down")
     return rows.where(F.col("p") <= alpha).select("perturbation", way.alias("direction"), "gene").where("direction IS NOT NULL").distinct()
 
@@ -66,3 +67,10 @@ def term_summary(terms: DataFrame, query: DataFrame, alpha: float = 0.05) -> Dat
     )
     out = asked.join(found, ["perturbation", "direction"], "left")
     return out.withColumns({c: F.coalesce(c, F.lit(0)).cast("bigint") for c in ("n_terms_tested", "n_terms_fdr_sig")})
+
+
+def terms_of_targets(streams: dict[str, DataFrame], targets: DataFrame) -> DataFrame:
+    """The terms of the target perturbations in every stream, tagged with ``stream``."""
+    wanted = targets.select("perturbation").distinct()
+    parts = [t.join(wanted, "perturbation", "left_semi").withColumn("stream", F.lit(name)) for name, t in streams.items()]
+    return reduce(DataFrame.unionByName, parts)

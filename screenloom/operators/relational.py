@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenloom.functions.columns import finite, says_perturbed
+from screenloom.functions.columns import as_double, finite, says_perturbed
 from screenloom.session import cut
 
 
@@ -153,3 +153,67 @@ def pairwise_correlation(df: DataFrame, columns: list[str], least: int = 3) -> D
     ]
     out = df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
     return out.select("metric_a", "metric_b", F.when(F.coalesce("n", F.lit(0)) >= least, finite(F.col("r"))).alias("pearson_r"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+
+
+def aligned_update(df: DataFrame, updates: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``df`` with the values of ``columns`` that ``updates`` (one row a key) has for its keys; keys
+    that it lacks, and nulls in it, keep their values."""
+    new = updates.select(key, *[F.col(c).alias(f"__{c}") for c in columns])
+    out = df.join(new, key, "left").withColumns({c: F.coalesce(f"__{c}", c) for c in columns})
+    return out.select(*df.columns)
+
+
+def left_with_suffix(a: DataFrame, b: DataFrame, key: str, suffix: str = "_from_chunks") -> DataFrame:
+    """All rows of ``a`` with the columns of ``b``; those that ``a`` has too get the suffix."""
+    named = b.select(key, *[F.col(c).alias(f"{c}{suffix}" if c in a.columns else c) for c in b.columns if c != key])
+    return a.join(named, key, "left")
+
+
+def match_rates(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """One row: distinct keys of both sides, those in both, and their share in each."""
+    out = overlap_report(a, b, key)
+    return out.select("n_a", "n_b", "n_both", F.try_divide("n_both", "n_a").alias("rate_a"), F.try_divide("n_both", "n_b").alias("rate_b"))
+
+
+def matching_columns(columns: list[str], prefix: str = "", parts: tuple[str, ...] = ()) -> list[str]:
+    """The columns whose names start with ``prefix`` and hold all ``parts``, in any case; numbered
+    ones in the order of their numbers."""
+    found = [c for c in columns if c.lower().startswith(prefix.lower()) and all(p.lower() in c.lower() for p in parts)]
+    number = lambda c: int("".join(filter(str.isdigit, c[len(prefix) :])) or 0)
+    return sorted(found, key=number) if prefix else found
+
+
+def label_or_control(cells: DataFrame, selected: DataFrame, control: str, key: str = "cell_barcode", label: str = "perturbation") -> DataFrame:
+    """(key, label): the label a cell was selected for, the first by name, else the control's."""
+    one = selected.where(F.col(label).isNotNull()).groupBy(key).agg(F.min(label).alias("__l"))
+    return cells.select(key).join(one, key, "left").select(key, F.coalesce("__l", F.lit(control)).alias(label))
+
+
+def class_members(df: DataFrame, name: str, text: str, classes: dict[str, str]) -> DataFrame:
+    """Distinct (class, name): the names whose text holds a class's word, in any case. A row may
+    be of several classes; null names and texts are of none."""
+    hits = F.filter(F.array(*[F.when(F.lower(F.col(text)).contains(w.lower()), F.lit(c)) for c, w in classes.items()]), lambda c: c.isNotNull())
+    return df.where(F.col(name).isNotNull()).select(F.explode(hits).alias("class"), name).distinct()
+
+
+def largest_labels(cells: DataFrame, label: str, n: int) -> DataFrame:
+    """The ``n`` labels with the most rows (all where ``n`` is 0 or less), ties by name."""
+    per = min_count(cells, label, 1, out="n_cells")
+    return per.orderBy(F.col("n_cells").desc(), label).limit(n) if n > 0 else per
+
+
+def ordered_by_first_usable(df: DataFrame, group: str, item: str, columns: list[str], rank: str = "rank") -> DataFrame:
+    """(group, item, position): items in the order of the first of ``columns`` with any finite
+    value in the whole table: ``rank`` upwards, another column downwards; values that are no
+    numbers come last, ties by item. Without a usable column the order is that of the items."""
+    seen = df.agg(*[F.count(as_double(c)).alias(c) for c in columns]).first()
+    chosen = next((c for c in columns if seen[c]), None)
+    v = as_double(chosen) if chosen else F.lit(None).cast("double")
+    order = v.asc_nulls_last() if chosen == rank else v.desc_nulls_last()
+    w = Window.partitionBy(group).orderBy(order, item)
+    return df.where(F.col(group).isNotNull()).select(group, item, F.row_number().over(w).alias("position"))
+
+
+def stacked(frames: list[DataFrame]) -> DataFrame:
+    """The rows of all tables with the columns of any; what a table lacks is null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -45,3 +45,24 @@ def targets_and_random(candidates: DataFrame, targets: DataFrame, label: str, n:
     random = others.orderBy(sample_order(seed, label), label).limit(max(0, wanted))
     tag = lambda df, role: df.select(label, F.lit(role).alias("role"))
     return tag(present, "target").unionByName(tag(missing, "missing")).unionByName(tag(random, "random"))
+
+
+def recap_controls(manifest: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """A manifest whose chunks keep ``n`` of their control rows each, the same in all chunks."""
+    is_control = F.col("is_control") == 1
+    return manifest.where(~is_control).unionByName(cap_groups(manifest.where(is_control), "chunk_id", "cell_barcode", n, seed))
+
+
+def one_perturbation(cells: DataFrame, label: str, target: str, control: str, max_controls: int, seed: int = 0) -> DataFrame:
+    """(cell_barcode, gene_target, is_control): all cells of one label and a sample of controls."""
+    rows = cells.where("cell_barcode IS NOT NULL").select("cell_barcode", F.col(label).alias("gene_target"))
+    controls = sample_rows(rows.where(control_equals("gene_target", control)), "cell_barcode", max_controls, seed)
+    mark = lambda df, k: df.withColumn("is_control", F.lit(k))
+    return mark(rows.where(control_equals("gene_target", target)), 0).unionByName(mark(controls, 1))
+
+
+def selected_with_counts(candidates: DataFrame, targets: DataFrame, cells: DataFrame, n: int | None = None, match: bool = True, seed: int = 0) -> DataFrame:
+    """(perturbation, role, n_cells): ``targets_and_random`` with each one's distinct cells."""
+    roles = targets_and_random(candidates, targets, "perturbation", n, match, seed)
+    per = cells.where("perturbation IS NOT NULL").groupBy("perturbation").agg(F.count_distinct("cell_barcode").alias("n_cells"))
+    return roles.join(per, "perturbation", "left").withColumn("n_cells", F.coalesce("n_cells", F.lit(0)).cast("bigint"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenloom.functions.pvalues import fisher_greater
+from screenloom.functions.pvalues import fisher_greater, student_two_sided
 from screenloom.operators.relational import quantile_bins
 
 
@@ -40,7 +40,8 @@ def abundance_deciles(cells: DataFrame) -> DataFrame:
 
 
 def rank_correlation(df: DataFrame, group: str, a: str, b: str) -> DataFrame:
-    """(group, spearman_r, n) with mid-ranks within each group over rows where both are known."""
+    """(group, spearman_r, n, p_value) with mid-ranks within each group over rows where both are
+    known; p by Student's t with n - 2 degrees of freedom, null below three rows."""
     rows = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(group, a, b)
     # Ranks come from one row per distinct value, so that a heavy group is a short list of counts.
     def ranked(c: str) -> DataFrame:
@@ -54,5 +55,8 @@ def rank_correlation(df: DataFrame, group: str, a: str, b: str) -> DataFrame:
     s = d.groupBy(group).agg(F.sum(n).alias("n"), F.sum(n * x).alias("sx"), F.sum(n * y).alias("sy"), F.sum(n * x * x).alias("xx"), F.sum(n * y * y).alias("yy"), F.sum(n * x * y).alias("xy"))
     up = F.col("n") * F.col("xy") - F.col("sx") * F.col("sy")
     under = F.sqrt(F.greatest(F.col("n") * F.col("xx") - F.col("sx") ** 2, F.lit(0.0))) * F.sqrt(F.greatest(F.col("n") * F.col("yy") - F.col("sy") ** 2, F.lit(0.0)))
-    return s.select(group, F.try_divide(up, under).alias("spearman_r"), F.col("n").cast("bigint").alias("n"))
+    out = s.select(group, F.try_divide(up, under).alias("spearman_r"), F.col("n").cast("bigint").alias("n"))
+    free = F.greatest(F.col("n") - 2, F.lit(0)).cast("double")
+    t = F.col("spearman_r") * F.sqrt(F.try_divide(free, F.lit(1.0) - F.col("spearman_r") * F.col("spearman_r")))
+    return out.withColumn("p_value", F.when(F.abs("spearman_r") < 1, student_two_sided(t, free)).when(F.abs("spearman_r") >= 1, F.when(free > 0, 0.0)))
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenloom import schema
 from screenloom.functions.columns import as_double, finite, neg_log10
 from screenloom.operators.relational import full_outer_chain, pairwise_correlation, top_per_group, z_scores
+from screenloom.sources.tables import path_exists
 
 
 def standardize_stream(de: DataFrame, stream: str) -> DataFrame:
@@ -126,3 +127,20 @@ def compare_methods(effects: DataFrame, scores: DataFrame, weights: DataFrame, p
     table = full_outer_chain(parts, "perturbation").join(best, "perturbation", "left").join(summary, "perturbation", "left")
     metrics = ["mixscape_effect", "mixscale_score_mean", "ps_score_mean", "mean_ps_score"]
     return z_scores(table, metrics), pairwise_correlation(table, metrics)
+
+
+def volcano_labels(points: DataFrame, n: int = 25) -> DataFrame:
+    """The ``n`` points of each perturbation to label, highest ``y`` first, then ``x``, then name."""
+    return top_per_group(points, ["perturbation"], [F.col("y").desc(), F.col("x").desc(), F.col("gene")], n)
+
+
+def read_stream(spark: SparkSession, path: str, stream: str) -> DataFrame:
+    """A stream from its file of the best genes, or from the full ranking where that lies beside
+    it (``name_full.tsv`` by ``name.tsv``); a missing or empty file gives no rows."""
+    stem, dot, end = path.rpartition("/")[2].partition(".")
+    full = f"{path[: len(path) - len(stem + dot + end)]}{stem}_full{dot}{end}"
+    for p in (full, path):
+        if path_exists(spark, p, non_empty=True):
+            raw = spark.read.options(header=True, sep="\t").csv(p)
+            return standardize_stream(raw, stream)
+    return schema.empty(spark, schema.STREAM)

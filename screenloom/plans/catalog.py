@@ -355,9 +355,10 @@ def a11_pearson(spark, d):
 @query("""WITH r AS (SELECT dataset, rank() OVER (PARTITION BY dataset ORDER BY n_cells) + (count(*) OVER (PARTITION BY dataset, n_cells) - 1) / 2 AS a,
   rank() OVER (PARTITION BY dataset ORDER BY ko_rate) + (count(*) OVER (PARTITION BY dataset, ko_rate) - 1) / 2 AS b
   FROM hct_mixscape_ko_by_umi_decile WHERE n_cells IS NOT NULL AND ko_rate IS NOT NULL)
-SELECT dataset, round(corr(a, b), 6) AS spearman_r, count(*) AS n FROM r GROUP BY 1""")
+SELECT dataset, round(c, 6) AS spearman_r, n, round(""" + sq.student_two_sided("(c * sqrt((n - 2) / (1 - c * c)))", "(n - 2.0::DOUBLE)") + """, 6) AS p_value FROM (SELECT dataset, corr(a, b) AS c, count(*) AS n FROM r GROUP BY 1)""")
 def a12_spearman(spark, d):
-    return strata.rank_correlation(load(spark, d, "hct_mixscape_ko_by_umi_decile"), "dataset", "n_cells", "ko_rate").withColumn("spearman_r", F.round("spearman_r", 6))
+    out = strata.rank_correlation(load(spark, d, "hct_mixscape_ko_by_umi_decile"), "dataset", "n_cells", "ko_rate")
+    return out.withColumns({c: F.round(c, 6) for c in ("spearman_r", "p_value")})
 
 
 @query("SELECT coalesce(gene_target, '<NA>') AS label, count(*) AS n FROM cell_mixscape_labels GROUP BY 1 ORDER BY n DESC, label LIMIT 20")
@@ -379,11 +380,15 @@ def a14_effect_vectors(spark, d):
     return fx.centroid_deltas(_vectors(spark, d), "0").select("perturbation", "n_cells", F.round("effect_l2_vs_control", 6).alias("effect_l2_vs_control"))
 
 
-@query("""WITH s AS (SELECT CAST(label AS VARCHAR) AS perturbation, avg(embedding[1]::DOUBLE) AS m, var_samp(embedding[1]::DOUBLE) AS v, count(*)::DOUBLE AS n FROM embeddings GROUP BY 1)
-SELECT a.perturbation, round((a.m - b.m) / sqrt(a.v / a.n + b.v / b.n), 6) AS t FROM s a JOIN s b ON b.perturbation = '0' WHERE a.perturbation <> '0'""")
+_WELCH_DF = "((a.v / a.n + b.v / b.n) ** 2 / ((a.v / a.n) ** 2 / (a.n - 1) + (b.v / b.n) ** 2 / (b.n - 1)))"
+
+
+@query(f"""WITH s AS (SELECT CAST(label AS VARCHAR) AS perturbation, avg(embedding[1]::DOUBLE) AS m, var_samp(embedding[1]::DOUBLE) AS v, count(*)::DOUBLE AS n FROM embeddings GROUP BY 1),
+w AS (SELECT a.perturbation, (a.m - b.m) / sqrt(a.v / a.n + b.v / b.n) AS t, {_WELCH_DF} AS df FROM s a JOIN s b ON b.perturbation = '0' WHERE a.perturbation <> '0')
+SELECT perturbation, round(t, 6) AS t, round({sq.student_two_sided("t", "df")}, 6) AS p_value FROM w""")
 def a15_welch_t(spark, d):
     out = fx.first_component_test(_vectors(spark, d), "0").where("perturbation <> '0'")
-    return out.where(F.coalesce("pc1_p_value_vs_control", F.lit(1.0)) <= 1.0).select("perturbation", F.round("pc1_t_stat_vs_control", 6).alias("t"))
+    return out.select("perturbation", F.round("pc1_t_stat_vs_control", 6).alias("t"), F.round("pc1_p_value_vs_control", 6).alias("p_value"))
 
 
 @query("""SELECT gene_target AS perturbation, count(*) AS n_cells, sum(is_predicted_perturbed)::BIGINT AS n_predicted_perturbed,
@@ -477,10 +482,10 @@ def a28_hit_genes(spark, d):
 
 @query(f"""WITH {_STREAMS}, t AS (SELECT DISTINCT perturbation FROM perturbation_clusters WHERE n_cells >= 100 AND perturbation IS NOT NULL)
 SELECT gene, count(DISTINCT perturbation) AS n_perturbations FROM c WHERE effect_for_cluster <> 0 AND perturbation IN (SELECT perturbation FROM t)
-GROUP BY 1 HAVING count(DISTINCT perturbation) >= (SELECT greatest(1, ceil(0.01::DOUBLE * greatest(1, count(*)))) FROM t)""")
+GROUP BY 1 HAVING count(DISTINCT perturbation) >= (SELECT greatest(1, ceil(0.002::DOUBLE * greatest(1, count(*)))) FROM t)""")
 def a29_recurrent(spark, d):
     targets = load(spark, d, "perturbation_clusters").where("n_cells >= 100 AND perturbation IS NOT NULL")
-    return streams.recurrent_genes(_combined(spark, d), targets, 0.01)
+    return streams.recurrent_genes(_combined(spark, d), targets, 0.002)
 
 
 @query("SELECT call_id, max(coalesce(list_sum(list_transform(regexp_extract_all(num_umis, '\\d+'), lambda x: x::BIGINT)), 0))::BIGINT AS umi FROM guide_calls_csv WHERE num_umis IS NOT NULL GROUP BY 1")
@@ -652,7 +657,13 @@ def n03_pseudobulk_log1p(spark, d):
     return ex.pseudobulk_expression(ex.pseudobulk(counts(spark, d), cells(spark, d))).withColumn("value", F.round("value", 6))
 
 
-@query()
+@query(f"""WITH {FINE_SQL}, v AS (SELECT cell_barcode, gene, ln(1 + value * 10000.0 / sum(value) OVER (PARTITION BY cell_barcode)) AS value FROM counts),
+n AS (SELECT count(DISTINCT cell_barcode) AS n FROM v),
+s AS (SELECT gene, sum(value) / n AS mean, greatest((sum(value * value) - sum(value) * sum(value) / n) / (n - 1), 0) AS variance FROM v, n WHERE value <> 0 GROUP BY gene, n),
+e AS (SELECT gene, variance / nullif(mean, 0) AS x, ln(1 + mean) AS m FROM s), r AS (SELECT min(m) AS low, max(m) AS high FROM e),
+b AS (SELECT gene, x, least(floor((m - low) * 20 / (high - low)), 19) AS bin FROM e, r), p AS (SELECT bin, avg(x) AS u, stddev_samp(x) AS sd FROM b GROUP BY 1),
+z AS (SELECT gene, CASE WHEN coalesce(sd, 0) > 0 THEN (x - u) / sd ELSE 1.0 END AS z FROM b JOIN p USING (bin))
+SELECT gene, row_number() OVER (ORDER BY z DESC NULLS LAST, gene) <= 40 AS is_hvg, round(z, 6) AS dispersion_norm FROM z""")
 def n05_variable_genes(spark, d):
     rows = co.prepared(counts(spark, d, True), 10_000)
     return ex.highly_variable(ex.gene_stats(rows, rows.select("cell_barcode").distinct().count()), 40).select("gene", "is_hvg", F.round("dispersion_norm", 6).alias("dispersion_norm"))
@@ -663,8 +674,7 @@ z AS (SELECT perturbation, gene, (value - m) / s AS v FROM bulk JOIN s USING (ge
 SELECT a.perturbation AS group_a, b.perturbation AS group_b, round(1 / (1 + sqrt(sum((a.v - b.v) ** 2))), 6) AS similarity FROM z a JOIN z b USING (gene) WHERE a.perturbation <> b.perturbation GROUP BY ALL""")
 def n12_similarity(spark, d):
     bulk = ex.pseudobulk(counts(spark, d), cells(spark, d))
-    # All groups hold all brands here, so no entry is absent.
-    z = ex.standardize_genes(bulk, "perturbation", 5).select("perturbation", "gene", "value")
+    z = ex.standardize_genes(bulk, "perturbation", 5).select("perturbation", "gene", (F.col("value") - F.col("zero")).alias("value"))
     out = similarity.profile_distances(z, "perturbation", z).where("group_a <> group_b")
     return out.select("group_a", "group_b", F.round("similarity", 6).alias("similarity"))
 
@@ -677,7 +687,7 @@ def _profiles(spark, d):
 @query()
 def n06_pca(spark, d):
     values, genes = _profiles(spark, d)
-    pcs = similarity.principal_components(similarity.cell_vectors(values, genes), 10)
+    pcs = similarity.principal_components(values, genes, 10)
     return pcs.select("cell_barcode", F.transform("x", lambda v: F.round(v, 6)).alias("x"))
 
 
@@ -702,10 +712,15 @@ def n10_clusters(spark, d):
     return similarity.cluster_profiles(rows, 20, "perturbation")
 
 
-@query()
+@query("""WITH v AS (SELECT CAST(vec_id AS VARCHAR) AS cell_barcode, CAST(label AS VARCHAR) AS perturbation, embedding AS e FROM embeddings),
+q AS (SELECT a.cell_barcode, b.cell_barcode AS neighbour, sqrt(list_sum(list_transform(list_zip(a.e, b.e), lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) ** 2))) AS x
+  FROM v a JOIN v b ON b.perturbation = '0' AND a.cell_barcode <> b.cell_barcode),
+near AS (SELECT cell_barcode, neighbour FROM (SELECT *, row_number() OVER (PARTITION BY cell_barcode ORDER BY round(x, 9), neighbour) AS r FROM q) WHERE r <= 20),
+m AS (SELECT near.cell_barcode, k, avg(v.e[k + 1]::DOUBLE) AS m FROM near JOIN v ON v.cell_barcode = near.neighbour, range(0, 64) t(k) GROUP BY ALL)
+SELECT cell_barcode, perturbation, k::INTEGER AS k, round(e[k + 1]::DOUBLE - m, 6) AS value FROM v JOIN m USING (cell_barcode) WHERE k < len(e)""")
 def n13_signature(spark, d):
     out = models.signature(_vectors(spark, d), "0", 20)
-    return out.select("cell_barcode", "perturbation", F.transform("signature", lambda v: F.round(v, 6)).alias("signature"))
+    return out.select("cell_barcode", "perturbation", F.posexplode("signature").alias("k", "value")).withColumn("value", F.round("value", 6))
 
 
 def _scored(spark, d, **bounds):
@@ -722,16 +737,31 @@ def n14_mixscape(spark, d):
     return models.classify(scores, moments, CONTROL, rows).withColumn("p_ko", F.round("p_ko", 6))
 
 
-@query()
+_SCORED = f"""{CELLS_SQL}, {FINE_SQL}, kept AS (SELECT * FROM cells), vals AS (SELECT cell_barcode, gene, ln(1 + value * 10000.0 / sum(value) OVER (PARTITION BY cell_barcode)) AS value FROM counts),
+{sq.differential_expression("vals", "kept", CONTROL)},
+sig AS (SELECT perturbation, gene, logfoldchange AS w, row_number() OVER (PARTITION BY perturbation ORDER BY q, abs(score) DESC, gene) AS r, count(*) OVER (PARTITION BY perturbation) AS n FROM de WHERE abs(logfoldchange) >= 0.1 AND q <= 0.05),
+base AS (SELECT gene, sum(value) / (SELECT n0 FROM size0) AS c, sum(value * value) / (SELECT n0 FROM size0) - (sum(value) / (SELECT n0 FROM size0)) ** 2 AS var FROM vals JOIN cells USING (cell_barcode) WHERE perturbation = '{CONTROL}' GROUP BY 1)"""
+
+
+def _projected(which: str) -> str:
+    return f"""{_SCORED}, g AS (SELECT perturbation, gene, w, coalesce(c, 0) AS c, greatest(coalesce(var, 0), 0) AS var FROM sig LEFT JOIN base USING (gene) WHERE {which}),
+f AS (SELECT perturbation, sum(c * w) AS cw, sum(w * w) AS ww, sqrt(sum(w * w * var)) / sum(w * w) AS sd0 FROM g GROUP BY 1),
+x AS (SELECT cell_barcode, sum(value * w) AS xw FROM vals JOIN cells USING (cell_barcode) JOIN g USING (perturbation, gene) GROUP BY 1),
+s AS (SELECT cell_barcode, perturbation, (coalesce(xw, 0) - cw) / ww AS projection, sd0 FROM cells JOIN f USING (perturbation) LEFT JOIN x USING (cell_barcode) WHERE perturbation <> '{CONTROL}' AND ww > 0)"""
+
+
+@query(f"WITH {_projected('n >= 5 AND r <= 100')} SELECT cell_barcode, perturbation, round(projection / sd0, 6) AS mixscale_score FROM s WHERE sd0 > 0")
 def n15_mixscale(spark, d):
     _, scores, moments = _scored(spark, d, most=co.Defaults.mixscale_max_genes, least=co.Defaults.mixscale_min_genes)
     return models.mixscale_scores(scores, moments).withColumn("mixscale_score", F.round("mixscale_score", 6))
 
 
-@query()
+@query(f"""WITH {_projected('true')}, t AS (SELECT perturbation, greatest(projection, 0) AS v, max(greatest(projection, 0)) OVER (PARTITION BY perturbation) AS top FROM s)
+SELECT perturbation, count(*) AS n_cells, round(avg(coalesce(v / nullif(top, 0), 0)), 6) AS mean_ps_score, round(stddev_samp(coalesce(v / nullif(top, 0), 0)), 6) AS sd_ps_score FROM t GROUP BY 1""")
 def n16_efficiency(spark, d):
     _, scores, _ = _scored(spark, d)
-    return models.efficiency_summary(models.efficiency_scores(scores))
+    out = models.efficiency_summary(models.efficiency_scores(scores))
+    return out.withColumns({c: F.round(c, 6) for c in ("mean_ps_score", "sd_ps_score")})
 
 
 # Audit and composites.
@@ -743,9 +773,13 @@ def v02_guide_summary(spark, d):
     return audit.guide_summary(load(spark, d, "guide_calls_csv"), load(spark, d, "obs_cells"), "Scramble")
 
 
-@query()
+_LABEL_COLUMNS = {"dataset": "string", "cell_barcode": "string", "gene_target": "string", "mixscape_class": "string", "mixscape_class_global": "string", "mixscape_class_p_ko": "double", "is_predicted_perturbed": "int", "source_chunk": "string", "loaded_at": "timestamp_ntz"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS column, '{t}' AS type, count(*) AS n_rows, count(*) - count({c}) AS n_null FROM cell_mixscape_labels" for c, t in _LABEL_COLUMNS.items()))
 def v01_structure(spark, d):
-    return audit.structure(load(spark, d, "cell_mixscape_labels"))
+    """Without the distinct counts, which are approximate."""
+    return audit.structure(load(spark, d, "cell_mixscape_labels")).drop("n_distinct")
 
 
 @query("""WITH s AS (SELECT count(*) AS n, count(DISTINCT cell_barcode) AS b, sum(CASE WHEN gene_target = 'Scramble' THEN 1 ELSE 0 END) AS c FROM guide_calls_csv)
@@ -838,12 +872,6 @@ def c10_ps_select(spark, d):
     return co.ps_select(rows, "click").select("cell_barcode", "perturbation", "ps_score", F.round("selection_threshold", 6).alias("selection_threshold"))
 
 
-@query()
-def c10_ps_de(spark, d):
-    _, scores, _ = _scored(spark, d)
-    return co.ps_select_and_de(models.efficiency_scores(scores), counts(spark, d, True), cells(spark, d), CONTROL)
-
-
 _DE_COLUMNS = ", ".join(f"round({c}, 6) AS {n}" for c, n in (("score", "score"), ("logfoldchange", "logfoldchange"), ("pval", "pval"), ("q", "pval_adj"), ("pct_nz_group", "pct_nz_group"), ("pct_nz_reference", "pct_nz_reference")))
 
 
@@ -861,6 +889,20 @@ def c11_global_de_t(spark, d):
     return _rounded(co.global_de(counts(spark, d, True), cells_many(spark, d), CONTROL_MANY, method="t-test", top=100))
 
 
+@query(f"""WITH {MANY_SQL}, {FINE_SQL}, tot AS (SELECT cell_barcode, sum(value) AS t FROM counts GROUP BY 1),
+ps AS (SELECT cell_barcode, perturbation, t AS score FROM cells JOIN tot USING (cell_barcode) WHERE perturbation <> '{CONTROL_MANY}'), q AS (SELECT perturbation, quantile_cont(score, 0.9) AS t FROM ps GROUP BY 1),
+sel AS (SELECT cell_barcode, perturbation FROM ps JOIN q USING (perturbation) WHERE score >= q.t), enough AS (SELECT perturbation FROM sel GROUP BY 1 HAVING count(*) >= 20),
+kept AS (SELECT * FROM sel WHERE perturbation IN (SELECT perturbation FROM enough) UNION ALL SELECT cell_barcode, perturbation FROM cells WHERE perturbation = '{CONTROL_MANY}'),
+own AS (SELECT counts.*, sum(value) OVER (PARTITION BY cell_barcode) AS t FROM counts WHERE cell_barcode IN (SELECT cell_barcode FROM kept)), goal AS (SELECT median(t) AS g FROM (SELECT DISTINCT cell_barcode, t FROM own)),
+vals AS (SELECT cell_barcode, gene, ln(1 + value * g / t) AS value FROM own, goal), {sq.differential_expression("vals", "kept", CONTROL_MANY)}
+SELECT perturbation, rank, gene, {_DE_COLUMNS} FROM de WHERE rank <= 200""")
+def c10_ps_de(spark, d):
+    """The score of a cell is its count; the selected tenth meets all control cells."""
+    rows, values = cells_many(spark, d), counts(spark, d, True)
+    totals = values.groupBy("cell_barcode").agg(F.sum("value").alias("ps_score"))
+    return _rounded(co.ps_select_and_de(rows.join(totals, "cell_barcode"), values, rows, CONTROL_MANY))
+
+
 _ORA = f"""{SETS_SQL}, uni AS (SELECT DISTINCT p_brand || '|' || p_type AS gene FROM part), uu AS (SELECT count(*) AS u FROM uni),
 query AS (SELECT DISTINCT 'SIZE_' || CAST(p_size % 3 AS VARCHAR) AS perturbation, 'up' AS direction, p_brand || '|' || p_type AS gene FROM part WHERE p_retailprice > 985),
 nq AS (SELECT perturbation, direction, count(*) AS n FROM query GROUP BY ALL HAVING count(*) >= 10), nt AS (SELECT term, count(*) AS m FROM sets GROUP BY 1 HAVING count(*) BETWEEN 5 AND 5000),
@@ -885,18 +927,32 @@ def c12_ora(spark, d):
     return terms.withColumns(rounded).drop("p_adj_bh")
 
 
-@query()
+_HYPER = sq.hypergeometric_upper("k", "u", "m", "n")
+
+
+@query(f"""WITH {_ORA}, p AS (SELECT perturbation, direction, term, {_HYPER} AS p FROM o), t AS (SELECT *, round(q, 9) AS b FROM {sq.adjusted("p", "perturbation, direction", "p")}),
+f AS (SELECT perturbation, direction, count(*) AS n_terms_tested, count(*) FILTER (q <= 0.05) AS n_terms_fdr_sig, min(q) AS best_p_adj_bh FROM t GROUP BY ALL)
+SELECT a.perturbation, a.direction, a.n AS n_query_genes, coalesce(n_terms_tested, 0) AS n_terms_tested, coalesce(n_terms_fdr_sig, 0) AS n_terms_fdr_sig, round(best_p_adj_bh, 6) AS best_p_adj_bh
+FROM (SELECT perturbation, direction, count(*) AS n FROM query GROUP BY ALL) a LEFT JOIN f USING (perturbation, direction)""")
 def c12_ora_summary(spark, d):
     universe = load(spark, d, "part").select(F.concat("p_brand", F.lit("|"), "p_type").alias("gene"))
-    return ora.term_summary(ora.over_representation(_ora_query(spark, d), gene_sets(spark, d), universe), _ora_query(spark, d))
+    out = ora.term_summary(ora.over_representation(_ora_query(spark, d), gene_sets(spark, d), universe), _ora_query(spark, d))
+    return out.drop("best_term").withColumn("best_p_adj_bh", F.round("best_p_adj_bh", 6))
 
 
-@query()
+@query(f"""WITH de AS (SELECT perturbation, gene, logfoldchange AS x, pval_adj AS p FROM perturbation_differential_genes WHERE gene IS NOT NULL),
+uni AS (SELECT DISTINCT gene FROM de), uu AS (SELECT count(*) AS u FROM uni), sets AS (SELECT DISTINCT substr(gene, 1, 2) AS term, gene FROM de),
+query AS (SELECT DISTINCT perturbation, CASE WHEN x > 0 THEN 'up' ELSE 'down' END AS direction, gene FROM de WHERE perturbation IS NOT NULL AND isfinite(x) AND isfinite(p) AND p <= 0.05 AND abs(x) >= 0.25),
+nq AS (SELECT perturbation, direction, count(*) AS n FROM query GROUP BY ALL HAVING count(*) >= 10), nt AS (SELECT term, count(*) AS m FROM sets GROUP BY 1 HAVING count(*) BETWEEN 5 AND 5000),
+o AS (SELECT h.*, n, m, u FROM (SELECT perturbation, direction, term, count(*) AS k FROM query JOIN sets USING (gene) GROUP BY ALL) h JOIN nq USING (perturbation, direction) JOIN nt USING (term), uu),
+p AS (SELECT *, {_HYPER} AS p FROM o), t AS {sq.adjusted("p", "perturbation, direction", "p")}
+SELECT perturbation, direction, term, k AS k_overlap, n AS query_size, m AS term_size, u AS universe_size, round(p, 6) AS p_value, round(q, 6) AS p_adj_bh FROM t""")
 def c12_run_ora(spark, d):
-    """Genes' name stems are the sets, the tested genes the universe."""
+    """Genes' name stems are the sets, the tested genes the universe; all terms."""
     de = load(spark, d, "perturbation_differential_genes").where("gene IS NOT NULL")
     sets = de.select(F.substring("gene", 1, 2).alias("term"), "gene").distinct()
-    return co.run_ora(de, sets, de.select("gene"))[0]
+    terms = co.run_ora(de, sets, de.select("gene"), co.Defaults(ora_terms=1_000_000))[0]
+    return terms.select("perturbation", "direction", "term", "k_overlap", "query_size", "term_size", "universe_size", F.round("p_value", 6).alias("p_value"), F.round("p_adj_bh", 6).alias("p_adj_bh"))
 
 
 @query("""WITH a AS (SELECT perturbation, avg(effect_l2_vs_control) AS x FROM perturbation_clusters WHERE perturbation IS NOT NULL GROUP BY 1),
@@ -917,9 +973,15 @@ def _compared(spark, d):
     return streams.compare_methods(effects, scores, de.select("perturbation", F.col("pval").alias("p_weight")), ps, summary)
 
 
-@query()
+_METRICS = {"mixscape_effect": "a", "mixscale_score_mean": "b", "ps_score_mean": "c", "mean_ps_score": "c"}
+
+
+@query("""WITH a AS (SELECT perturbation, avg(effect_l2_vs_control) AS a, avg(n_cells) AS c FROM perturbation_clusters WHERE perturbation IS NOT NULL GROUP BY 1),
+b AS (SELECT perturbation, avg(score) AS b FROM perturbation_differential_genes WHERE perturbation IS NOT NULL AND score IS NOT NULL AND NOT isnan(score) GROUP BY 1), t AS (SELECT a, b, c FROM a FULL JOIN b USING (perturbation)) """
++ " UNION ALL ".join(f"SELECT '{x}' AS metric_a, '{y}' AS metric_b, round(corr({_METRICS[x]}, {_METRICS[y]}), 6) AS pearson_r, count(*) FILTER ({_METRICS[x]} IS NOT NULL AND {_METRICS[y]} IS NOT NULL) AS n FROM t"
+    for i, x in enumerate(_METRICS) for y in list(_METRICS)[i + 1 :]))
 def c13_correlations(spark, d):
-    return _compared(spark, d)[1]
+    return _compared(spark, d)[1].withColumn("pearson_r", F.round("pearson_r", 6))
 
 
 @query(f"WITH {_STREAMS} SELECT perturbation, count(*) AS n_genes, round(sum(abs(effect_for_cluster)), 4) AS strength, sum(CASE WHEN n_streams_detected = 2 THEN 1 ELSE 0 END)::BIGINT AS n_both FROM c GROUP BY 1")
@@ -935,13 +997,13 @@ def c16_target_random(spark, d):
 
 
 @query(f"""WITH {_STREAMS}, t AS (SELECT DISTINCT perturbation FROM perturbation_clusters WHERE n_cells >= 100 AND perturbation IS NOT NULL),
-r AS (SELECT gene FROM c WHERE effect_for_cluster <> 0 AND perturbation IN (SELECT perturbation FROM t) GROUP BY 1 HAVING count(DISTINCT perturbation) >= (SELECT greatest(1, ceil(0.01::DOUBLE * greatest(1, count(*)))) FROM t)),
+r AS (SELECT gene FROM c WHERE effect_for_cluster <> 0 AND perturbation IN (SELECT perturbation FROM t) GROUP BY 1 HAVING count(DISTINCT perturbation) >= (SELECT greatest(1, ceil(0.002::DOUBLE * greatest(1, count(*)))) FROM t)),
 p AS (SELECT perturbation, gene, logfoldchange AS x, pval_adj AS p FROM perturbation_differential_genes WHERE perturbation IS NOT NULL AND gene IS NOT NULL AND logfoldchange IS NOT NULL AND NOT isnan(logfoldchange) AND pval_adj IS NOT NULL AND NOT isnan(pval_adj))
 SELECT perturbation, count(*) AS n_points, sum(CASE WHEN p <= 0.05 AND abs(x) >= 0.25 THEN 1 ELSE 0 END)::BIGINT AS n_sig, sum(CASE WHEN gene IN (SELECT gene FROM r) THEN 1 ELSE 0 END)::BIGINT AS n_recurrent FROM p GROUP BY 1""")
 def c18_volcano(spark, d):
     de = load(spark, d, "perturbation_differential_genes")
     targets = load(spark, d, "perturbation_clusters").where("n_cells >= 100 AND perturbation IS NOT NULL")
-    return streams.volcano_counts(streams.volcano_points(de, streams.recurrent_genes(_combined(spark, d), targets, 0.01)))
+    return streams.volcano_counts(streams.volcano_points(de, streams.recurrent_genes(_combined(spark, d), targets, 0.002)))
 
 
 @query(f"""WITH {GUIDE_SQL}, q AS (SELECT perturbation, count(*) AS n_cells, quantile_cont(umi, 0.25) AS q1, quantile_cont(umi, 0.75) AS q3 FROM guides WHERE perturbation <> 'scramble' GROUP BY 1 HAVING count(*) >= 40)

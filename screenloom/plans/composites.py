@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from screenloom.functions.columns import control_equals
+from screenloom.functions.columns import control_equals, label_seed
 from screenloom.operators import de as de_ops
 from screenloom.operators import effects as fx
 from screenloom.operators import expression as ex
-from screenloom.operators import models, ora, sampling, similarity, streams
+from screenloom.operators import models, ora, sampling, similarity, strata, streams
 from screenloom.operators import relational as rel
 from screenloom.session import cut
+from screenloom.sources.tables import require_columns
 
 
 @dataclass(frozen=True)
@@ -38,6 +40,9 @@ class Defaults:
     ps_quantile: float = 0.90
     ps_min_cells: int = 20
     ps_max_controls: int = 0
+    n_variable: int = 0
+    neighbours: int = 20
+    signature_controls: int = 0
     mixscale_min_genes: int = 5
     mixscale_max_genes: int = 100
 
@@ -93,19 +98,63 @@ def global_de(
     return found.where(F.col("rank") <= top) if top > 0 else found
 
 
+def chosen_genes(values: DataFrame, n: int) -> DataFrame:
+    """(gene, gene_idx) of the ``n`` most variable genes, of all where ``n`` is 0."""
+    if n <= 0:
+        return gene_index(values)
+    size = values.select("cell_barcode").distinct().count()
+    return gene_index(ex.highly_variable(ex.gene_stats(values, size), n).where("is_hvg"))
+
+
+def effect_model(counts: DataFrame, cells: DataFrame, control: str, d: Defaults, most: int = 0, least: int = 0) -> tuple[DataFrame, ...]:
+    """(cells, values, components, chosen genes, scores, moments) that the three scores share:
+    normalised values, principal components of the variable genes, each cell's difference from its
+    nearest control cells on the significant genes, and its projection on the effect."""
+    rows = cut(cells.select("cell_barcode", "perturbation").dropna(), "cells")
+    values = cut(prepared(counts.join(rows, "cell_barcode", "left_semi"), d.target_sum), "values")
+    pcs = cut(similarity.principal_components(values, chosen_genes(values, d.n_variable), d.n_pcs), "components")
+    found = de_ops.differential_expression(values, rows, control)
+    chosen = cut(models.effect_genes(found, d.lfc, d.p, most, least), "chosen")
+    layer = values
+    if d.neighbours > 0:
+        near = models.control_neighbours(pcs.join(rows, "cell_barcode"), control, d.neighbours, d.signature_controls, d.seed)
+        layer = cut(models.perturbed_layer(values, near, chosen.select("gene").distinct()), "layer")
+    scores = cut(models.projections(layer, rows, chosen, control), "scores")
+    return rows, values, pcs, chosen, scores, models.control_moments(layer, rows, chosen, control)
+
+
 def run_mixscape(counts: DataFrame, cells: DataFrame, control: str, d: Defaults = Defaults()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(classes, effects, scores): each cell's class, each perturbation's effect vector in
     principal components fitted once over all cells, and the projections."""
-    rows = cut(cells.select("cell_barcode", "perturbation").dropna(), "cells")
-    values = cut(prepared(counts.join(rows, "cell_barcode", "left_semi"), d.target_sum), "values")
-    genes = gene_index(values)
-    pcs = similarity.principal_components(similarity.cell_vectors(values, genes), d.n_pcs)
+    rows, _, pcs, _, scores, moments = effect_model(counts, cells, control, d)
     deltas = fx.centroid_deltas(pcs.join(rows, "cell_barcode"), control)
-    found = de_ops.differential_expression(values, rows, control)
-    chosen = cut(models.effect_genes(found, d.lfc, d.p), "chosen")
-    scores = models.projections(values, rows, chosen, control)
-    classes = models.classify(scores, models.control_moments(values, rows, chosen, control), control, rows)
-    return classes, deltas, scores
+    return models.classify(scores, moments, control, rows), deltas, scores
+
+
+def run_mixscape_by(counts: DataFrame, cells: DataFrame, control: str, replicate: str, d: Defaults = Defaults()) -> DataFrame:
+    """The classes of ``run_mixscape`` within each replicate (a column of ``cells`` with few
+    values), whose cells are compared with its own controls; with the replicate's column."""
+    names = [r[0] for r in cells.select(replicate).where(F.col(replicate).isNotNull()).distinct().orderBy(replicate).collect()]
+    own = lambda r: cells.where(F.col(replicate) == F.lit(r))
+    parts = [run_mixscape(counts, own(r), control, d)[0].withColumn(replicate, F.lit(r)) for r in names]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_mixscale(counts: DataFrame, cells: DataFrame, control: str, d: Defaults = Defaults()) -> tuple[DataFrame, DataFrame]:
+    """(scores, genes): each cell's strength (cell_barcode, perturbation, mixscale_score) and the
+    genes it rests on (perturbation, gene, rank, p_weight), for perturbations with at least
+    ``mixscale_min_genes`` significant genes, the ``mixscale_max_genes`` first of them."""
+    _, _, _, chosen, scores, moments = effect_model(counts, cells, control, d, d.mixscale_max_genes, d.mixscale_min_genes)
+    genes = rel.top_per_group(chosen, ["perturbation"], [F.abs("weight").desc(), F.col("gene")], 0)
+    return models.mixscale_scores(scores, moments), genes.select("perturbation", "gene", "rank", F.col("weight").alias("p_weight"))
+
+
+def run_ps(counts: DataFrame, cells: DataFrame, control: str, d: Defaults = Defaults()) -> tuple[DataFrame, DataFrame]:
+    """(scores, summary): each cell's efficiency (cell_barcode, perturbation, ps_score) and each
+    perturbation's mean and deviation of it."""
+    *_, scores, _ = effect_model(counts, cells, control, d)
+    ps = cut(models.efficiency_scores(scores), "ps")
+    return ps, models.efficiency_summary(ps)
 
 
 def gene_index(counts: DataFrame) -> DataFrame:
@@ -166,20 +215,19 @@ def run_ora(de: DataFrame, sets: DataFrame, universe: DataFrame, d: Defaults = D
     return ora.best_terms(terms, d.ora_terms), ora.term_summary(terms, query, d.ora_alpha)
 
 
-def postprocess(counts: DataFrame, selected: DataFrame, min_selected: int = 20, n_pcs: int = 10, k: int = 15) -> DataFrame:
+def postprocess(counts: DataFrame, selected: DataFrame, min_selected: int = 20, n_pcs: int = 10, k: int = 15, n_variable: int = 0) -> DataFrame:
     """(perturbation, n_selected_cells, community, axis_1, axis_2) of perturbations with enough
-    selected cells: pseudobulk profiles, principal components, neighbours, communities. The
-    plane is that of the first two components."""
+    selected cells: pseudobulk profiles, principal components of the variable genes, neighbours,
+    communities. The plane is that of the first two components."""
     rows = selected.select("cell_barcode", "perturbation").dropna()
     rows = rel.keep_first(rows, ["cell_barcode"], [F.col("perturbation")])
-    kept = rel.min_count(rows, "perturbation", min_selected, out="n_selected_cells")
+    kept = cut(rel.min_count(rows, "perturbation", min_selected, out="n_selected_cells"), "kept")
+    if kept.limit(3).count() < 3:
+        return kept.select("perturbation", "n_selected_cells", F.lit("0").alias("community"), F.lit(0.0).alias("axis_1"), F.lit(0.0).alias("axis_2"))
     rows = rows.join(kept, "perturbation", "left_semi")
     bulk = ex.pseudobulk(counts, rows).withColumnRenamed("perturbation", "cell_barcode")
     values = cut(prepared(bulk, None), "values")
-    genes = gene_index(values)
-    if kept.limit(3).count() < 3:
-        return kept.select("perturbation", "n_selected_cells", F.lit("0").alias("community"), F.lit(0.0).alias("axis_1"), F.lit(0.0).alias("axis_2"))
-    pcs = similarity.principal_components(similarity.cell_vectors(values, genes), min(n_pcs, genes.count()))
+    pcs = cut(similarity.principal_components(values, chosen_genes(values, n_variable), n_pcs), "components")
     near = similarity.nearest_neighbours(pcs, k, "cell_barcode")
     groups = similarity.communities(near, "cell_barcode")
     out = kept.join(pcs.withColumnRenamed("cell_barcode", "perturbation"), "perturbation")
@@ -187,6 +235,30 @@ def postprocess(counts: DataFrame, selected: DataFrame, min_selected: int = 20,
     return out.select("perturbation", "n_selected_cells", "community", F.col("x")[0].alias("axis_1"), F.get("x", F.lit(1)).alias("axis_2"))
 
 
+def postprocess_de(
+    counts: DataFrame, selected: DataFrame, cells: DataFrame, control: str, min_selected: int = 20, max_controls: int = 0, top: int = 200, seed: int = 0
+) -> tuple[DataFrame, DataFrame]:
+    """(full, best): the differential expression of the selected cells of perturbations with enough
+    of them against the control cells, on values normalised to the median; all genes, and the
+    first ``top`` of each perturbation."""
+    rows = selected.select("cell_barcode", "perturbation").dropna()
+    rows = rel.keep_first(rows.where(~control_equals("perturbation", control)), ["cell_barcode"], [F.col("perturbation")])
+    controls = sampling.sample_rows(cells.where(control_equals("perturbation", control)), "cell_barcode", max_controls, seed).select("cell_barcode")
+    kept = rel.label_or_control(controls.unionByName(rows.select("cell_barcode")).distinct(), rows, control)
+    enough = rel.min_count(kept.where(~control_equals("perturbation", control)), "perturbation", min_selected).select("perturbation")
+    kept = cut(kept.join(enough, "perturbation", "left_semi").unionByName(kept.where(control_equals("perturbation", control)), allowMissingColumns=True), "cells")
+    values = cut(prepared(counts.join(kept, "cell_barcode", "left_semi"), None), "values")
+    full = cut(de_ops.differential_expression(values, kept, control), "de")
+    return full, full.where(F.col("rank") <= top)
+
+
+def with_chunk_counts(table: DataFrame, summary: DataFrame) -> DataFrame:
+    """A table of perturbations with the cells that the chunks selected, added up over chunks, in
+    columns ``_from_chunks`` where the names clash."""
+    per = summary.groupBy("perturbation").agg(F.sum("n_selected_perturbed_cells").alias("n_selected_cells"))
+    return rel.left_with_suffix(table, per, "perturbation")
+
+
 def target_random(
     combined: DataFrame, targets: DataFrame, control: str, k: int = 20, per_perturbation: int = 0, least: int = 20, match: bool = True, seed: int = 0
 ) -> DataFrame:
@@ -207,3 +279,45 @@ def target_random(
     scaled = F.zip_with("features", "packed", lambda v, e: F.when(e.s > 1e-12, (v - e.m) / e.s).otherwise(0.0))
     clusters = similarity.cluster_profiles(vectors.withColumn("packed", packed).select("perturbation", scaled.alias("x")), k, "perturbation", seed)
     return clusters.join(rows, "perturbation").select("perturbation", "cluster", "order_index", "group")
+
+
+def target_random_by_method(
+    combined: dict[str, DataFrame], targets: DataFrame, control: str, prefix: str = "deg", seed: int = 0, **options
+) -> DataFrame:
+    """``target_random`` for each method's own effects, with ``method`` and a seed from its label."""
+    parts = [
+        target_random(effects, targets, control, seed=label_seed(seed, f"{prefix}_{name}"), **options).withColumn("method", F.lit(f"{prefix}_{name}"))
+        for name, effects in combined.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def manifest_from_calls(calls: DataFrame, control: str, passed: Column, per_chunk: int = 128, min_cells: int = 30, max_controls: int = 10_000, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(manifest, meta) from guide calls in two passes: the labels of the calls that pass are
+    counted, then the rows of the labels that are kept are chunked. ``meta`` has one row:
+    total_rows, n_control_cells_global, n_perturbations_all (the control and the missing label
+    count), n_perturbations_kept, n_chunks."""
+    rows = calls.where(passed).select("cell_barcode", "gene_target")
+    manifest = build_manifest(rows, control, per_chunk, min_cells, max_controls, seed)
+    own = control_equals("gene_target", control)
+    labels = F.coalesce("gene_target", F.lit("<NA>"))
+    meta = rows.agg(F.count(F.lit(1)).alias("total_rows"), F.sum(own.cast("bigint")).alias("n_control_cells_global"), F.count_distinct(labels).alias("n_perturbations_all"))
+    kept = rel.min_count(rows.where("cell_barcode IS NOT NULL").where(~own), "gene_target", min_cells).agg(F.count(F.lit(1)).alias("k")).scalar()
+    return manifest, meta.withColumn("n_perturbations_kept", kept).withColumn("n_chunks", F.ceil(F.col("n_perturbations_kept") / per_chunk))
+
+
+def gene_lists(annotation: DataFrame, name: str, text: str, classes: dict[str, str] | None = None) -> DataFrame:
+    """(class, name): the genes of each class whose word the annotation's text holds."""
+    # The classes and the words that name them.
+    words = classes or {"tf": "transcription factor", "transporter": "transporter", "enzyme": "enzyme"}
+    require_columns(annotation, [name, text])
+    return rel.class_members(annotation, name, text, words)
+
+
+def guide_diagnostic(labels: DataFrame, guides: DataFrame, control: str, min_cells: int = 100, min_per_group: int = 20) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rates, per perturbation, deciles) of cells with a label (cell_barcode, perturbation, is_ko)
+    and with guide counts (cell_barcode, umi): how many of each side match, and knock-out rates by
+    guide abundance."""
+    both = cut(labels.join(guides, "cell_barcode"), "both")
+    per = strata.abundance_strata(both.where(~control_equals("perturbation", control)), min_cells, min_per_group)
+    return rel.match_rates(labels, guides, "cell_barcode"), per, strata.abundance_deciles(both)

@@ -6,23 +6,23 @@ from __future__ import annotations
 def normal_two_sided(z: str) -> str:
     """P(|Z| >= |z|) by the series of the error function, all of whose terms are positive."""
     t = f"(abs({z}) / sqrt(2.0::DOUBLE))"
-    series = f"list_sum(list_transform(range(0, 100), lambda n: exp(-{t} * {t} + (2 * n + 1) * ln({t}) - lgamma(n + 1.5))))"
+    series = f"list_sum(list_transform(range(0, 100), lambda i_: exp(-{t} * {t} + (2 * i_ + 1) * ln({t}) - lgamma(i_ + 1.5))))"
     return f"(CASE WHEN {z} IS NULL THEN NULL WHEN {t} = 0 THEN 1.0 WHEN {t} > 5.8 THEN 0.0 ELSE greatest(0, 1 - {series}) END)"
 
 
 def student_two_sided(t: str, df: str, steps: int = 400) -> str:
     """P(|T| >= |t|) by Simpson's rule over the angle whose tangent is t / sqrt(df)."""
     top = f"atan(abs({t}) / sqrt({df}))"
-    weight = f"CASE WHEN n = 0 OR n = {steps} THEN 1 WHEN n % 2 = 1 THEN 4 ELSE 2 END"
-    area = f"{top} / {3 * steps} * list_sum(list_transform(range(0, {steps + 1}), lambda n: ({weight}) * pow(cos({top} * n / {steps}.0), {df} - 1)))"
+    weight = f"CASE WHEN i_ = 0 OR i_ = {steps} THEN 1 WHEN i_ % 2 = 1 THEN 4 ELSE 2 END"
+    area = f"{top} / {3 * steps} * list_sum(list_transform(range(0, {steps + 1}), lambda i_: ({weight}) * pow(cos({top} * i_ / {steps}.0), {df} - 1)))"
     scale = f"exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / sqrt(pi())"
     return f"(CASE WHEN {t} IS NULL OR {df} IS NULL OR {df} <= 0 THEN NULL ELSE greatest(0, 1 - 2 * {scale} * {area}) END)"
 
 
 def hypergeometric_upper(k: str, u: str, m: str, n: str) -> str:
     """P(X >= k) for n draws of m among u, added up term by term."""
-    log = f"lgamma({m} + 1) - lgamma(j + 1) - lgamma({m} - j + 1) + lgamma({u} - {m} + 1) - lgamma({n} - j + 1) - lgamma({u} - {m} - {n} + j + 1) - lgamma({u} + 1) + lgamma({n} + 1) + lgamma({u} - {n} + 1)"
-    return f"least(1, coalesce(list_sum(list_transform(range(greatest({k}, {n} + {m} - {u}), least({n}, {m}) + 1), lambda j: exp({log}))), 0))"
+    log = f"lgamma({m} + 1) - lgamma(i_ + 1) - lgamma({m} - i_ + 1) + lgamma({u} - {m} + 1) - lgamma({n} - i_ + 1) - lgamma({u} - {m} - {n} + i_ + 1) - lgamma({u} + 1) + lgamma({n} + 1) + lgamma({u} - {n} + 1)"
+    return f"least(1, coalesce(list_sum(list_transform(range(greatest({k}, {n} + {m} - {u}), least({n}, {m}) + 1), lambda i_: exp({log}))), 0))"
 
 
 def adjusted(table: str, groups: str, p: str) -> str:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from screenloom.functions.columns import is_true
 from screenloom.operators.relational import keep_first
+from screenloom.operators.sampling import sample_rows
 from screenloom.schema import empty
 
 
@@ -100,10 +104,57 @@ def matrix_sample(counts: DataFrame, n: int) -> DataFrame:
     return counts.orderBy("cell_barcode", "gene").limit(n)
 
 
-def select_barcodes(df: DataFrame, barcodes: DataFrame, key: str = "cell_barcode") -> DataFrame:
+def select_barcodes(df: DataFrame, barcodes: DataFrame, key: str = "cell_barcode", required: bool = False) -> DataFrame:
     """The rows of the given distinct non-null barcodes: a semi-join, whose strategy the sizes
-    decide."""
-    return df.join(barcodes.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
+    decide. Where ``required``, no match is an error."""
+    found = df.join(barcodes.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
+    if required and not found.limit(1).count():
+        raise ValueError(f"no {key} of the selection is in the table")
+    return found
+
+
+def load_cells(df: DataFrame, chunk: DataFrame | None = None, max_cells: int = 0, seed: int = 0, key: str = "cell_barcode") -> DataFrame:
+    """The cells of a run: those of a chunk's manifest where one is given (at least one must be
+    there), else all or a sample of ``max_cells`` where that is above 0."""
+    if chunk is not None:
+        return select_barcodes(df, chunk, key, required=True)
+    return sample_rows(df, key, max_cells, seed)
+
+
+def gene_universe(counts: DataFrame) -> DataFrame:
+    """The distinct genes of a matrix."""
+    return counts.select("gene").where("gene IS NOT NULL").distinct()
+
+
+def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df``, or an error that names the columns it lacks."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError("missing columns: " + ", ".join(missing))
+    return df
+
+
+def dataset_registry(samples: DataFrame) -> DataFrame:
+    """The data sets switched on, once each (equal rows merge; of others the first by path), with
+    blank fields as nulls."""
+    text = [F.when(F.trim(c) != "", F.trim(c)).alias(c) for c in samples.columns]
+    rows = samples.where(is_true("enabled")).select(*text).where("dataset IS NOT NULL").distinct()
+    others = [F.col(c).asc_nulls_last() for c in rows.columns if c != "dataset"]
+    return keep_first(rows, ["dataset"], others).drop("enabled")
+
+
+def chunk_ids(spark: SparkSession, root: str, name: str) -> list[str]:
+    """The folders under ``root`` that hold ``name``, in order; none is an error."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/{name}")
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop) or []
+    if not len(found):
+        raise ValueError(f"no {name} in any folder of {root}")
+    return sorted(f.getPath().getParent().getName() for f in found)
+
+
+def read_audit(spark: SparkSession, path: str) -> dict:
+    """A record of a run as it was written by ``sinks.write_metadata``."""
+    return json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
 
 
 def filtered_guide_calls(calls: DataFrame, keep: DataFrame, passed: Column, order: list[Column]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from screenloom.functions import columns, pvalues
 from screenloom.functions.columns import label_seed
-from screenloom.operators import audit, de, ora, sampling, similarity, streams
+from screenloom.operators import audit, de, expression, ora, sampling, similarity, streams
 from screenloom.operators import relational as rel
 from screenloom.operators.orphans import open_references
 from screenloom.plans import composites as co
@@ -202,3 +202,51 @@ def test_readiness_gate(spark):
 def test_enabled_datasets():
     assert config.enabled_datasets({"datasets": {"a": {}, "b": {"enabled": False}, "c": {"enabled": True}}}) == ["a", "c"]
     assert config.enabled_datasets({}) == []
+
+
+def test_neighbours_of_copies_and_near_copies(spark):
+    """Many rows that repeat, exactly and nearly, over several cells and chunks."""
+    r = np.random.default_rng(7)
+    base = r.normal(0, 3, (40, 6))
+    x = np.concatenate([base[r.integers(0, 40, 150)], base[r.integers(0, 40, 60)] + r.normal(0, 1e-7, (60, 6)), np.tile(base[0], (40, 1))])
+    names = [f"k{i:03d}" for i in r.permutation(len(x))]
+    df = spark.createDataFrame(list(zip(names, x.tolist())), "k string, x array<double>")
+    got = {}
+    for row in similarity.nearest_neighbours(df, 4, "k", block=24).collect():
+        got.setdefault(row.k, {})[row["rank"]] = row.neighbour
+    for i, n in enumerate(names):
+        d = np.round(np.sqrt(((x - x[i]) ** 2).sum(1)), 9)
+        want = sorted((d[j], names[j]) for j in range(len(x)) if j != i)[:4]
+        assert [got[n][k] for k in (1, 2, 3, 4)] == [m for _, m in want]
+    few = df.limit(1)
+    assert similarity.nearest_neighbours(few, 3, "k").count() == 0
+    assert similarity.nearest_neighbours(df.limit(0), 3, "k").count() == 0
+    assert similarity.nearest_neighbours(df, 300, "k", block=50).count() == len(x) * (len(x) - 1)
+
+
+def test_components_against_a_decomposition(spark):
+    r = np.random.default_rng(3)
+    x = np.where(r.random((80, 30)) < 0.4, r.gamma(2, 1, (80, 30)), 0) + np.outer(r.normal(0, 3, 80) ** 2, np.arange(30) % 5 == 0)
+    rows = [(f"c{i}", f"g{j:02d}", float(x[i, j])) for i in range(80) for j in range(30) if x[i, j]]
+    values = spark.createDataFrame(rows, COUNTS)
+    genes = spark.createDataFrame([(f"g{j:02d}", j) for j in range(30)], "gene string, gene_idx int")
+    got = {r.cell_barcode: r.x for r in similarity.principal_components(values, genes, 4).collect()}
+    c = x - x.mean(0)
+    axes = np.linalg.svd(c, full_matrices=False)[2][:4].T
+    axes *= np.sign(axes[np.abs(axes).argmax(0), np.arange(4)])
+    assert np.array([got[f"c{i}"] for i in range(80)]) == pytest.approx(c @ axes, abs=1e-6)
+    assert similarity.principal_components(values.limit(0), genes, 4).count() == 0
+    dense = {r.cell_barcode: r.features for r in similarity.cell_vectors(values, genes).collect()}
+    assert np.array([dense[f"c{i}"] for i in range(80)]) == pytest.approx(x)
+
+
+def test_similarity_of_sparse_profiles(spark):
+    """An absent entry of a standardised gene is its zero, not 0."""
+    x = np.array([[3.0, 0, 1], [0, 2.0, 1], [1.0, 0, 0], [0, 0, 4.0]])
+    rows = [(f"p{i}", f"g{j}", float(x[i, j])) for i in range(4) for j in range(3) if x[i, j]]
+    z = expression.standardize_genes(spark.createDataFrame(rows, "perturbation string, gene string, value double"), "perturbation", 4)
+    z = z.select("perturbation", "gene", (F.col("value") - F.col("zero")).alias("value"))
+    want = (x - x.mean(0)) / x.std(0)
+    for r in similarity.profile_distances(z, "perturbation", z, block=2).collect():
+        a, b = int(r.group_a[1]), int(r.group_b[1])
+        assert r.distance == pytest.approx(np.linalg.norm(want[a] - want[b]))
