@@ -35,6 +35,8 @@ from screenloom.session import cut
 
 #: Coordinates of the grid, its cell width in radii, and the points of a block.
 GRID_DIMS, CELL_RADII, BLOCK = 6, 4.0, 4096
+#: Rows that leave a task together.
+ROWS = 8192
 
 
 def points(df: DataFrame, name: str, coordinates: list[str]) -> DataFrame:
@@ -57,9 +59,27 @@ def _mixed(codes: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _sub_cells(x: np.ndarray, radius: float) -> np.ndarray:
+    """The sub-cell of each vector; the diagonal of one is less than the radius."""
+    return _mixed(np.floor(x / (radius * (1 - 1e-9) / np.sqrt(x.shape[1]))))
+
+
+def _packed(x: np.ndarray) -> pa.Array:
+    """Vectors as bytes, which cross between the JVM and Python without a step per coordinate."""
+    ends = np.arange(len(x) + 1, dtype=np.int32) * np.int32(8 * x.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(x, np.float64))])
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    if not len(column):
+        return np.zeros((0, 1))
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.float64).reshape(len(column), -1)
+
+
 def grid_copies(pts: DataFrame, radius: float, block: int = BLOCK) -> DataFrame:
     """Each point in its home cell and in every other home cell within ``radius`` of it: (cell, home,
-    point, hash, sub, x), ``sub`` being the point's sub-cell. Where a cell has more than ``block``
+    id, hash, sub, x), ``sub`` being the point's sub-cell. Where a cell has more than ``block``
     points, also ``chunks``, the number of chunks that each cell is split into."""
     spread = pts.select(F.posexplode("x").alias("k", "v")).groupBy("k").agg(F.var_samp("v").alias("var"))
     dims = [r.k for r in spread.orderBy(F.col("var").desc_nulls_last(), "k").limit(GRID_DIMS).collect()]
@@ -80,8 +100,7 @@ def grid_copies(pts: DataFrame, radius: float, block: int = BLOCK) -> DataFrame:
             if not n:
                 continue
             full = batch.column("x").flatten().to_numpy().reshape(n, -1)
-            # The diagonal of a sub-cell is less than the radius.
-            sub = _mixed(np.floor(full / (radius * (1 - 1e-9) / np.sqrt(full.shape[1]))))
+            sub = _sub_cells(full, radius)
             x = full[:, dims]
             base = np.floor(x / width)
             low = x - base * width
@@ -98,14 +117,14 @@ def grid_copies(pts: DataFrame, radius: float, block: int = BLOCK) -> DataFrame:
             code = _mixed(cell)
             at = np.flatnonzero(lived.value.has(code.view(np.uint64)))
             row, home, code = row[at], home[at], code[at]
-            taken = batch.take(pa.array(row))
+            taken = batch.select(["id", "hash"]).take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(code), pa.array(home), taken.column("point"), taken.column("hash"), pa.array(sub[row]), taken.column("x")],
-                names=["cell", "home", "point", "hash", "sub", "x"],
+                [pa.array(code), pa.array(home), *taken.columns, pa.array(sub[row]), _packed(full[row])],
+                names=["cell", "home", "id", "hash", "sub", "x"],
             )
 
-    kind = "cell long, home boolean, point string, hash long, sub long, x array<double>"
-    copies = cut(pts.select("point", "hash", "x").mapInArrow(run, kind), "copies")
+    kind = "cell long, home boolean, id long, hash long, sub long, x binary"
+    copies = cut(pts.select("id", "hash", "x").mapInArrow(run, kind), "copies")
     sizes = copies.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
     if not sizes.limit(1).count():
         return copies
@@ -156,8 +175,7 @@ def _runs(table: pa.Table, names: list[str]) -> Iterator[tuple[dict, dict]]:
     starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
     ends = np.r_[starts[1:], len(cells)]
     columns = {n: table.column(n).to_numpy(zero_copy_only=False) for n in names}
-    flat = table.column("x").combine_chunks()
-    x = flat.flatten().to_numpy().reshape(len(cells), -1)
+    x = _unpacked(table.column("x").combine_chunks())
     for a, b in zip(starts, ends):
         ask, given = columns["asks"][a:b], columns["given"][a:b]
         if ask.any() and given.any():
@@ -167,6 +185,9 @@ def _runs(table: pa.Table, names: list[str]) -> Iterator[tuple[dict, dict]]:
 
 def _near(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
     """Squared distances of rows of ``x`` to all of ``y``, some rows at a time."""
+    if len(x) * len(y) <= 1024:
+        yield slice(0, len(x)), ((x[:, None, :] - y[None, :, :]) ** 2).sum(2)
+        return
     step = max(1, 2_000_000 // max(1, len(y)))
     for a in range(0, len(x), step):
         part = x[a : a + step]
@@ -181,56 +202,70 @@ def _scan(blocks: DataFrame, kind: str, work) -> DataFrame:
     None."""
     out, names = [p.split()[0] for p in kind.split(",")], [c for c in blocks.columns if c not in ("block", "x")]
 
+    def batch(parts: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=out)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, rows = [], 0
         for a, b in _blocks(batches, names):
             found = work(a, b)
             if found is not None and len(found[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(c, from_pandas=True) for c in found], names=out)
+                parts.append(found)
+                rows += len(found[0])
+            # Most blocks are small: some thousand rows leave together.
+            if rows >= ROWS:
+                yield batch(parts)
+                parts, rows = [], 0
+        if parts:
+            yield batch(parts)
 
     return blocks.repartition("block").sortWithinPartitions("block").mapInArrow(run, kind)
 
 
 def _least_hash(active: DataFrame, radius: float, block: int) -> DataFrame:
-    """(point) of the active points that have the least hash among their active neighbours."""
+    """(id) of the active points that have the least hash among their active neighbours."""
 
     def work(a: dict, b: dict):
+        if len(a["id"]) == len(b["id"]) == 1:
+            return a["id"], np.zeros(1, bool)
         # Points of one sub-cell are neighbours: the least of them alone can be a pivot.
-        order = np.lexsort((a["hash"], a["sub"]))
-        first = order[np.r_[True, a["sub"][order][1:] != a["sub"][order][:-1]]]
+        sub = _sub_cells(a["x"], radius)
+        order = np.lexsort((a["hash"], sub))
+        first = order[np.r_[True, sub[order][1:] != sub[order][:-1]]]
         lower = np.zeros(len(first), bool)
         for rows, d in _near(a["x"][first], b["x"]):
             lower[rows] = ((d <= radius**2) & (b["hash"][None, :] < a["hash"][first[rows]][:, None])).any(1)
-        return a["point"][first], lower
+        return a["id"][first], lower
 
-    columns, kind, home = ["point", "hash", "sub"], "point string, lower boolean", F.col("home")
+    columns, kind, home = ["id", "hash"], "id long, lower boolean", F.col("home")
     if not block:
         # A point asks in its home cell only.
-        return _scan(_whole(active, home, F.lit(True), columns), kind, work).where("NOT lower").select("point")
+        return _scan(_whole(active, home, F.lit(True), columns), kind, work).where("NOT lower").select("id")
     few = active.where(home).groupBy("cell", "sub").agg(F.min("hash").alias("hash"))
     few = active.where(home).join(few, ["cell", "sub", "hash"], "left_semi").select(*active.columns)
     # In a crowded cell it meets every chunk.
     found = _scan(_dealt(few, active, columns, block), kind, work)
-    return found.groupBy("point").agg(F.max("lower").alias("lower")).where("NOT lower").select("point")
+    return found.groupBy("id").agg(F.max("lower").alias("lower")).where("NOT lower").select("id")
 
 
 def _closest_pivot(copies: DataFrame, pivots: DataFrame, radius: float, block: int) -> DataFrame:
-    """(point, pivot) of the points within ``radius`` of a pivot, the closest one."""
+    """(id, pivot) of the points within ``radius`` of a pivot, the closest one."""
 
     def work(a: dict, b: dict):
-        at, best = np.empty(len(b["point"]), np.int64), np.empty(len(b["point"]))
+        at, best = np.empty(len(b["id"]), np.int64), np.empty(len(b["id"]))
         for rows, d in _near(b["x"], a["x"]):
             at[rows], best[rows] = d.argmin(1), d.min(1)
         ok = best <= radius**2
-        return b["point"][ok], a["point"][at[ok]], best[ok]
+        return b["id"][ok], a["id"][at[ok]], best[ok]
 
-    kind, home = "point string, pivot string, d double", F.col("home")
+    kind, home = "id long, pivot long, d double", F.col("home")
     # The points are the given side, which is dealt to chunks; the pivots, far apart, ask them.
     if not block:
-        rows = copies.join(pivots.withColumn("pivot", F.lit(True)), "point", "left").where("home OR pivot")
-        return _scan(_whole(rows, F.coalesce("pivot", F.lit(False)), home, ["point"]), kind, work).select("point", "pivot")
-    asks = copies.join(pivots, "point", "left_semi").select(*copies.columns)
-    found = _scan(_dealt(asks, copies.where(home), ["point"], block), kind, work)
-    return found.groupBy("point").agg(F.min(F.struct("d", "pivot")).getField("pivot").alias("pivot"))
+        rows = copies.join(pivots.withColumn("pivot", F.lit(True)), "id", "left").where("home OR pivot")
+        return _scan(_whole(rows, F.coalesce("pivot", F.lit(False)), home, ["id"]), kind, work).select("id", "pivot")
+    asks = copies.join(pivots, "id", "left_semi").select(*copies.columns)
+    found = _scan(_dealt(asks, copies.where(home), ["id"], block), kind, work)
+    return found.groupBy("id").agg(F.min(F.struct("d", "pivot")).getField("pivot").alias("pivot"))
 
 
 def _cross_links(copies: DataFrame, radius: float, block: int) -> DataFrame:
@@ -239,7 +274,7 @@ def _cross_links(copies: DataFrame, radius: float, block: int) -> DataFrame:
     def work(a: dict, b: dict):
         if len(a["cluster"]) == len(b["cluster"]) == 1:
             return None
-        names, code = np.unique(np.r_[a["cluster"], b["cluster"]].astype(str), return_inverse=True)
+        names, code = np.unique(np.r_[a["cluster"], b["cluster"]], return_inverse=True)
         if len(names) < 2:
             return None
         mine, other, links = code[: len(a["cluster"])], code[len(a["cluster"]) :], set()
@@ -251,7 +286,7 @@ def _cross_links(copies: DataFrame, radius: float, block: int) -> DataFrame:
         found = np.array(sorted(links))
         return names[found // len(names)], names[found % len(names)]
 
-    kind = "a string, b string"
+    kind = "a long, b long"
     if not block:
         return _scan(_whole(copies, F.col("home"), F.lit(True), ["cluster"]), kind, work)
     mixed = copies.groupBy("cell").agg(F.min("cluster").alias("a"), F.max("cluster").alias("b")).where("a <> b").select("cell")
@@ -267,19 +302,20 @@ def _crowded(copies: DataFrame, block: int) -> int:
 def pivot_clusters(pts: DataFrame, radius: float, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(members, copies): each point with its ``cluster``, the closest pivot within ``radius``,
     and the grid copies that found it."""
-    pts = cut(pts, "points")
+    # A number stands for a point from here on; written, it stays the same.
+    pts = cut(pts.withColumn("id", F.monotonically_increasing_id()), "points")
     copies = grid_copies(pts, radius, block)
     pivots, active, dealt, rounds = None, copies, _crowded(copies, block), 0
     while active.where("home").limit(1).count():
         new = cut(_least_hash(active, radius, dealt), "pivots")
         pivots = new if pivots is None else pivots.unionByName(new)
         taken = cut(_closest_pivot(active, new, radius, dealt), "taken")
-        rounds, active = rounds + 1, cut(active.join(taken.select("point"), "point", "left_anti").select(*active.columns), "active")
+        rounds, active = rounds + 1, cut(active.join(taken.select("id"), "id", "left_anti").select(*active.columns), "active")
     if pivots is None:
-        return cut(pts.withColumn("cluster", F.col("point")), "members"), copies
+        return cut(pts.withColumn("cluster", F.col("id")), "members"), copies
     # After a single round the points are with their closest pivots already.
     near = taken if rounds == 1 else _closest_pivot(copies, pivots, radius, dealt)
-    members = pts.join(near.withColumnRenamed("pivot", "cluster"), "point")
+    members = pts.join(near.withColumnRenamed("pivot", "cluster"), "id")
     return cut(members, "members"), copies
 
 
@@ -319,19 +355,19 @@ def linked_clusters(pts: DataFrame, radius: float, block: int = BLOCK) -> DataFr
     """
     members, copies = pivot_clusters(pts, radius, block)
     both = lambda links: links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels, dealt = members.select("point", "cluster"), _crowded(copies, block)
+    labels, dealt = members.select("id", "cluster"), _crowded(copies, block)
     if dealt:
-        home = copies.where("home").select("point", "sub").join(labels, "point")
+        home = copies.where("home").select("id", "sub").join(labels, "id")
         shared = home.groupBy("sub").agg(F.min("cluster").alias("least"), F.max("cluster").alias("most")).where("least <> most").select("sub", "least")
         shared = home.join(shared, "sub").where("cluster <> least").select(F.col("cluster").alias("a"), F.col("least").alias("b"))
         labels = _renamed(labels, contract_links(both(shared)))
-    links = _cross_links(copies.join(labels, "point"), radius, dealt)
+    links = _cross_links(copies.join(labels, "id"), radius, dealt)
     whole = _renamed(labels, contract_links(both(cut(links, "links"))))
-    return members.join(whole.withColumnRenamed("cluster", "component"), "point")
+    return members.join(whole.withColumnRenamed("cluster", "component"), "id")
 
 
 def _renamed(labels: DataFrame, mapping: DataFrame) -> DataFrame:
-    return labels.join(mapping, "cluster", "left").select("point", F.coalesce("component", "cluster").alias("cluster"))
+    return labels.join(mapping, "cluster", "left").select("id", F.coalesce("component", "cluster").alias("cluster"))
 
 
 def describe_clusters(members: DataFrame, label: str = "cluster", typical: int = 3) -> DataFrame:

@@ -104,7 +104,7 @@ def test_linked_clusters_are_chains(spark, monkeypatch, seed, block, most):
 def test_pivot_clusters(spark):
     rows = cloud(5)
     members, _ = clusters.pivot_clusters(as_points(spark, rows, 5), 1.0, 9)
-    by = {r.point: r for r in members.collect()}
+    by = {r.id: r for r in members.collect()}
     pivots = {r.cluster for r in by.values()}
     x = {p: np.array(r.x) for p, r in by.items()}
     for p in pivots:
