@@ -96,8 +96,8 @@ def dataset_audit(name: str, cells: DataFrame, layers: dict[str, DataFrame], cal
     labels = recommend_labels(cells)
     source = count_source(layers).select(F.col("source").alias("raw_source"))
     both = None if calls is None else calls.select("cell_barcode").distinct().join(cells.select("cell_barcode").distinct(), "cell_barcode", "left_semi")
-    size = cells.agg(F.count(F.lit(1)).alias("n_cells"))
-    out = size.join(labels).join(source).withColumn("n_overlap", F.lit(None).cast("bigint") if both is None else both.agg(F.count(F.lit(1))).scalar())
+    one = {"n_cells": cells.agg(F.count(F.lit(1))).scalar(), "raw_source": source.agg(F.max("raw_source")).scalar()}
+    out = labels.withColumns(one).withColumn("n_overlap", F.lit(None).cast("bigint") if both is None else both.agg(F.count(F.lit(1))).scalar())
     ready = F.col("ready") & (F.col("raw_source") != "none")
     return out.select(F.lit(name).alias("dataset"), "n_cells", "pert_col", "control_label", "control_count", "raw_source", "n_overlap", ready.alias("ready"))
 

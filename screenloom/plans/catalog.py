@@ -418,9 +418,9 @@ def fisher_of_deciles(rows: DataFrame) -> DataFrame:
     return t.select("dataset", fisher_greater("a", "b", "c", "e").alias("p_value"))
 
 
-@query()
+@query(ORACLES["a17_fisher"])
 def a17_fisher_all(spark, d):
-    return fisher_of_deciles(load(spark, d, "hct_mixscape_ko_by_umi_decile"))
+    return a17_fisher(spark, d)
 
 
 _DE_SQL = f"""{CELLS_SQL}, {COUNTS_SQL},
@@ -557,7 +557,14 @@ def w13_gene_budget(spark, d):
     return ex.budgeted_genes(ranked, total // 2)
 
 
-@query()
+@query(f"""WITH RECURSIVE {COUNTS_SQL}, g AS (SELECT gene, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, gene) AS position FROM counts GROUP BY 1),
+b AS (SELECT sum(n) // 2 AS budget, greatest(1, sum(n) // 2 // 2000) AS cap FROM g), caps AS (SELECT cap * unnest([1, 2, 4, 8, 16, 32, 64, 128]) AS c FROM b),
+top AS (SELECT coalesce((SELECT min(c) FROM caps WHERE (SELECT count(*) FROM g WHERE n <= c) >= 666), (SELECT max(c) FROM caps)) AS top),
+o AS (SELECT gene, n, position, row_number() OVER (ORDER BY n > top, position) AS i FROM g, top),
+w(i, total, picked) AS (SELECT 0::BIGINT, 0::HUGEINT, []::VARCHAR[] UNION ALL
+  SELECT w.i + 1, CASE WHEN fits THEN total + n ELSE total END, CASE WHEN fits THEN list_append(picked, gene) ELSE picked END
+  FROM (SELECT w.*, o.gene, o.n, total + o.n <= budget AND len(picked) < 2000 AS fits FROM w JOIN o ON o.i = w.i + 1, b) w)
+SELECT gene, position, n AS n_nonzero FROM g WHERE gene IN (SELECT unnest(picked) FROM w WHERE i = (SELECT max(i) FROM w))""")
 def w13_greedy_genes(spark, d):
     ranked, total = _ranked_genes(spark, d)
     return ex.greedy_genes(ranked, total // 2, 2000)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from screenloom.plans import catalog, dealt
+from screenloom.plans import catalog, dealt, screens  # noqa: F401 - screens adds its queries to those of catalog
 
 FLAGSHIP = "c11_global_de"
 QUERIES = {**dealt.QUERIES, **catalog.QUERIES}
