@@ -47,6 +47,17 @@ def p1_label_profile(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p1_control_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each data set under its own control label, as ``samples`` names it, however either
+    is spelled; none is zero. Labels that hold most of a data set are combined map-side first."""
+    named = load(spark, d, "samples").select("dataset", label_key("control_label").alias("control_key"))
+    named = named.where("dataset IS NOT NULL AND control_key <> ''").distinct()
+    rows = load(spark, d, "cell_mixscape_labels").select("dataset", label_key("gene_target").alias("control_key"), "is_predicted_perturbed")
+    counts = skewed_aggregate(rows, ["dataset", "control_key"], {"n_rows": F.count(F.lit(1)), "n_ko": F.sum("is_predicted_perturbed").cast("bigint")})
+    found = named.join(counts, ["dataset", "control_key"], "left")
+    return found.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("n_rows", "n_ko")})
+
+
 def _references(spark: SparkSession, d: str) -> DataFrame:
     columns = ["dataset", "cell_barcode", "loaded_at"]
     guides = load(spark, d, "guide_calls_csv").select(*columns, F.lit("guide_calls_csv").alias("source_table"))
@@ -81,7 +92,7 @@ def p5_places(spark: SparkSession, d: str) -> DataFrame:
     return places.select("call_id", "position", "n_places", F.when(~mark, F.trim("value")).alias("value"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_label_profile, p4_found, p4_snapshots, p5_found, p5_places)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_label_profile, p1_control_cells, p4_found, p4_snapshots, p5_found, p5_places)}
 
 _KEY = r"lower(trim(gene_target, ' ' || chr(9)))"
 _REFS = """
@@ -112,6 +123,10 @@ SELECT CASE WHEN {_KEY} IN ('', 'na', 'n/a', 'nan', 'null', 'none', '-') THEN NU
   round(avg(CASE WHEN NOT isnan(mixscape_class_p_ko) THEN mixscape_class_p_ko END), 6) AS mean_p_ko,
   max(loaded_at) AS last_loaded_at
 FROM cell_mixscape_labels GROUP BY 1""",
+    "p1_control_cells": f"""
+WITH n AS (SELECT DISTINCT dataset, lower(trim(control_label, ' ' || chr(9))) AS control_key FROM samples WHERE dataset IS NOT NULL AND trim(control_label, ' ' || chr(9)) <> ''),
+k AS (SELECT dataset, {_KEY} AS control_key, count(*) AS n_rows, coalesce(sum(is_predicted_perturbed), 0)::BIGINT AS n_ko FROM cell_mixscape_labels GROUP BY ALL)
+SELECT dataset, control_key, coalesce(n_rows, 0) AS n_rows, coalesce(n_ko, 0) AS n_ko FROM n LEFT JOIN k USING (dataset, control_key)""",
     "p4_found": f"""
 WITH {_REFS}
 SELECT DISTINCT source_table, dataset, cell_barcode, strftime(loaded_at, '%Y-%m') AS period FROM refs r
