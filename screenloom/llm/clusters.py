@@ -81,8 +81,9 @@ def grid_copies(pts: DataFrame, radius: float, block: int = BLOCK) -> DataFrame:
     """Each point in its home cell and in every other home cell within ``radius`` of it: (cell, home,
     id, hash, sub, x), ``sub`` being the point's sub-cell. Where a cell has more than ``block``
     points, also ``chunks``, the number of chunks that each cell is split into."""
-    spread = pts.select(F.posexplode("x").alias("k", "v")).groupBy("k").agg(F.var_samp("v").alias("var"))
-    dims = [r.k for r in spread.orderBy(F.col("var").desc_nulls_last(), "k").limit(GRID_DIMS).collect()]
+    size = pts.agg(F.max(F.size("x"))).first()[0] or 0
+    spread = pts.agg(F.array(*[F.var_samp(F.get("x", F.lit(k))) for k in range(size)]).alias("s")).first().s
+    dims = sorted(range(size), key=lambda k: (-(spread[k] or 0.0), k))[:GRID_DIMS]
     width, reach = CELL_RADII * radius, radius * (1 + 1e-9)
 
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

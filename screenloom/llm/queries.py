@@ -11,7 +11,7 @@ from screenloom.llm.packing import fill_containers, fill_report, token_counts
 from screenloom.llm.percentiles import digit_histogram, merge_histograms, percentiles_of_histogram, radix_percentiles
 from screenloom.llm.subjects import composition, main_subjects, subject_words
 from screenloom.llm.topn import top_n
-from screenloom.session import load
+from screenloom.session import cut, load
 
 
 COORDINATES = [f"delta_pc{k}" for k in range(1, 13)]
@@ -31,16 +31,20 @@ def p2_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return found.withColumn("max_error", F.lit(0.0))
 
 
+def _bounded(found: DataFrame) -> DataFrame:
+    return found.withColumns({c: F.round(c, 6) for c in ("value", "low", "high")})
+
+
 def p2_combined_days(spark: SparkSession, d: str) -> DataFrame:
     """Percentiles of all days from the states of single days, with the bounds of their error."""
     daily = digit_histogram(_umi_results(spark, d), ["dataset", "umi_decile", "run_date"], "median_guide_umi")
     whole = merge_histograms(daily, ["dataset", "umi_decile"])
-    return percentiles_of_histogram(whole, ["dataset", "umi_decile"], PERCENTS)
+    return _bounded(percentiles_of_histogram(whole, ["dataset", "umi_decile"], PERCENTS))
 
 
 def p2_daily_percentiles(spark: SparkSession, d: str) -> DataFrame:
     daily = digit_histogram(_umi_results(spark, d), ["dataset", "run_date"], "median_guide_umi")
-    return percentiles_of_histogram(daily, ["dataset", "run_date"], PERCENTS)
+    return _bounded(percentiles_of_histogram(daily, ["dataset", "run_date"], PERCENTS))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -83,6 +87,25 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return reports[0].unionByName(reports[1])
 
 
+def p7_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of both packings, per capacity: every document is placed, no container is
+    over its capacity, no document is cut that fits, its pieces hold each of its tokens once, no
+    place is given twice, and at most 2 % of the room is left (or what one container leaves)."""
+    sizes = cut(token_counts(load(spark, d, "documents").select("doc_id", "text"), "text"), "sizes")
+    out = []
+    for capacity in (2048, 8192):
+        placed = cut(fill_containers(sizes, "doc_id", "n_tokens", capacity), "placed")
+        docs = placed.groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.max(F.col("start") + F.col("n_tokens")).alias("end"), F.count(F.lit(1)).alias("pieces"))
+        docs = docs.join(sizes.withColumnRenamed("n_tokens", "size"), "doc_id")
+        whole = (F.col("n") == F.col("size")) & (F.col("end") == F.col("size")) & (F.col("pieces") == F.greatest(F.lit(1), F.ceil(F.col("size") / capacity)))
+        boxes = placed.where("container IS NOT NULL").groupBy("container").agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("k"), F.count_distinct("slot").alias("slots"))
+        a = docs.agg(F.count(F.lit(1)).alias("n_documents"), F.sum((~whole).cast("bigint")).alias("n_broken"))
+        over, twice = F.sum((F.col("n") > capacity).cast("bigint")), F.sum((F.col("k") != F.col("slots")).cast("bigint"))
+        b = boxes.agg(F.struct(F.coalesce(over, F.lit(0)).alias("o"), F.coalesce(twice, F.lit(0)).alias("t"), (F.coalesce(F.sum("n"), F.lit(0)) >= 0.98 * capacity * (F.count(F.lit(1)) - 1)).alias("f"))).scalar()
+        out.append(a.withColumn("b", b).select(F.lit(capacity).alias("capacity"), "n_documents", "n_broken", F.col("b.o").alias("n_over"), F.col("b.t").alias("n_twice"), F.col("b.f").alias("well_filled")))
+    return out[0].unionByName(out[1])
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaked_passages(load(spark, d, "documents"), load(spark, d, "eval_items"))
 
@@ -103,8 +126,17 @@ def p9_composition(spark: SparkSession, d: str) -> DataFrame:
     return composition(_subjects(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_percentiles, p2_combined_days, p2_daily_percentiles, p3_found, p3_clusters, p6_found, p6_top_genes, p7_pack_2048, p7_pack_8192, p7_fill, p8_found, p8_reworded, p9_found, p9_composition)}
+QUERIES = {f.__name__: f for f in (p2_percentiles, p2_combined_days, p2_daily_percentiles, p3_found, p3_clusters, p6_found, p6_top_genes, p7_pack_2048, p7_pack_8192, p7_fill, p7_checks, p8_found, p8_reworded, p9_found, p9_composition)}
 
+_BITS = """
+WITH v AS (SELECT {groups}, median_guide_umi AS x FROM (SELECT DISTINCT * FROM hct_mixscape_ko_by_umi_decile)
+  WHERE median_guide_umi >= 0 AND NOT isnan(median_guide_umi)),
+r AS (SELECT *, row_number() OVER (PARTITION BY {groups} ORDER BY x) AS k, count(*) OVER (PARTITION BY {groups}) AS n FROM v),
+q AS (SELECT unnest([1, 5, 25, 50, 75, 95, 99])::INTEGER AS percentile),
+h AS (SELECT {groups}, percentile, n, x, CASE WHEN x > 0 THEN pow(2.0::DOUBLE, floor(log2(x)) - 9) END AS step FROM r JOIN q ON k = greatest(1, (n * percentile + 99) // 100)),
+b AS (SELECT *, CASE WHEN x > 0 THEN floor(x / step) * step ELSE 0.0 END AS low, CASE WHEN x > 0 THEN floor(x / step) * step + step - step * pow(2.0::DOUBLE, -43) ELSE 0.0 END AS high FROM h)
+SELECT {groups}, percentile, n AS n_values, round((low + high) / 2, 6) AS value, round(low, 6) AS low, round(high, 6) AS high FROM b
+"""
 _TOP = """
 WITH v AS (SELECT DISTINCT perturbation, gene, score + 0.0 AS score FROM perturbation_differential_genes
   WHERE perturbation IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)),
@@ -124,6 +156,10 @@ r AS (SELECT *, row_number() OVER (PARTITION BY dataset, umi_decile ORDER BY x)
 q AS (SELECT unnest([1, 5, 25, 50, 75, 95, 99])::INTEGER AS percentile)
 SELECT dataset, umi_decile, percentile, n AS n_values, x + 0.0 AS value, 0.0::DOUBLE AS max_error
 FROM r JOIN q ON k = greatest(1, (n * percentile + 99) // 100)""",
+    "p2_combined_days": _BITS.format(groups="dataset, umi_decile"),
+    "p2_daily_percentiles": _BITS.format(groups="dataset, run_date"),
+    "p7_checks": """SELECT c AS capacity, n AS n_documents, 0::BIGINT AS n_broken, 0::BIGINT AS n_over, 0::BIGINT AS n_twice, true AS well_filled
+FROM (SELECT unnest([2048, 8192])::INTEGER AS c), (SELECT count(*) AS n FROM documents)""",
     "p3_found": f"""
 WITH RECURSIVE p AS (SELECT DISTINCT perturbation AS n, {", ".join(_DIMS)} FROM perturbation_clusters
   WHERE perturbation IS NOT NULL AND {" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in _DIMS)}),
