@@ -20,8 +20,8 @@ from screenloom.operators import expression as ex
 from screenloom.operators import relational as rel
 from screenloom.plans import composites as co
 from screenloom.plans import sqlparts as sq
-from screenloom.plans.views import CELLS_SQL, CONTROL, CONTROL_MANY, COUNTS_SQL, FINE_SQL, GUIDE_SQL, MANY_SQL, SETS_SQL
-from screenloom.plans.views import cells, cells_many, counts, gene_sets, guide_cells
+from screenloom.plans.views import CELLS_SQL, CONTROL, CONTROL_MANY, CONTROL_SIZE, COUNTS_SQL, FINE_SQL, GUIDE_SQL, MANY_SQL, SETS_SQL, SIZE_SQL
+from screenloom.plans.views import cells, cells_by_size, cells_many, counts, gene_sets, guide_cells
 from screenloom.session import cut, load, scratch_path
 from screenloom.sources import sinks, tables
 
@@ -42,13 +42,13 @@ def query(sql: str | None = None):
 # Sources and sinks: tables written and read in the formats of screens.
 
 
-@query("SELECT cell_barcode, gene_target, count(*) AS n FROM chunk_cells WHERE cell_barcode IS NOT NULL AND gene_target IS NOT NULL GROUP BY ALL")
+@query("SELECT cell_barcode, gene_target, num_umis, count(*) AS n FROM guide_calls_csv WHERE cell_barcode IS NOT NULL AND gene_target IS NOT NULL AND num_umis <> '' GROUP BY ALL")
 def s05_guide_scan(spark, d):
     path = scratch_path(spark, "guides")
     quoted = {"header": True, "escape": '"', "compression": "gzip", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    load(spark, d, "chunk_cells").select("cell_barcode", "gene_target", "is_control").dropna(subset=["cell_barcode", "gene_target"]).write.options(**quoted).csv(path)
-    rows = tables.read_table(spark, path, "cell_barcode string, gene_target string", sep=",")
-    return rows.groupBy("cell_barcode", "gene_target").agg(F.count(F.lit(1)).alias("n"))
+    load(spark, d, "guide_calls_csv").select("cell_barcode", "gene_target", "num_umis", "call_id").dropna().where("num_umis <> ''").write.options(**quoted).csv(path)
+    rows = tables.read_table(spark, path, "cell_barcode string, gene_target string, num_umis string", sep=",")
+    return rows.groupBy("cell_barcode", "gene_target", "num_umis").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT perturbation, gene, score, count(*) AS n FROM perturbation_differential_genes WHERE perturbation IS NOT NULL AND score IS NOT NULL AND NOT isnan(score) GROUP BY ALL")
@@ -60,13 +60,13 @@ def s06_tsv_round_trip(spark, d):
     return back.groupBy("perturbation", "gene", "score").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {MANY_SQL} SELECT cell_barcode, perturbation FROM cells WHERE perturbation IN ('NATION_1', 'NATION_2')")
+@query(f"WITH {MANY_SQL} SELECT cell_barcode, perturbation FROM cells")
 def s07_union_of_chunks(spark, d):
+    """A folder a label, written in one job, and one that is missing."""
     base = scratch_path(spark, "chunks")
-    rows = cells_many(spark, d)
-    for n in (1, 2):
-        sinks.write_tsv(rows.where(F.col("perturbation") == f"NATION_{n}"), f"{base}/{n}")
-    return tables.read_many(spark, [f"{base}/{n}" for n in (1, 2, 3)], "cell_barcode string, perturbation string")
+    rows = cells_many(spark, d).withColumn("chunk", F.xxhash64("perturbation"))
+    rows.write.partitionBy("chunk").options(header=True, sep="\t").csv(base)
+    return tables.read_many(spark, [f"{base}/{n}" for n in [*tables.chunk_ids(spark, base, "*.csv"), "none"]], "cell_barcode string, perturbation string")
 
 
 @query(f"WITH {MANY_SQL} SELECT cell_barcode, perturbation FROM cells")
@@ -118,13 +118,15 @@ def s08_finished_chunks(spark, d):
     return tables.read_finished_chunks(spark, root, "*.csv", "c_custkey bigint, c_acctbal double")
 
 
-@query("SELECT DISTINCT trim(perturbation) AS perturbation FROM perturbation_clusters WHERE trim(perturbation) <> '' AND trim(perturbation) NOT LIKE '#%'")
+@query("""SELECT (row_number() OVER (ORDER BY perturbation DESC) - 1)::INTEGER AS ord, perturbation
+FROM (SELECT DISTINCT trim(perturbation) AS perturbation FROM perturbation_clusters WHERE trim(perturbation) <> '' AND trim(perturbation) NOT LIKE '#%')""")
 def s10_target_list(spark, d):
+    """The list is written in falling order, with a comment and a blank line after each symbol."""
     path = scratch_path(spark, "targets")
-    names = load(spark, d, "perturbation_clusters").select("perturbation")
-    lines = names.unionByName(names.select(F.concat(F.lit("# "), "perturbation").alias("perturbation"))).unionByName(names.select(F.lit(" ").alias("perturbation")))
+    names = load(spark, d, "perturbation_clusters").select(F.trim("perturbation").alias("perturbation")).where("perturbation <> '' AND NOT startswith(perturbation, '#')")
+    lines = names.orderBy(F.col("perturbation").desc()).select(F.explode(F.array("perturbation", F.concat(F.lit("# "), "perturbation"), F.lit(" "))).alias("perturbation"))
     sinks.write_list(lines, "perturbation", path)
-    return tables.read_target_list(spark, path).select("perturbation")
+    return tables.read_target_list(spark, path)
 
 
 @query("SELECT c_custkey, c_nationkey, n_name AS label FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON c_nationkey = n_nationkey")
@@ -732,29 +734,29 @@ def n13_signature(spark, d):
 
 def _scored(spark, d, **bounds):
     # Each is read several times below.
-    rows, values = cut(cells(spark, d), "cells"), cut(co.prepared(counts(spark, d, True), 10_000), "values")
-    de = de_ops.differential_expression(values, rows, CONTROL)
+    rows, values = cut(cells_by_size(spark, d), "cells"), cut(co.prepared(counts(spark, d), 10_000), "values")
+    de = de_ops.differential_expression(values, rows, CONTROL_SIZE)
     chosen = cut(models.effect_genes(de, co.Defaults.lfc, co.Defaults.p, **bounds), "chosen")
-    return rows, models.projections(values, rows, chosen, CONTROL), models.control_moments(values, rows, chosen, CONTROL)
+    return rows, models.projections(values, rows, chosen, CONTROL_SIZE), models.control_moments(values, rows, chosen, CONTROL_SIZE)
 
 
 @query()
 def n14_mixscape(spark, d):
     rows, scores, moments = _scored(spark, d)
-    return models.classify(scores, moments, CONTROL, rows).withColumn("p_ko", F.round("p_ko", 6))
+    return models.classify(scores, moments, CONTROL_SIZE, rows).withColumn("p_ko", F.round("p_ko", 6))
 
 
-_SCORED = f"""{CELLS_SQL}, {FINE_SQL}, kept AS (SELECT * FROM cells), vals AS (SELECT cell_barcode, gene, ln(1 + value * 10000.0 / sum(value) OVER (PARTITION BY cell_barcode)) AS value FROM counts),
-{sq.differential_expression("vals", "kept", CONTROL)},
+_SCORED = f"""{SIZE_SQL}, {COUNTS_SQL}, kept AS (SELECT * FROM cells), vals AS (SELECT cell_barcode, gene, ln(1 + value * 10000.0 / sum(value) OVER (PARTITION BY cell_barcode)) AS value FROM counts),
+{sq.differential_expression("vals", "kept", CONTROL_SIZE)},
 sig AS (SELECT perturbation, gene, logfoldchange AS w, row_number() OVER (PARTITION BY perturbation ORDER BY q, abs(score) DESC, gene) AS r, count(*) OVER (PARTITION BY perturbation) AS n FROM de WHERE abs(logfoldchange) >= 0.1 AND q <= 0.05),
-base AS (SELECT gene, sum(value) / (SELECT n0 FROM size0) AS c, sum(value * value) / (SELECT n0 FROM size0) - (sum(value) / (SELECT n0 FROM size0)) ** 2 AS var FROM vals JOIN cells USING (cell_barcode) WHERE perturbation = '{CONTROL}' GROUP BY 1)"""
+base AS (SELECT gene, sum(value) / (SELECT n0 FROM size0) AS c, sum(value * value) / (SELECT n0 FROM size0) - (sum(value) / (SELECT n0 FROM size0)) ** 2 AS var FROM vals JOIN cells USING (cell_barcode) WHERE perturbation = '{CONTROL_SIZE}' GROUP BY 1)"""
 
 
 def _projected(which: str) -> str:
     return f"""{_SCORED}, g AS (SELECT perturbation, gene, w, coalesce(c, 0) AS c, greatest(coalesce(var, 0), 0) AS var FROM sig LEFT JOIN base USING (gene) WHERE {which}),
 f AS (SELECT perturbation, sum(c * w) AS cw, sum(w * w) AS ww, sqrt(sum(w * w * var)) / sum(w * w) AS sd0 FROM g GROUP BY 1),
 x AS (SELECT cell_barcode, sum(value * w) AS xw FROM vals JOIN cells USING (cell_barcode) JOIN g USING (perturbation, gene) GROUP BY 1),
-s AS (SELECT cell_barcode, perturbation, (coalesce(xw, 0) - cw) / ww AS projection, sd0 FROM cells JOIN f USING (perturbation) LEFT JOIN x USING (cell_barcode) WHERE perturbation <> '{CONTROL}' AND ww > 0)"""
+s AS (SELECT cell_barcode, perturbation, (coalesce(xw, 0) - cw) / ww AS projection, sd0 FROM cells JOIN f USING (perturbation) LEFT JOIN x USING (cell_barcode) WHERE perturbation <> '{CONTROL_SIZE}' AND ww > 0)"""
 
 
 @query(f"WITH {_projected('n >= 5 AND r <= 100')} SELECT cell_barcode, perturbation, round(projection / sd0, 6) AS mixscale_score FROM s WHERE sd0 > 0")
@@ -819,13 +821,13 @@ def k03_chunk_files(spark, d):
 
 @query()
 def c03_run_mixscape(spark, d):
-    classes, _, _ = co.run_mixscape(counts(spark, d, True), cells(spark, d), CONTROL)
+    classes, _, _ = co.run_mixscape(counts(spark, d), cells_by_size(spark, d), CONTROL_SIZE)
     return classes.withColumn("p_ko", F.round("p_ko", 6))
 
 
 @query()
 def c03_effects(spark, d):
-    return co.run_mixscape(counts(spark, d, True), cells(spark, d), CONTROL)[1]
+    return co.run_mixscape(counts(spark, d), cells_by_size(spark, d), CONTROL_SIZE)[1]
 
 
 @query("""WITH v AS (SELECT CAST(label AS VARCHAR) AS perturbation, vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(1, len(embedding) + 1)) AS k FROM embeddings),

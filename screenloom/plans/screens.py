@@ -13,8 +13,8 @@ from screenloom.plans import catalog
 from screenloom.plans import composites as co
 from screenloom.plans import sqlparts as sq
 from screenloom.plans.catalog import _BULK, _MANIFEST, _ORA, _STREAMS, query
-from screenloom.plans.views import CELLS_SQL, CONTROL, CONTROL_MANY, COUNTS_SQL, FINE_SQL, GUIDE_SQL, MANY_SQL
-from screenloom.plans.views import cells, cells_many, counts, gene_sets, guide_cells
+from screenloom.plans.views import CONTROL_MANY, CONTROL_SIZE, COUNTS_SQL, FINE_SQL, GUIDE_SQL, MANY_SQL
+from screenloom.plans.views import cells, cells_by_size, cells_many, counts, gene_sets, guide_cells
 from screenloom.session import load, scratch_path
 from screenloom.sources import sinks, tables
 
@@ -241,14 +241,14 @@ def c06_postprocess_de(spark, d):
 @query(catalog.ORACLES["n15_mixscale"])
 def c07_run_mixscale(spark, d):
     """On plain values; the composite's default takes the differences from the nearest controls."""
-    found, _ = co.run_mixscale(counts(spark, d, True), cells(spark, d), CONTROL, co.Defaults(neighbours=0, n_pcs=2))
+    found, _ = co.run_mixscale(counts(spark, d), cells_by_size(spark, d), CONTROL_SIZE, co.Defaults(neighbours=0, n_pcs=2))
     return found.withColumn("mixscale_score", F.round("mixscale_score", 6))
 
 
 @query(catalog.ORACLES["n16_efficiency"])
 def c09_run_ps(spark, d):
     """On plain values, as ``c07_run_mixscale``."""
-    _, summary = co.run_ps(counts(spark, d, True), cells(spark, d), CONTROL, co.Defaults(neighbours=0, n_pcs=2))
+    _, summary = co.run_ps(counts(spark, d), cells_by_size(spark, d), CONTROL_SIZE, co.Defaults(neighbours=0, n_pcs=2))
     return summary.withColumns({c: F.round(c, 6) for c in ("mean_ps_score", "sd_ps_score")})
 
 

@@ -9,7 +9,7 @@ from screenloom.functions.columns import token_sum
 from screenloom.operators.relational import keep_first
 from screenloom.session import load
 
-CONTROL, CONTROL_MANY = "HOUSEHOLD", "NATION_0"
+CONTROL, CONTROL_MANY, CONTROL_SIZE = "HOUSEHOLD", "NATION_0", "T0"
 
 
 def cells(spark: SparkSession, d: str) -> DataFrame:
@@ -34,6 +34,12 @@ def counts(spark: SparkSession, d: str, fine: bool = False) -> DataFrame:
     return rows.groupBy("cell_barcode", "gene").agg(F.sum("l_quantity").alias("value"))
 
 
+def cells_by_size(spark: SparkSession, d: str) -> DataFrame:
+    """Cells with labels that show in their counts: the band of a cell's sum, T0 to T4."""
+    sums = counts(spark, d).groupBy("cell_barcode").agg(F.sum("value").alias("t"))
+    return sums.select("cell_barcode", F.concat(F.lit("T"), F.least(F.lit(4), F.floor(F.col("t") / 50)).cast("string")).alias("perturbation"))
+
+
 def gene_sets(spark: SparkSession, d: str) -> DataFrame:
     """Overlapping gene sets: the genes of each part size band."""
     p = load(spark, d, "part")
@@ -65,6 +71,10 @@ COUNTS_SQL = (
     "counts AS (SELECT CAST(l_orderkey AS VARCHAR) AS cell_barcode, p_brand AS gene, sum(l_quantity) AS value"
     " FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)"
 )
+SIZE_SQL = (
+    "cells AS (SELECT CAST(l_orderkey AS VARCHAR) AS cell_barcode, 'T' || CAST(least(4, floor(sum(l_quantity) / 50))::INTEGER AS VARCHAR) AS perturbation"
+    " FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)"
+)
 FINE_SQL = (
     "counts AS (SELECT CAST(l_orderkey AS VARCHAR) AS cell_barcode, p_brand || '|' || p_type AS gene, sum(l_quantity) AS value"
     " FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenloom.functions.columns import is_true
-from screenloom.operators.relational import keep_first
+from screenloom.operators.relational import chunk_labels, keep_first
 from screenloom.operators.sampling import sample_rows
 from screenloom.schema import empty
 
@@ -38,12 +38,35 @@ def read_table(spark: SparkSession, path: str | list[str], schema: str, sep: str
     return raw.select(*pick)
 
 
+def _header(spark: SparkSession, path: str) -> str:
+    """The first line of the first file under ``path`` that has any bytes."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(conf)
+    found = [f for top in system.globStatus(hadoop) for f in (system.listStatus(top.getPath()) if top.isDirectory() else [top])]
+    found = sorted((f.getPath().toString() for f in found if f.getLen() and f.getPath().getName()[0] not in "_."))
+    if not found:
+        return ""
+    file = jvm.org.apache.hadoop.fs.Path(found[0])
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
+    raw = system.open(file)
+    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(raw) if codec else raw))
+    try:
+        return lines.readLine() or ""
+    finally:
+        lines.close()
+
+
 def read_many(spark: SparkSession, paths: list[str], schema: str, sep: str = "\t") -> DataFrame:
-    """The union of tables, missing and zero-byte ones skipped; no table gives no rows."""
-    usable = [p for p in paths if path_exists(spark, p, non_empty=True)]
+    """The union of tables, missing and zero-byte ones skipped; no table gives no rows. Tables with
+    equal headers are one scan, so that the plan does not grow with their number."""
+    alike: dict[str, list[str]] = {}
+    for p in paths:
+        if path_exists(spark, p, non_empty=True):
+            alike.setdefault(_header(spark, p), []).append(p)
     out = empty(spark, schema)
-    for p in usable:
-        out = out.unionByName(read_table(spark, p, schema, sep))
+    for some in alike.values():
+        out = out.unionByName(read_table(spark, some, schema, sep))
     return out
 
 
@@ -79,10 +102,12 @@ def read_gene_sets(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def read_target_list(spark: SparkSession, path: str, out: str = "perturbation") -> DataFrame:
     """One symbol a line, blanks and ``#`` comments skipped, the first of equal symbols kept in
-    its order: (ord, symbol)."""
-    lines = spark.read.text(path).select(F.trim("value").alias(out), F.monotonically_increasing_id().alias("ord"))
+    its order: (ord, symbol), ``ord`` from 0 in the order of files and lines."""
+    at = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    lines = spark.read.text(path).select(F.trim("value").alias(out), at.alias("at"))
     rows = lines.where((F.col(out) != "") & ~F.col(out).startswith("#"))
-    return rows.groupBy(out).agg(F.min("ord").alias("ord")).select("ord", out)
+    first = rows.groupBy(out).agg(F.min("at").alias("at")).select(F.struct("at", out).alias("k"))
+    return chunk_labels(first, "k", 1).select(F.col("chunk_index").alias("ord"), F.col(f"k.{out}").alias(out))
 
 
 def label_scan(df: DataFrame, barcode: str, label: str) -> DataFrame:

@@ -160,8 +160,10 @@ def test_streams_follow_files(spark, sf):
     calls = spark.read.parquet(f"{sf}/guide_calls_csv.parquet")
     calls.repartition(3).write.parquet(f"{root}/in")
     stream = spark.readStream.schema(calls.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    stream_counts.label_counts(stream, "label_counts", f"{root}/checkpoint").awaitTermination()
-    assert spark.table("label_counts").agg(F.sum("n")).first()[0] == calls.count()
+    stream_counts.label_counts(stream, f"{root}/out").awaitTermination()
+    batches = sorted(int(p.name.split("=")[1]) for p in Path(f"{root}/out/counts".removeprefix("file://")).glob("batch=*"))
+    assert len(batches) == 2 and batches[-1] >= 2
+    assert spark.read.parquet(f"{root}/out/counts/batch={batches[-1]}").agg(F.sum("n")).first()[0] == calls.count()
 
 
 def test_orphans_follow_batches(spark):
@@ -250,3 +252,69 @@ def test_similarity_of_sparse_profiles(spark):
     for r in similarity.profile_distances(z, "perturbation", z, block=2).collect():
         a, b = int(r.group_a[1]), int(r.group_b[1])
         assert r.distance == pytest.approx(np.linalg.norm(want[a] - want[b]))
+
+
+def test_inputs_that_are_missing(spark):
+    root = "file://" + tempfile.mkdtemp(prefix="spark-")
+    cells = spark.createDataFrame([("a", "x"), ("b", "y")], CELLS)
+    with pytest.raises(ValueError, match="cell_barcode"):
+        tables.load_cells(cells, spark.createDataFrame([("z",)], "cell_barcode string"))
+    assert tables.load_cells(cells, max_cells=1).count() == 1 and tables.load_cells(cells).count() == 2
+    with pytest.raises(ValueError, match="lfc"):
+        tables.require_columns(cells, ["perturbation", "lfc"])
+    with pytest.raises(ValueError, match="cells.tsv"):
+        tables.chunk_ids(spark, root, "cells.tsv")
+    with pytest.raises(ValueError, match="pval"):
+        columns.p_column(["gene"])
+    assert columns.p_column(["pval", "pval_adj"]) == "pval_adj" and columns.p_column(["pval"]) == "pval"
+    assert streams.read_stream(spark, f"{root}/none.tsv", "s").count() == 0
+
+
+def test_tables_of_unequal_headers(spark):
+    root = "file://" + tempfile.mkdtemp(prefix="spark-")
+    for k, c in enumerate((["cell_barcode", "perturbation"], ["perturbation", "cell_barcode"], ["cell_barcode", "perturbation"])):
+        sinks.write_tsv(spark.createDataFrame([(f"c{k}", f"p{k}")], CELLS).select(*c), f"{root}/{k}", gzip=k == 1)
+    back = tables.read_many(spark, [f"{root}/{k}" for k in range(4)], CELLS)
+    assert {tuple(r) for r in back.collect()} == {(f"c{k}", f"p{k}") for k in range(3)}
+
+
+def test_sources_and_gate(spark):
+    assert config.one_source({"h5ad": "x"}) == "h5ad"
+    for both in ({"h5ad": "x", "guide_calls_csv": "y"}, {"h5ad": ""}):
+        with pytest.raises(ValueError):
+            config.one_source(both)
+    assert config.check_config({"methods": {"target_random": True}, "targets": "t"}) and config.check_config({"streams": ["global_de"]})
+    v = lambda *x: spark.createDataFrame([(float(a),) for a in x], "value double")
+    report = audit.readiness([("rows", True, "3")], spark.range(1))
+    audit.require_counts(report, audit.count_source({"X": v(0.5), "Counts": v(1, 2)}))
+    assert audit.count_source({"X": v(3, 4), "Counts": v(0.5)}).first().source == "Counts"
+    with pytest.raises(ValueError, match="raw counts"):
+        audit.require_counts(report, audit.count_source({"X": v(0.5, 1.5)}))
+
+
+def test_session_needs_a_shared_folder(monkeypatch):
+    from screenloom import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
+
+
+def test_replicates_meet_their_own_controls(spark):
+    r = np.random.default_rng(5)
+    cells = [(f"c{i}", ("ctl", "p")[i % 2], f"r{i % 4 // 2}") for i in range(160)]
+    values = [(c, f"g{j}", float(r.poisson(3 + 6 * (p == "p") * (j < 3)) + 1)) for c, p, _ in cells for j in range(8)]
+    frame = spark.createDataFrame(cells, CELLS + ", replicate string")
+    got = co.run_mixscape_by(spark.createDataFrame(values, COUNTS), frame, "ctl", "replicate", co.Defaults(n_pcs=3, neighbours=5, n_variable=6))
+    rows = got.groupBy("replicate", "perturbation").agg(F.count(F.lit(1)).alias("n"), F.avg("is_predicted_perturbed").alias("ko")).collect()
+    assert {(x.replicate, x.perturbation, x.n) for x in rows} == {(a, b, 40) for a in ("r0", "r1") for b in ("ctl", "p")}
+    assert all((x.ko > 0.8) == (x.perturbation == "p") for x in rows)
