@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenloom.operators.relational import chunk_labels
-from screenloom.session import cut
+from screenloom.session import cut, release
 
 #: Stored values worked on at once in a task.
 ENTRIES = 200_000
@@ -245,7 +245,7 @@ def communities(neighbours: DataFrame, key: str, rounds: int = 20) -> DataFrame:
     oscillation of a synchronous update. Each round is two joins and two aggregates."""
     one = neighbours.select(F.col(key).alias("a"), F.col("neighbour").alias("b"))
     links = cut(one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = cut(links.select("a").distinct().withColumn("label", F.col("a")), "labels")
+    labels = kept = cut(links.select("a").distinct().withColumn("label", F.col("a")), "labels")
     for r in range(rounds):
         votes = links.join(labels.withColumnsRenamed({"a": "b"}), "b").groupBy("a", "label").agg(F.count(F.lit(1)).alias("n"))
         votes = votes.join(labels.withColumnRenamed("label", "own"), "a")
@@ -255,7 +255,8 @@ def communities(neighbours: DataFrame, key: str, rounds: int = 20) -> DataFrame:
         moved = F.when(turn, F.coalesce("top", "label")).otherwise(F.col("label"))
         new = cut(labels.join(best, "a", "left").select("a", moved.alias("label"), (moved != F.col("label")).alias("changed")), "labels")
         same = new.where("changed").limit(1).count() == 0
-        labels = new.select("a", "label")
+        release(kept)
+        kept, labels = new, new.select("a", "label")
         if same and r % 2:
             break
     return labels.select(F.col("a").alias(key), F.col("label").alias("community"))

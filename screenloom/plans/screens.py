@@ -129,6 +129,22 @@ def a33_gene_scores(spark, d):
     return size.join(ex.gene_scores(bulk, 5).select("gene", F.round("score", 4).alias("variance")), "gene")
 
 
+_FEATURES = f"""WITH {_STREAMS}, own AS (SELECT DISTINCT gene FROM (SELECT gene, row_number() OVER (PARTITION BY perturbation ORDER BY abs(effect_for_cluster) DESC, gene) AS r FROM c) WHERE r <= {{k}})"""
+
+
+@query(_FEATURES.format(k=2) + " SELECT gene FROM own")
+def o04_feature_genes(spark, d):
+    return streams.feature_genes(catalog._combined(spark, d), 2, 20)
+
+
+@query(_FEATURES.format(k=1) + """ SELECT gene FROM own UNION ALL (SELECT gene FROM c WHERE gene NOT IN (SELECT gene FROM own) GROUP BY 1
+ORDER BY max(abs(effect_for_cluster)) DESC, gene LIMIT (SELECT greatest(0, (SELECT count(DISTINCT gene) - 25 FROM c) - count(*)) FROM own))""")
+def o05_feature_genes_topped_up(spark, d):
+    """Topped up to all genes but 25."""
+    combined = catalog._combined(spark, d)
+    return streams.feature_genes(combined, 1, combined.select("gene").distinct().count() - 25)
+
+
 @query("""SELECT perturbation, gene, rank FROM (SELECT perturbation, gene, row_number() OVER (PARTITION BY perturbation ORDER BY y DESC, x DESC, gene)::INTEGER AS rank FROM
 (SELECT perturbation, gene, logfoldchange AS x, -log10(greatest(pval_adj, 1e-300)) AS y FROM perturbation_differential_genes WHERE perturbation IS NOT NULL AND gene IS NOT NULL AND isfinite(logfoldchange) AND isfinite(pval_adj))) WHERE rank <= 25""")
 def o06_volcano_labels(spark, d):

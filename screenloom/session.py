@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,7 +58,20 @@ def cut(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Data
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = (weakref.ref(out, lambda _, k=id(out): _PATHS.pop(k, None)), path)
+    return out
+
+
+_PATHS: dict[int, tuple] = {}
+
+
+def release(df: DataFrame) -> None:
+    """Delete the table behind what ``cut`` returned, once nothing will read it any more, so that
+    iterations keep only their last tables. Other DataFrames are left alone."""
+    found = _PATHS.pop(id(df), None)
+    if found and found[0]() is df:
+        drop_path(df.sparkSession, found[1])
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
