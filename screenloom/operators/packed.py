@@ -104,6 +104,10 @@ def tokenize(text: str, d: Dialect = Dialect()) -> list[str]:
     return places
 
 
+#: Texts whose places a task remembers.
+REPEATED = 50_000
+
+
 def free_name(name: str, taken: list[str]) -> str:
     """``name``, or ``name_input`` and so on where an input column has it."""
     while name.lower() in {t.lower() for t in taken}:
@@ -136,23 +140,40 @@ def split_packed(
         [*fields, T.StructField(position, T.IntegerType()), T.StructField(value, T.StringType()), T.StructField(count, T.IntegerType())]
     )
 
+    special = dialect.delimiters + dialect.blank + dialect.quotes + dialect.brackets + dialect.escape
+    # A text of letters and digits is one place where those mean nothing to the dialect.
+    plain = not any(c.isalnum() for c in special) and not any(m.isalnum() for m in dialect.marks)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[str]] = {}
         for batch in batches:
             rest = pa.Table.from_batches([batch]).drop_columns([source])
             size = _batch_rows(rest)
             rows, at, texts, counts = [], [], [], []
+
+            def leave(k: int) -> pa.RecordBatch:
+                kept = rest.take(pa.array(rows[:k], pa.int64())).combine_chunks()
+                new = [pa.array(at[:k], pa.int32()), pa.array(texts[:k], pa.string()), pa.array(counts[:k], pa.int32())]
+                for made in (rows, at, texts, counts):
+                    del made[:k]
+                return pa.RecordBatch.from_arrays([*[c.chunk(0) if c.num_chunks else c.combine_chunks() for c in kept.columns], *new], names=schema.names)
+
             for i, text in enumerate(batch.column(source).to_pylist()):
                 if text is not None:
-                    places = tokenize(text, dialect)
+                    places = [text] if plain and text.isalnum() else known.get(text)
+                    if places is None:
+                        places = tokenize(text, dialect)
+                        # Short texts repeat; some are kept.
+                        if len(text) <= 32 and len(known) < REPEATED:
+                            known[text] = places
                     rows += [i] * len(places)
                     at += range(1, len(places) + 1)
                     texts += places
                     counts += [len(places)] * len(places)
-            for k in range(0, len(rows), size):
-                kept = rest.take(pa.array(rows[k : k + size], pa.int64())).combine_chunks()
-                new = [pa.array(at[k : k + size], pa.int32()), pa.array(texts[k : k + size], pa.string()), pa.array(counts[k : k + size], pa.int32())]
-                columns = [c.chunk(0) if c.num_chunks else c.combine_chunks() for c in kept.columns]
-                yield pa.RecordBatch.from_arrays([*columns, *new], names=schema.names)
+                    while len(rows) >= size:
+                        yield leave(size)
+            if rows:
+                yield leave(len(rows))
 
     return df.where(F.col(source).isNotNull()).mapInArrow(run, schema)
 
