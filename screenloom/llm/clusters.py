@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenloom.llm.filters import filter_of
-from screenloom.session import cut
+from screenloom.session import cut, release
 
 #: Coordinates of the grid, its cell width in radii, and the points of a block.
 GRID_DIMS, CELL_RADII, BLOCK = 6, 4.0, 4096
@@ -311,7 +311,10 @@ def pivot_clusters(pts: DataFrame, radius: float, block: int = BLOCK) -> tuple[D
         new = cut(_least_hash(active, radius, dealt), "pivots")
         pivots = new if pivots is None else pivots.unionByName(new)
         taken = cut(_closest_pivot(active, new, radius, dealt), "taken")
+        last = active
         rounds, active = rounds + 1, cut(active.join(taken.select("id"), "id", "left_anti").select(*active.columns), "active")
+        if last is not copies:
+            release(last)
     if pivots is None:
         return cut(pts.withColumn("cluster", F.col("id")), "members"), copies
     # After a single round the points are with their closest pivots already.

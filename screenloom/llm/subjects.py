@@ -29,9 +29,11 @@ from pyspark.sql import functions as F
 from screenloom.llm.files import batches_of
 from screenloom.llm.filters import member
 from screenloom.llm.leaks import Words, _mix, _powers, _rolling, segments
-from screenloom.session import cut, scratch_path
+from screenloom.session import cut, release, scratch_path
 
 PHRASE = 6
+#: Windows of the passages to blank, at most (8 bytes each in every task).
+MOST_PHRASES = 20_000_000
 #: Up to so many terms the component rates are handed to the tasks; of more, each block of
 #: documents gets the rates of its own terms.
 BROADCAST_TERMS = 200_000
@@ -83,13 +85,23 @@ def term_hash(words: list[str]) -> np.ndarray:
     return np.array([_fold(r := np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(r)]))[0] for w in words], np.uint64)
 
 
-def _phrases(texts: list[str]) -> np.ndarray:
-    found = []
-    for t in texts:
-        h = Words((t or "").encode("utf-8", "surrogatepass")).hash if t else ()
-        if len(h) >= PHRASE:
-            found.append(_rolling(h, PHRASE))
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+def phrases(texts: DataFrame, text: str) -> np.ndarray:
+    """Hashes of all windows of ``PHRASE`` words of small reference texts, made and freed of
+    repeats in Spark; they are handed to the tasks as a list, whose length is checked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, offsets, data, _ in segments(list(range(len(batch))), batch.column(0).to_pylist(), PHRASE):
+                w = Words(data)
+                if len(w.start) >= PHRASE:
+                    owner = np.searchsorted(np.array(offsets), w.start, "right")
+                    h = _rolling(w.hash, PHRASE)[owner[: len(owner) - PHRASE + 1] == owner[PHRASE - 1 :]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(h).view(np.int64))], names=["h"])
+
+    found = cut(texts.select(text).mapInArrow(run, "h long").distinct(), "phrases")
+    if found.count() > MOST_PHRASES:
+        raise ValueError(f"more than {MOST_PHRASES} phrases to blank")
+    return np.sort(found.toArrow().column(0).to_numpy().view(np.uint64))
 
 
 _STOPS = np.zeros(256, bool)
@@ -137,11 +149,11 @@ def boilerplate(docs: DataFrame, text: str, share: float = 0.01, least: int = 10
     return np.sort(np.array([r.s for r in found], np.int64).view(np.uint64))
 
 
-def document_terms(docs: DataFrame, doc_id: str, text: str, blank: list[str], common: np.ndarray) -> DataFrame:
+def document_terms(docs: DataFrame, doc_id: str, text: str, blank: np.ndarray, common: np.ndarray) -> DataFrame:
     """(doc_id, terms, counts) of each text with a term; a text cut into segments gives a row
-    for each. Passages of the texts ``blank`` and sentences with a hash in ``common`` give no
+    for each. Passages with a window in ``blank`` and sentences with a hash in ``common`` give no
     term."""
-    shared, kind = docs.sparkSession.sparkContext.broadcast((_phrases(blank), common)), dict(docs.dtypes)[doc_id]
+    shared, kind = docs.sparkSession.sparkContext.broadcast((blank, common)), dict(docs.dtypes)[doc_id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,10 +161,10 @@ def document_terms(docs: DataFrame, doc_id: str, text: str, blank: list[str], co
             for rows, offsets, data, _ in segments(list(range(len(ids))), batch.column(1).to_pylist(), 1):
                 raw = np.frombuffer(data, np.uint8)
                 w = Words(data)
-                phrases, sentences = shared.value
+                passages, sentences = shared.value
                 gone = np.zeros(len(raw) + 1, np.int32)
-                if len(w.start) >= PHRASE and len(phrases):
-                    hit = np.flatnonzero(member(_rolling(w.hash, PHRASE), phrases))
+                if len(w.start) >= PHRASE and len(passages):
+                    hit = np.flatnonzero(member(_rolling(w.hash, PHRASE), passages))
                     np.add.at(gone, w.start[hit], 1)
                     np.add.at(gone, w.end[hit + PHRASE - 1], -1)
                 if len(sentences):
@@ -224,9 +236,11 @@ def _entries(batch: pa.RecordBatch, known: np.ndarray) -> Iterator[tuple]:
 
 
 def gate(sums: np.ndarray, totals: np.ndarray, purity: float = 0.6, two: float = 0.85) -> np.ndarray:
-    """Component rates of terms from their expected counts; the last component is common. A term
-    whose subject rates are not concentrated (``purity`` on one subject or ``two`` on two) is
-    left to the common component but for a twentieth, so that it may come back."""
+    """Component rates of terms from their expected counts; the last component is common. The
+    update is followed by a projection that keeps the factors sparse: a term whose subject rates
+    are not concentrated (``purity`` on one subject or ``two`` on two) is left to the common
+    component but for a twentieth, so that it may come back. Without it the subjects take up the
+    usual words of programming as the rounds go on (figures in the README)."""
     sums = sums.copy()
     rate = sums[:, :-1] / np.maximum(totals[:-1], 1e-9)
     share = np.sort(rate / np.maximum(rate.sum(1, keepdims=True), 1e-30), axis=1)[:, ::-1]
@@ -333,7 +347,7 @@ class Factors:
                 rows = pa.FixedSizeListArray.from_arrays(pa.array(rates.ravel()), k + 1).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([batch.column("term"), rows], names=["term", "rates"])
 
-        rates = cut(table.mapInArrow(run, "term long, rates array<double>"), "rates")
+        self.rates = rates = cut(table.mapInArrow(run, "term long, rates array<double>"), "rates")
         sums = rates.agg(*[F.sum(F.col("rates")[j]) for j in range(k + 1)]).first()
         scale = F.array(*[F.lit(1.0 / max(s or 0.0, 1e-30)) for s in sums])
         self.table = rates.select("term", F.zip_with("rates", scale, lambda a, b: a * b).cast("array<float>").alias("rates"))
@@ -373,7 +387,11 @@ class Factors:
         each = sums.groupBy("term").agg(F.array(*[F.sum(F.col("sums")[j]) for j in range(k + 1)]).alias("sums"))
         each = cut(each, "sums")
         totals = np.array([v or 0.0 for v in each.agg(*[F.sum(F.col("sums")[j]) for j in range(k + 1)]).first()])
+        last = None if self.few else self.rates
         self._rates(lambda _, s: gate(s, totals), each)
+        release(each)
+        if last is not None:
+            release(last)
         return totals
 
     def mixtures(self) -> DataFrame:
@@ -395,8 +413,7 @@ def subject_words(
     names = [s for s, _ in seeds]
     owners = np.array([k for k, (_, words) in enumerate(seeds) for _ in words], np.int64)
     anchors = term_hash([w for _, words in seeds for w in words])
-    blank = [r[0] for r in other.select(text).collect()]
-    matrix = cut(document_terms(docs, doc_id, text, blank, boilerplate(docs, text, boilerplate_share)), "matrix")
+    matrix = cut(document_terms(docs, doc_id, text, phrases(other, text), boilerplate(docs, text, boilerplate_share)), "matrix")
     factors = Factors(matrix, doc_id, anchors, owners, len(names), min_docs)
     last = np.zeros(len(names) + 1)
     for _ in range(rounds):
