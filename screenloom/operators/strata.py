@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from screenloom.functions.pvalues import fisher_greater, student_two_sided
 from screenloom.operators.relational import quantile_bins
+from screenloom.session import cut
 
 
 def abundance_strata(cells: DataFrame, min_cells: int = 100, min_per_group: int = 20) -> DataFrame:
@@ -14,6 +15,8 @@ def abundance_strata(cells: DataFrame, min_cells: int = 100, min_per_group: int
     control cells removed before): knock-out rates of the cells up to the first and from the
     third quartile of ``umi`` (ties in both), their difference and ratio, and Fisher's one-sided
     test that the upper stratum's odds are greater."""
+    # The quartiles and the strata both read the cells.
+    cells = cut(cells.select("perturbation", "umi", "is_ko"), "cells")
     limits = cells.groupBy("perturbation").agg(
         F.percentile("umi", F.lit(0.25)).alias("q1"), F.percentile("umi", F.lit(0.75)).alias("q3"),
         F.count(F.lit(1)).alias("n_cells"), F.median("umi").alias("median_umi"),
@@ -32,7 +35,7 @@ def abundance_strata(cells: DataFrame, min_cells: int = 100, min_per_group: int
 
 def abundance_deciles(cells: DataFrame) -> DataFrame:
     """(umi_decile, n_cells, n_ko, median_guide_umi, mean_guide_umi, ko_rate)."""
-    d = quantile_bins(cells, "umi", 10, "umi_decile").where("umi_decile IS NOT NULL")
+    d = quantile_bins(cut(cells.select("umi", "is_ko"), "cells"), "umi", 10, "umi_decile").where("umi_decile IS NOT NULL")
     return d.groupBy("umi_decile").agg(
         F.count(F.lit(1)).alias("n_cells"), F.sum("is_ko").cast("bigint").alias("n_ko"), F.median("umi").alias("median_guide_umi"),
         F.avg("umi").alias("mean_guide_umi"), F.avg("is_ko").alias("ko_rate"),

@@ -317,7 +317,8 @@ c AS (SELECT perturbation, gene, sum(CASE WHEN (p IS NULL OR p <= 0.05) AND abs(
 
 
 def _combined(spark, d):
-    rows = load(spark, d, "perturbation_differential_genes").select("perturbation", "gene", "logfoldchange", "score", "pval_adj").distinct()
+    # Read by both streams, and once before for the measure each has.
+    rows = cut(load(spark, d, "perturbation_differential_genes").select("perturbation", "gene", "logfoldchange", "score", "pval_adj").distinct(), "rows")
     two = [streams.standardize_stream(rows.drop("score"), "global_de"), streams.standardize_stream(rows.select("perturbation", "gene", "score"), "mixscape")]
     return streams.combine_streams(two)
 
