@@ -7,6 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from screenloom.operators.quantiles import quantiles
+from screenloom.session import cut
+
 
 def normalize_total(counts: DataFrame, target: float | None = None, cell: str = "cell_barcode") -> DataFrame:
     """Each cell's values scaled to sum to ``target``, or to the median of the positive cell sums
@@ -14,8 +17,8 @@ def normalize_total(counts: DataFrame, target: float | None = None, cell: str =
     total = F.sum("value").over(Window.partitionBy(cell))
     rows = counts.withColumn("__t", total)
     if target is None:
-        sums = counts.groupBy(cell).agg(F.sum("value").alias("t")).where("t > 0")
-        goal = sums.agg(F.median("t")).scalar()
+        sums = cut(counts.groupBy(cell).agg(F.sum("value").alias("t")).where("t > 0"), "sums")
+        goal = quantiles(sums, [], "t", [0.5]).agg(F.max("q0")).scalar()
     else:
         goal = F.lit(float(target))
     scaled = F.when(F.col("__t") > 0, F.col("value") * goal / F.col("__t")).otherwise(F.col("value"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenloom.functions.columns import as_double, finite, says_perturbed
+from screenloom.operators.quantiles import quantiles
 from screenloom.session import cut
 
 
@@ -43,7 +44,9 @@ def select_by_quantile(df: DataFrame, key: str, score: str, q: float, mode: str
         raise ValueError("the quantile must lie in [0, 1]")
     value = {"top_positive": F.col(score), "top_negative": -F.col(score), "top_absolute": F.abs(F.col(score))}[mode]
     rows = df.where(F.col(key).isNotNull()).withColumn("selection_metric", finite(value)).where("selection_metric IS NOT NULL")
-    limits = rows.groupBy(key).agg(F.percentile("selection_metric", F.lit(q)).alias("selection_threshold"))
+    # Read for the thresholds and for the choice.
+    rows = cut(rows, "metric")
+    limits = quantiles(rows, [key], "selection_metric", [q]).select(key, F.col("q0").alias("selection_threshold"))
     return rows.join(limits, key).where("selection_metric >= selection_threshold")
 
 
@@ -61,9 +64,9 @@ def z_scores(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def quantile_bins(df: DataFrame, column: str, bins: int = 10, out: str = "bin") -> DataFrame:
     """The right-closed quantile bin of each value (from 0), equal edges merged; null for null."""
-    edges = F.percentile(column, F.array(*[F.lit(k / bins) for k in range(1, bins)]))
-    low = F.min(column)
-    cuts = df.agg(F.array_sort(F.array_distinct(edges)).alias("e"), low.alias("low"), F.max(column).alias("high"))
+    found = quantiles(df, [], column, [0.0, *[k / bins for k in range(1, bins)], 1.0])
+    edges = F.array(*[F.col(f"q{k}") for k in range(1, bins)])
+    cuts = found.agg(F.first(F.struct(F.array_sort(F.array_distinct(edges)).alias("e"), F.col("q0").alias("low"), F.col(f"q{bins}").alias("high"))).alias("c")).select("c.*")
     # The edges above the minimum and below the maximum part the bins.
     inner = cuts.select(F.filter("e", lambda e: (e > F.col("low")) & (e < F.col("high"))).alias("e")).scalar()
     above = F.size(F.filter("__e", lambda e: F.col(column) > e))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenloom.functions.pvalues import fisher_greater, student_two_sided
+from screenloom.operators.quantiles import quantiles
 from screenloom.operators.relational import quantile_bins
 from screenloom.session import cut
 
@@ -17,10 +18,9 @@ def abundance_strata(cells: DataFrame, min_cells: int = 100, min_per_group: int
     test that the upper stratum's odds are greater."""
     # The quartiles and the strata both read the cells.
     cells = cut(cells.select("perturbation", "umi", "is_ko"), "cells")
-    limits = cells.groupBy("perturbation").agg(
-        F.percentile("umi", F.lit(0.25)).alias("q1"), F.percentile("umi", F.lit(0.75)).alias("q3"),
-        F.count(F.lit(1)).alias("n_cells"), F.median("umi").alias("median_umi"),
-    ).where(F.col("n_cells") >= min_cells)
+    sizes = cells.groupBy("perturbation").agg(F.count(F.lit(1)).alias("n_cells")).where(F.col("n_cells") >= min_cells)
+    limits = quantiles(cells, ["perturbation"], "umi", [0.25, 0.5, 0.75]).select("perturbation", F.col("q0").alias("q1"), F.col("q1").alias("median_umi"), F.col("q2").alias("q3"))
+    limits = limits.join(sizes, "perturbation")
     low, high = F.col("umi") <= F.col("q1"), F.col("umi") >= F.col("q3")
     n = lambda c: F.sum(F.when(c, 1).otherwise(0))
     ko = F.col("is_ko") == 1
@@ -36,10 +36,12 @@ def abundance_strata(cells: DataFrame, min_cells: int = 100, min_per_group: int
 def abundance_deciles(cells: DataFrame) -> DataFrame:
     """(umi_decile, n_cells, n_ko, median_guide_umi, mean_guide_umi, ko_rate)."""
     d = quantile_bins(cut(cells.select("umi", "is_ko"), "cells"), "umi", 10, "umi_decile").where("umi_decile IS NOT NULL")
-    return d.groupBy("umi_decile").agg(
-        F.count(F.lit(1)).alias("n_cells"), F.sum("is_ko").cast("bigint").alias("n_ko"), F.median("umi").alias("median_guide_umi"),
+    per = d.groupBy("umi_decile").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.sum("is_ko").cast("bigint").alias("n_ko"),
         F.avg("umi").alias("mean_guide_umi"), F.avg("is_ko").alias("ko_rate"),
     )
+    middle = quantiles(d, ["umi_decile"], "umi", [0.5]).select("umi_decile", F.col("q0").alias("median_guide_umi"))
+    return per.join(middle, "umi_decile").select("umi_decile", "n_cells", "n_ko", "median_guide_umi", "mean_guide_umi", "ko_rate")
 
 
 def rank_correlation(df: DataFrame, group: str, a: str, b: str) -> DataFrame:

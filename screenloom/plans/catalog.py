@@ -18,6 +18,7 @@ from screenloom.operators import de as de_ops
 from screenloom.operators import effects as fx
 from screenloom.operators import expression as ex
 from screenloom.operators import relational as rel
+from screenloom.operators.quantiles import quantiles
 from screenloom.plans import composites as co
 from screenloom.plans import sqlparts as sq
 from screenloom.plans.views import CELLS_SQL, CONTROL, CONTROL_MANY, CONTROL_SIZE, COUNTS_SQL, FINE_SQL, GUIDE_SQL, MANY_SQL, SETS_SQL, SIZE_SQL
@@ -337,7 +338,8 @@ def a08_multi(spark, d):
 @query("SELECT c_mktsegment, round(quantile_cont(o_totalprice, 0.9), 4) AS q FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1")
 def a09_quantile(spark, d):
     o, c = load(spark, d, "orders"), load(spark, d, "customer")
-    return o.join(c, o.o_custkey == c.c_custkey).groupBy("c_mktsegment").agg(F.round(F.percentile("o_totalprice", F.lit(0.9)), 4).alias("q"))
+    prices = cut(o.join(c, o.o_custkey == c.c_custkey).select("c_mktsegment", "o_totalprice"), "prices")
+    return quantiles(prices, ["c_mktsegment"], "o_totalprice", [0.9]).select("c_mktsegment", F.round("q0", 4).alias("q"))
 
 
 @query("SELECT event_type, round(stddev_pop(value), 6) AS sd0, round(stddev_samp(value), 6) AS sd1, round(var_samp(value), 4) AS v1 FROM events GROUP BY 1")

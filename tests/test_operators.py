@@ -14,6 +14,7 @@ from screenloom.functions.columns import label_seed
 from screenloom.operators import audit, de, expression, ora, sampling, similarity, streams
 from screenloom.operators import relational as rel
 from screenloom.operators.orphans import open_references
+from screenloom.operators.quantiles import quantiles
 from screenloom.plans import composites as co
 from screenloom.plans import config
 from screenloom.sources import sinks, tables
@@ -318,3 +319,20 @@ def test_replicates_meet_their_own_controls(spark):
     rows = got.groupBy("replicate", "perturbation").agg(F.count(F.lit(1)).alias("n"), F.avg("is_predicted_perturbed").alias("ko")).collect()
     assert {(x.replicate, x.perturbation, x.n) for x in rows} == {(a, b, 40) for a in ("r0", "r1") for b in ("ctl", "p")}
     assert all((x.ko > 0.8) == (x.perturbation == "p") for x in rows)
+
+
+def test_quantiles(spark):
+    r = random.Random(6)
+    rows = [(g, r.choice([r.gauss(0, 100), float(r.randint(-2, 2)), None, float("nan"), 0.0, -0.0])) for g in "ab" for _ in range(300)]
+    rows += [(None, 5.0), (None, 7.0), ("one", 3.5), ("none", None), ("wide", 1e-300), ("wide", -1e300), ("wide", 1e300)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    qs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {x.g: x for x in quantiles(df, ["g"], "x", qs).collect()}
+    assert set(got) == {"a", "b", None, "one", "wide"}
+    for g, row in got.items():
+        v = np.array([x for k, x in rows if k == g and x is not None and not math.isnan(x)])
+        assert row.n == len(v)
+        assert [row[f"q{i}"] for i in range(len(qs))] == pytest.approx(np.quantile(v, qs).tolist(), rel=1e-12)
+    (whole,) = quantiles(df.where("g = 'a'"), [], "x", [0.5]).collect()
+    assert whole.q0 == got["a"].q3
+    assert quantiles(df.limit(0), [], "x", [0.5]).count() == 0
