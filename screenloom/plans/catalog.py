@@ -703,6 +703,16 @@ def n06_pca(spark, d):
     return pcs.select("cell_barcode", F.transform("x", lambda v: F.round(v, 6)).alias("x"))
 
 
+@query(f"""WITH {COUNTS_SQL}, v AS (SELECT cell_barcode, gene, ln(1 + value * 10000.0 / sum(value) OVER (PARTITION BY cell_barcode)) AS value FROM counts),
+n AS (SELECT count(DISTINCT cell_barcode) AS n FROM v), m AS (SELECT gene, sum(value) / max(n) AS m FROM v, n GROUP BY 1), c AS (SELECT DISTINCT cell_barcode FROM v)
+SELECT c.cell_barcode, round(sqrt(sum((coalesce(v.value, 0) - m) ** 2)), 5) AS length FROM c CROSS JOIN m LEFT JOIN v ON v.cell_barcode = c.cell_barcode AND v.gene = m.gene GROUP BY 1""")
+def n06_component_lengths(spark, d):
+    """Over all components a cell is as far from the mean as over all genes."""
+    values, genes = _profiles(spark, d)
+    pcs = similarity.principal_components(values, genes, 25)
+    return pcs.select("cell_barcode", F.round(F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)), 5).alias("length"))
+
+
 @query(f"""WITH v AS (SELECT CAST(label AS VARCHAR) || '-' || CAST(vec_id AS VARCHAR) AS id, embedding AS e FROM embeddings),
 q AS (SELECT a.id, b.id AS neighbour, sqrt(list_sum(list_transform(list_zip(a.e, b.e), lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) ** 2))) AS x FROM v a, v b WHERE a.id <> b.id)
 SELECT id, neighbour, rank FROM (SELECT id, neighbour, row_number() OVER (PARTITION BY id ORDER BY round(x, 9), neighbour)::INTEGER AS rank FROM q) WHERE rank <= 5""")
@@ -828,9 +838,15 @@ def c03_run_mixscape(spark, d):
     return classes.withColumn("p_ko", F.round("p_ko", 6))
 
 
-@query()
+@query(f"""WITH {SIZE_SQL}, {COUNTS_SQL}, v AS (SELECT cell_barcode, gene, ln(1 + value * 10000.0 / sum(value) OVER (PARTITION BY cell_barcode)) AS value FROM counts),
+n AS (SELECT perturbation, count(*) AS n FROM cells GROUP BY 1), g AS (SELECT DISTINCT gene FROM v),
+m AS (SELECT n.perturbation, g.gene, coalesce(sum(value), 0) / n.n AS m FROM n CROSS JOIN g LEFT JOIN (SELECT * FROM v JOIN cells USING (cell_barcode)) x ON x.perturbation = n.perturbation AND x.gene = g.gene GROUP BY n.perturbation, g.gene, n.n)
+SELECT a.perturbation, max(n.n) AS n_cells, round(sqrt(sum((a.m - b.m) ** 2)), 6) AS effect_l2_vs_control FROM m a JOIN m b ON a.gene = b.gene AND b.perturbation = '{CONTROL_SIZE}' JOIN n ON n.perturbation = a.perturbation GROUP BY 1""")
 def c03_effects(spark, d):
-    return co.run_mixscape(counts(spark, d), cells_by_size(spark, d), CONTROL_SIZE)[1]
+    """With as many components as genes, whose turn leaves lengths as they are."""
+    model = co.Defaults(n_pcs=25, neighbours=0)
+    deltas = co.run_mixscape(counts(spark, d), cells_by_size(spark, d), CONTROL_SIZE, model)[1]
+    return deltas.select("perturbation", "n_cells", F.round("effect_l2_vs_control", 6).alias("effect_l2_vs_control"))
 
 
 @query("""WITH v AS (SELECT CAST(label AS VARCHAR) AS perturbation, vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(1, len(embedding) + 1)) AS k FROM embeddings),
