@@ -175,10 +175,11 @@ WITH RECURSIVE p AS (SELECT DISTINCT perturbation AS name, [{", ".join(_DIMS)}]
 o AS (SELECT row_number() OVER (ORDER BY substr(md5(name), 1, 12), name) AS i, name, x FROM p),
 near AS (SELECT a.i, list(b.i) AS before FROM o a JOIN o b ON b.i < a.i AND abs(a.x[1] - b.x[1]) <= 1
   AND {" + ".join(f"(a.x[{k}] - b.x[{k}]) ** 2" for k in range(1, 13))} <= 1.0 GROUP BY a.i),
-g(i, pivots) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL
-  SELECT g.i + 1, CASE WHEN list_has_any(coalesce(near.before, []), g.pivots) THEN g.pivots ELSE list_append(g.pivots, g.i + 1) END
-  FROM g LEFT JOIN near ON near.i = g.i + 1 WHERE g.i < (SELECT count(*) FROM o)),
-q AS (SELECT o.* FROM o JOIN (SELECT unnest(pivots) AS i FROM g WHERE i = (SELECT max(i) FROM g)) USING (i)),
+b AS (SELECT o.i, coalesce(near.before, []) AS before FROM o LEFT JOIN near USING (i)),
+g(r, pivots, taken) AS (SELECT 0, []::BIGINT[], []::BIGINT[] UNION ALL
+  SELECT r + 1, coalesce(list(i) FILTER (list_has_all(taken, before)), []), coalesce(list(i) FILTER (list_has_any(pivots, before)), [])
+  FROM g, b WHERE len(pivots) + len(taken) < (SELECT count(*) FROM o) GROUP BY r),
+q AS (SELECT o.* FROM o JOIN (SELECT unnest(pivots) AS i FROM g WHERE r = (SELECT max(r) FROM g)) USING (i)),
 m AS (SELECT a.i, a.name, a.x, arg_min(q.i, (d, q.name)) AS c FROM (SELECT o.i, o.name, o.x, q.i AS qi,
     {" + ".join(f"(o.x[{k}] - q.x[{k}]) ** 2" for k in range(1, 13))} AS d FROM o JOIN q ON abs(o.x[1] - q.x[1]) <= 1) a JOIN q ON q.i = a.qi WHERE d <= 1.0 GROUP BY ALL),
 v AS (SELECT c, k, avg(x[k]) AS u FROM m, range(1, 13) t(k) GROUP BY ALL),
