@@ -336,3 +336,14 @@ def test_quantiles(spark):
     (whole,) = quantiles(df.where("g = 'a'"), [], "x", [0.5]).collect()
     assert whole.q0 == got["a"].q3
     assert quantiles(df.limit(0), [], "x", [0.5]).count() == 0
+
+
+def test_released_tables_are_gone(spark):
+    from screenloom.session import cut, release
+
+    kept, gone = cut(spark.range(5), "kept"), cut(spark.range(7), "gone")
+    path = Path(gone.inputFiles()[0].removeprefix("file://")).parent
+    assert path.exists()
+    release(gone)
+    release(spark.range(3))
+    assert not path.exists() and kept.count() == 5
