@@ -166,6 +166,33 @@ def test_top_n_skips_row_groups(spark):
     assert len(stats) > 8 and sum(r.high >= floor for r in stats) <= 2
 
 
+def test_top_n_of_a_clustered_table(spark):
+    """A table clustered once answers for any n, and gives what the whole job gives."""
+    r = random.Random(11)
+    rows = [(r.choice("abc"), f"i{k % 70}", float(r.randint(0, 9))) for k in range(900)]
+    df = spark.createDataFrame(rows, "g string, i string, s double")
+    path = topn.cluster_by_group(df, "g", "i", "s", 2000)
+    for n in (1, 7):
+        a = {tuple(x) for x in topn.top_n_clustered(spark, path, n).collect()}
+        assert a == {tuple(x) for x in topn.top_n(df, "g", "i", "s", n).collect()} and len(a) == 3 * n
+
+
+# Filters
+
+
+def test_filters(spark, monkeypatch):
+    r = np.random.default_rng(2)
+    inside, outside = (r.integers(-(2**63), 2**63 - 1, 500, dtype=np.int64) for _ in range(2))
+    df = spark.createDataFrame([(int(h),) for h in inside], "h long").repartition(4)
+    exact = filters.filter_of(df)
+    assert exact.ordered is not None and exact.has(inside.view(np.uint64)).all() and not exact.has(outside.view(np.uint64)).any()
+    monkeypatch.setattr(filters, "MOST", 10)
+    monkeypatch.setattr(filters, "BITS", 20)
+    bits = filters.filter_of(df)
+    assert len(bits.bits) == 1 << 17 and bits.has(inside.view(np.uint64)).all() and bits.has(outside.view(np.uint64)).mean() < 0.01
+    assert not filters.filter_of(df.limit(0)).has(inside.view(np.uint64)).any()
+
+
 # Packing
 
 
@@ -407,6 +434,29 @@ def test_at_most_two_subjects(spark):
     assert {r.subject: r.n_documents for r in subjects.composition(words).collect()} == {"a": 1, "b": 1, "c": 1}
 
 
+def test_passages_to_blank_are_bounded(spark, monkeypatch):
+    texts = spark.createDataFrame([("one two three four five six seven",), (None,), ("too short",)], "text string")
+    assert len(subjects.phrases(texts, "text")) == 2
+    assert len(subjects.phrases(texts.limit(0), "text")) == 0
+    monkeypatch.setattr(subjects, "MOST_PHRASES", 1)
+    with pytest.raises(ValueError, match="phrases"):
+        subjects.phrases(texts, "text")
+
+
+@pytest.mark.parametrize("entries", [2000, 10**9])
+def test_rates_routed_to_blocks(corpus, monkeypatch, entries):
+    """Any number of blocks gives what the array in every task gives."""
+    docs, areas, other, _ = corpus
+    few = docs.where("doc_id < 120")
+    key = lambda df: {(r.doc_id, r.subject): r.n_words for r in df.collect()}
+    want = key(subjects.subject_words(few, areas, other, rounds=3))
+    monkeypatch.setattr(subjects, "BROADCAST_TERMS", 0)
+    monkeypatch.setattr(subjects, "BLOCK_ENTRIES", entries)
+    got = key(subjects.subject_words(few, areas, other, rounds=3))
+    assert set(got) == set(want)
+    assert all(got[k] == pytest.approx(want[k], rel=1e-3, abs=1e-3) for k in want)
+
+
 def test_subjects_of_no_documents(corpus):
     docs, areas, other, _ = corpus
     assert subjects.main_subjects(subjects.subject_words(docs.limit(0), areas, other)).count() == 0
