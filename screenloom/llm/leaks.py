@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -63,10 +64,23 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
-class Words:
-    """The words of a byte string: where they are, their hashes and whether they are numbers."""
+_CACHE: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_powers`` of at least ``n`` steps; the last sizes asked for are kept."""
+    size = 1 << max(10, int(n).bit_length())
+    if size not in _CACHE:
+        if len(_CACHE) > 2:
+            _CACHE.clear()
+        _CACHE[size] = _powers(size)
+    return _CACHE[size]
 
-    cache: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+class Words:
+    """The words of a byte string: where they are, their hashes and whether they are numbers.
+    ``text`` is the string in lower case and ``sums`` its bytes' running hash, by which any part
+    of it has the hash that it has as a word."""
 
     def __init__(self, data: bytes):
         raw = _LOWER[np.frombuffer(data, np.uint8)]
@@ -75,17 +89,19 @@ class Words:
         inside[1:-1] = _WORD[raw]
         edge = np.diff(inside)
         self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        size = 1 << max(10, int(len(raw)).bit_length())
-        if size not in self.cache:
-            self.cache.clear()
-            self.cache[size] = _powers(size)
-        up, down = self.cache[size]
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(raw.astype(np.uint64) * up[: len(raw)], out=sums[1:])
-        self.hash = _mix((sums[self.end] - sums[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
-        digits = np.zeros(len(raw) + 1, np.int32)
-        np.cumsum((raw >= 48) & (raw <= 57), out=digits[1:])
-        self.number = digits[self.end] - digits[self.start] == self.end - self.start
+        up, self.down = powers_of(len(raw))
+        self.sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(raw * up[: len(raw)], out=self.sums[1:])
+        self.hash = _mix(self.part(self.start, self.end) + (self.end - self.start).astype(np.uint64))
+
+    def part(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.sums[end] - self.sums[start]) * self.down[start]
+
+    @cached_property
+    def number(self) -> np.ndarray:
+        digits = np.zeros(len(self.text) + 1, np.int32)
+        np.cumsum((self.text >= 48) & (self.text <= 57), out=digits[1:])
+        return digits[self.end] - digits[self.start] == self.end - self.start
 
 
 def word_hashes(words: list[str]) -> np.ndarray:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from screenloom.llm.files import batches_of
 from screenloom.llm.filters import member
-from screenloom.llm.leaks import Words, _mix, _powers, _rolling, segments
+from screenloom.llm.leaks import Words, _mix, _rolling, powers_of, segments
 from screenloom.session import cut, release, scratch_path
 
 PHRASE = 6
@@ -48,23 +48,25 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 
-def _fold(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of the terms at ``start:end``, in lower case and singular."""
-    low = np.where((raw >= 65) & (raw < 91), raw + np.uint8(32), raw)
-    up, down = _powers(max(2, len(raw)))
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(low.astype(np.uint64) * up[: len(raw)], out=sums[1:])
-    n = end - start
+def _fold(w: Words, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the terms at ``start:end`` of a text, in lower case and singular."""
+    n, low = end - start, w.text
     at = lambda k: np.where(n > k, low[np.maximum(end - 1 - k, 0)], 0)
-    a, b, c = at(0), at(1), at(2)
     s, e, i, u, h, x = (ord(ch) for ch in "seiuhx")
-    ies = (n > 4) & (a == s) & (b == e) & (c == i)
-    xes = (n > 4) & (a == s) & (b == e) & ((c == x) | (c == s) & (at(3) == s) | (c == h) & (at(3) == s))
-    one = (n > 3) & (a == s) & ~ies & ~xes & (b != s) & (b != u) & (b != i)
-    n = n - np.where(ies, 3, np.where(xes, 2, np.where(one, 1, 0)))
-    out = (sums[start + n] - sums[start]) * down[start]
-    out = np.where(ies, out + np.uint64(ord("y")) * up[np.minimum(n, len(up) - 1)], out)
-    return _mix(out + (n + ies).astype(np.uint64))
+    # Few terms end in an s; the others need no more letters.
+    some = np.flatnonzero((n > 3) & (at(0) == s))
+    whole, n, end = n, n[some], end[some]
+    a, b, c = s, at(1), at(2)
+    ies = (n > 4) & (b == e) & (c == i)
+    xes = (n > 4) & (b == e) & ((c == x) | (c == a) & (at(3) == a) | (c == h) & (at(3) == a))
+    one = ~ies & ~xes & (b != s) & (b != u) & (b != i)
+    n, y = whole.copy(), np.zeros(len(whole), bool)
+    n[some] -= np.where(ies, 3, np.where(xes, 2, np.where(one, 1, 0)))
+    y[some] = ies
+    out = w.part(start, start + n)
+    up, _ = powers_of(len(low))
+    out[y] += np.uint64(ord("y")) * up[n[y]]
+    return _mix(out + (n + y).astype(np.uint64))
 
 
 def _terms(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +84,7 @@ def _terms(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def term_hash(words: list[str]) -> np.ndarray:
     """The hashes of single words."""
-    return np.array([_fold(r := np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(r)]))[0] for w in words], np.uint64)
+    return np.array([_fold(Words(w.encode()), np.array([0]), np.array([len(w.encode())]))[0] for w in words], np.uint64)
 
 
 def phrases(texts: DataFrame, text: str) -> np.ndarray:
@@ -117,7 +119,7 @@ def _sentences(w: Words, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     last = np.r_[first[1:], len(part)]
     keep = last - first >= PHRASE
     first, last = first[keep], last[keep]
-    up, down = _powers(max(2, len(part)))
+    up, down = powers_of(len(part))
     sums = np.zeros(len(part) + 1, np.uint64)
     np.cumsum(w.hash * up[: len(part)], out=sums[1:])
     return first, last, _mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
@@ -172,14 +174,16 @@ def document_terms(docs: DataFrame, doc_id: str, text: str, blank: np.ndarray, c
                     hit = np.flatnonzero(member(h, sentences))
                     np.add.at(gone, w.start[first[hit]], 1)
                     np.add.at(gone, w.end[last[hit] - 1], -1)
-                raw = np.where(np.cumsum(gone[:-1]) > 0, np.uint8(32), raw)
+                if gone.any():
+                    raw = np.where(np.cumsum(gone[:-1]) > 0, np.uint8(32), raw)
                 start, end = _terms(raw)
                 keep = end - start >= 3
                 start, end = start[keep], end[keep]
                 if not len(start):
                     continue
                 owner = np.searchsorted(np.array(offsets), start, "right") - 1
-                term = _fold(raw, start, end)
+                # The blanked parts hold no term, so that the whole text's hashes hold for the rest.
+                term = _fold(w, start, end)
                 order = np.lexsort((term, owner))
                 owner, term = owner[order], term[order]
                 new = np.r_[True, (owner[1:] != owner[:-1]) | (term[1:] != term[:-1])]
