@@ -8,6 +8,9 @@ values never meet in one task but for those of one band.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +34,8 @@ def quantiles(df: DataFrame, groups: list[str], value: str, qs: list[float]) ->
     v = F.col(value).cast("double")
     # Zero has one sign.
     rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*groups, (v + F.lit(0.0)).alias("__v")).withColumn("__b", band_of(F.col("__v")))
+    if not groups:
+        return _of_all(rows, qs)
     # Some thousand rows a group, written since windows and the second pass read them.
     bands = cut(rows.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("__n")), "bands")
     whole = Window.partitionBy(*groups)
@@ -41,7 +46,6 @@ def quantiles(df: DataFrame, groups: list[str], value: str, qs: list[float]) ->
     goals = run.select("*", F.inline(F.array(*ranks))).where((F.col("__r") < F.col("__u")) & (F.col("__r") >= F.col("__u") - F.col("__n")))
     names = [f"__g{i}" for i in range(len(groups))]
     goals = goals.select(*[F.col(g).alias(a) for g, a in zip(groups, names)], F.col("__b").alias("__c"), "__k", (F.col("__r") - F.col("__u") + F.col("__n")).alias("__r"), "n")
-    goals = cut(goals, "goals")
     same = F.col("__b") == F.col("__c")
     for g, a in zip(groups, names):
         same = same & F.col(g).eqNullSafe(F.col(a))
@@ -54,3 +58,31 @@ def quantiles(df: DataFrame, groups: list[str], value: str, qs: list[float]) ->
     low, high = lambda i: F.col(f"__x{2 * i}"), lambda i: F.col(f"__x{2 * i + 1}")
     between = lambda i, q: F.when(low(i) == high(i), low(i)).otherwise(low(i) + part(q) * (high(i) - low(i)))
     return each.select(*groups, "n", *[between(i, q).alias(f"q{i}") for i, q in enumerate(qs)])
+
+
+def _of_all(rows: DataFrame, qs: list[float]) -> DataFrame:
+    """``quantiles`` without groups: the counts of the bands, some thousand numbers whatever the
+    rows, say which bands to look into."""
+    counts = sorted((r["__b"], r["count"]) for r in rows.groupBy("__b").count().collect())
+    names = ["n", *[f"q{i}" for i in range(len(qs))]]
+    schema = "n bigint, " + ", ".join(f"{c} double" for c in names[1:])
+    n = sum(c for _, c in counts)
+    if not n:
+        return rows.sparkSession.createDataFrame([], schema)
+    place, goals = [q * (n - 1) for q in qs], {}
+    for rank in {r for p in place for r in (math.floor(p), math.ceil(p))}:
+        before = 0
+        for band, count in counts:
+            if rank < before + count:
+                goals[rank] = (band, rank - before)
+                break
+            before += count
+    near = rows.where(F.col("__b").isin(sorted({b for b, _ in goals.values()}))).groupBy("__b", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    along = Window.partitionBy("__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("__u", F.sum("__n").over(along))
+    wanted = [(F.col("__b") == b) & (F.col("__u") > r) & (F.col("__u") - F.col("__n") <= r) for b, r in goals.values()]
+    found = near.where(reduce(lambda a, b: a | b, wanted)).collect()
+    at = {k: next(x["__v"] for x in found if x["__b"] == b and x["__u"] > r >= x["__u"] - x["__n"]) for k, (b, r) in goals.items()}
+    low, high = [at[math.floor(p)] for p in place], [at[math.ceil(p)] for p in place]
+    between = [a if a == b else a + (p - math.floor(p)) * (b - a) for a, b, p in zip(low, high, place)]
+    return rows.sparkSession.createDataFrame([(n, *between)], schema)

@@ -36,6 +36,8 @@ def abundance_strata(cells: DataFrame, min_cells: int = 100, min_per_group: int
 def abundance_deciles(cells: DataFrame) -> DataFrame:
     """(umi_decile, n_cells, n_ko, median_guide_umi, mean_guide_umi, ko_rate)."""
     d = quantile_bins(cut(cells.select("umi", "is_ko"), "cells"), "umi", 10, "umi_decile").where("umi_decile IS NOT NULL")
+    # Written, so that the edges are looked for once.
+    d = cut(d, "deciles")
     per = d.groupBy("umi_decile").agg(
         F.count(F.lit(1)).alias("n_cells"), F.sum("is_ko").cast("bigint").alias("n_ko"),
         F.avg("umi").alias("mean_guide_umi"), F.avg("is_ko").alias("ko_rate"),

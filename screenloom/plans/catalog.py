@@ -661,7 +661,9 @@ def n01_normalize(spark, d):
 
 @query(f"WITH {COUNTS_SQL}, t AS (SELECT cell_barcode, sum(value) AS t FROM counts GROUP BY 1) SELECT cell_barcode, gene, round(ln(1 + value * (SELECT median(t) FROM t) / t), 6) AS value FROM counts JOIN t USING (cell_barcode)")
 def n02_median_normalize(spark, d):
-    return ex.log1p(ex.normalize_total(counts(spark, d))).withColumn("value", F.round("value", 6))
+    # Read for the cells' sums and for the values.
+    rows = cut(counts(spark, d), "counts")
+    return ex.log1p(ex.normalize_total(rows)).withColumn("value", F.round("value", 6))
 
 
 @query(f"WITH {_BULK} SELECT perturbation, gene, round(ln(1 + value * 10000 / sum(value) OVER (PARTITION BY perturbation)), 6) AS value FROM bulk")
