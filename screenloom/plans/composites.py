@@ -265,19 +265,18 @@ def target_random(
     """(perturbation, cluster, order_index, group): targets and random perturbations clustered on
     their combined effects, standardised per gene; the control is a row of zeros."""
     chosen = sampling.targets_and_random(combined.select("perturbation").where(F.col("perturbation") != control), targets, "perturbation", None, match, seed)
-    chosen = chosen.where("role <> 'missing'")
-    genes = streams.feature_genes(combined, per_perturbation, least)
-    matrix = streams.effect_matrix(combined, chosen, genes)
+    chosen = cut(chosen.where("role <> 'missing'"), "chosen")
+    genes = cut(streams.feature_genes(combined, per_perturbation, least), "genes")
+    matrix = cut(streams.effect_matrix(combined, chosen, genes), "matrix")
     rows = chosen.select("perturbation", F.col("role").alias("group")).unionByName(combined.sparkSession.createDataFrame([(control, "control")], "perturbation string, group string"))
     index = gene_index(genes)
-    vectors = similarity.cell_vectors(matrix, index, "perturbation")
+    # Standardised values less what an absent entry has: distances are the same, and what is not
+    # stored stays away.
+    z = ex.standardize_genes(matrix, "perturbation", rows.count()).select("perturbation", "gene", (F.col("value") - F.col("zero")).alias("value"))
     width = index.agg(F.coalesce(F.max("gene_idx"), F.lit(0))).scalar()
-    vectors = rows.join(vectors, "perturbation", "left").withColumn("width", width)
-    vectors = vectors.select("perturbation", F.coalesce("features", F.array_repeat(F.lit(0.0), F.col("width") + 1)).alias("features"))
-    moments = vectors.select(F.posexplode("features").alias("i", "v")).groupBy("i").agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s"))
-    packed = moments.agg(F.array_sort(F.collect_list(F.struct("i", "m", "s")))).scalar()
-    scaled = F.zip_with("features", "packed", lambda v, e: F.when(e.s > 1e-12, (v - e.m) / e.s).otherwise(0.0))
-    clusters = similarity.cluster_profiles(vectors.withColumn("packed", packed).select("perturbation", scaled.alias("x")), k, "perturbation", seed)
+    vectors = rows.join(similarity.cell_vectors(z, index, "perturbation"), "perturbation", "left").withColumn("width", width)
+    x = F.coalesce("features", F.array_repeat(F.lit(0.0), F.col("width") + 1))
+    clusters = similarity.cluster_profiles(vectors.select("perturbation", x.alias("x")), k, "perturbation", seed)
     return clusters.join(rows, "perturbation").select("perturbation", "cluster", "order_index", "group")
 
 
