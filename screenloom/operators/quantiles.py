@@ -14,7 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenloom.session import cut
 
 BANDS = 64
 
@@ -30,14 +29,14 @@ def quantiles(df: DataFrame, groups: list[str], value: str, qs: list[float]) ->
     """(groups, n, q0, q1, ...): the quantiles ``qs`` of each group, linear between neighbours
     (a quantile that falls on a value, or between equal ones, is that value exactly), and the
     number of values. Nulls and NaN are left out; a null group is a group. Without groups there is
-    one row, none where there is no value. ``df`` is read twice."""
+    one row, none where there is no value. ``df`` is read more than once."""
     v = F.col(value).cast("double")
     # Zero has one sign.
     rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*groups, (v + F.lit(0.0)).alias("__v")).withColumn("__b", band_of(F.col("__v")))
     if not groups:
         return _of_all(rows, qs)
-    # Some thousand rows a group, written since windows and the second pass read them.
-    bands = cut(rows.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("__n")), "bands")
+    # Some thousand rows a group.
+    bands = rows.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("__n"))
     whole = Window.partitionBy(*groups)
     upto = whole.orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     run = bands.withColumn("n", F.sum("__n").over(whole)).withColumn("__u", F.sum("__n").over(upto))
