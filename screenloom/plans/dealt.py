@@ -48,14 +48,19 @@ def p1_label_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_control_cells(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of each data set under its own control label, as ``samples`` names it, however either
-    is spelled; none is zero. Labels that hold most of a data set are combined map-side first."""
+    """Rows of each chunk and day under its data set's own control label, as ``samples`` names it, however
+    either is spelled; a data set without such rows has one row with a null chunk and zeros. Labels
+    that hold most of a data set are combined map-side first."""
     named = load(spark, d, "samples").select("dataset", label_key("control_label").alias("control_key"))
     named = named.where("dataset IS NOT NULL AND control_key <> ''").distinct()
-    rows = load(spark, d, "cell_mixscape_labels").select("dataset", label_key("gene_target").alias("control_key"), "is_predicted_perturbed")
-    counts = skewed_aggregate(rows, ["dataset", "control_key"], {"n_rows": F.count(F.lit(1)), "n_ko": F.sum("is_predicted_perturbed").cast("bigint")})
+    rows = load(spark, d, "cell_mixscape_labels").select("dataset", "source_chunk", label_key("gene_target").alias("control_key"), "is_predicted_perturbed", "loaded_at")
+    counts = skewed_aggregate(
+        rows.withColumn("day", F.to_date("loaded_at")), ["dataset", "source_chunk", "day", "control_key"],
+        {"n_rows": F.count(F.lit(1)), "n_ko": F.sum("is_predicted_perturbed").cast("bigint")},
+    )
     found = named.join(counts, ["dataset", "control_key"], "left")
-    return found.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("n_rows", "n_ko")})
+    found = found.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("n_rows", "n_ko")})
+    return found.select("dataset", "control_key", "source_chunk", F.date_format("day", "yyyy-MM-dd").alias("day"), "n_rows", "n_ko")
 
 
 def _references(spark: SparkSession, d: str) -> DataFrame:
@@ -125,8 +130,8 @@ SELECT CASE WHEN {_KEY} IN ('', 'na', 'n/a', 'nan', 'null', 'none', '-') THEN NU
 FROM cell_mixscape_labels GROUP BY 1""",
     "p1_control_cells": f"""
 WITH n AS (SELECT DISTINCT dataset, lower(trim(control_label, ' ' || chr(9))) AS control_key FROM samples WHERE dataset IS NOT NULL AND trim(control_label, ' ' || chr(9)) <> ''),
-k AS (SELECT dataset, {_KEY} AS control_key, count(*) AS n_rows, coalesce(sum(is_predicted_perturbed), 0)::BIGINT AS n_ko FROM cell_mixscape_labels GROUP BY ALL)
-SELECT dataset, control_key, coalesce(n_rows, 0) AS n_rows, coalesce(n_ko, 0) AS n_ko FROM n LEFT JOIN k USING (dataset, control_key)""",
+k AS (SELECT dataset, source_chunk, strftime(loaded_at, '%Y-%m-%d') AS day, {_KEY} AS control_key, count(*) AS n_rows, coalesce(sum(is_predicted_perturbed), 0)::BIGINT AS n_ko FROM cell_mixscape_labels GROUP BY ALL)
+SELECT dataset, control_key, source_chunk, day, coalesce(n_rows, 0) AS n_rows, coalesce(n_ko, 0) AS n_ko FROM n LEFT JOIN k USING (dataset, control_key)""",
     "p4_found": f"""
 WITH {_REFS}
 SELECT DISTINCT source_table, dataset, cell_barcode, strftime(loaded_at, '%Y-%m') AS period FROM refs r
