@@ -9,8 +9,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from screenloom.operators.relational import chunk_labels
 from screenloom.session import cut, release
@@ -22,12 +24,22 @@ MOST_CENTRES = 2048
 
 
 def sparse_rows(values: DataFrame, genes: DataFrame, key: str) -> DataFrame:
-    """(key, idx, val): the stored values of each row over ``genes`` (gene, gene_idx from 0)."""
+    """(key, idx, val): the stored values of each row over ``genes`` (gene, gene_idx from 0), by
+    place."""
     entry = F.struct(F.col("gene_idx").cast("int").alias("i"), F.col("value").cast("double").alias("v"))
-    rows = values.join(genes, "gene").groupBy(key).agg(F.collect_list(entry).alias("e"))
+    rows = values.join(genes, "gene").groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("e"))
     return rows.select(key, F.col("e.i").alias("idx"), F.col("e.v").alias("val"))
 
 
+def sparse_vectors(rows: DataFrame, size: int, key: str) -> DataFrame:
+    """(key, v): sparse rows (key, idx, val) as vectors of ``size`` places; a row without entries
+    is all zeros. They are written as the columns that Spark keeps vectors in and read as such."""
+    places, entries = F.coalesce("idx", F.array().cast("array<int>")), F.coalesce("val", F.array().cast("array<double>"))
+    stored = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(size).alias("size"), places.alias("indices"), entries.alias("values"))
+    schema = StructType([StructField(key, rows.schema[key].dataType), StructField("v", VectorUDT())])
+    return cut(rows.select(key, stored.alias("v")), "vectors", schema=schema)
+
+
 def _parts(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
     """Some rows of a batch of sparse rows at a time: (rows, places, values, first entries)."""
     size = np.asarray(batch.column("idx").value_lengths())
@@ -263,13 +275,15 @@ def communities(neighbours: DataFrame, key: str, rounds: int = 20) -> DataFrame:
 
 
 def cluster_profiles(vectors: DataFrame, k: int, key: str, seed: int = 0) -> DataFrame:
-    """(key, cluster, order_index): a hierarchical clustering by repeated bisection, clusters
-    numbered from 1 by size and then least name, and members ordered within. Agglomeration
-    needs all pairs of rows in one place; bisection is its distributed counterpart."""
-    vectors = cut(vectors.select(key, "x").where(F.col(key).isNotNull()), "profiles")
-    data = vectors.select(key, array_to_vector("x").alias("v"))
+    """(key, cluster, order_index) of rows (key, x), or (key, v) of Spark's own vectors, which may
+    be sparse: a hierarchical clustering by repeated bisection, clusters numbered from 1 by size
+    and then least name, and members ordered within. Agglomeration needs all pairs of rows in one
+    place; bisection is its distributed counterpart."""
+    data = vectors.where(F.col(key).isNotNull())
+    if "v" not in data.columns:
+        data = cut(data.select(key, "x"), "profiles").select(key, array_to_vector("x").alias("v"))
     if k < 2 or data.limit(3).count() < 3:
-        return chunk_labels(vectors, key, 1).select(key, F.lit(1).alias("cluster"), (F.col("chunk_index") + 1).alias("order_index"))
+        return chunk_labels(data, key, 1).select(key, F.lit(1).alias("cluster"), (F.col("chunk_index") + 1).alias("order_index"))
     model = BisectingKMeans(k=k, featuresCol="v", predictionCol="c", seed=seed).fit(data)
     rows = model.transform(data).select(key, "c")
     sizes = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("least"))

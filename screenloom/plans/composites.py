@@ -273,10 +273,10 @@ def target_random(
     # Standardised values less what an absent entry has: distances are the same, and what is not
     # stored stays away.
     z = ex.standardize_genes(matrix, "perturbation", rows.count()).select("perturbation", "gene", (F.col("value") - F.col("zero")).alias("value"))
-    width = index.agg(F.coalesce(F.max("gene_idx"), F.lit(0))).scalar()
-    vectors = rows.join(similarity.cell_vectors(z, index, "perturbation"), "perturbation", "left").withColumn("width", width)
-    x = F.coalesce("features", F.array_repeat(F.lit(0.0), F.col("width") + 1))
-    clusters = similarity.cluster_profiles(vectors.select("perturbation", x.alias("x")), k, "perturbation", seed)
+    vectors = rows.join(similarity.sparse_rows(z, index, "perturbation"), "perturbation", "left")
+    # The genes grow with the rows: a dense matrix would grow as their product.
+    vectors = similarity.sparse_vectors(vectors, max(1, index.count()), "perturbation")
+    clusters = similarity.cluster_profiles(vectors, k, "perturbation", seed)
     return clusters.join(rows, "perturbation").select("perturbation", "cluster", "order_index", "group")
 
 

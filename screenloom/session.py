@@ -9,6 +9,7 @@ import uuid
 import weakref
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,15 +51,16 @@ def _tidy(spark: SparkSession, root: str) -> None:
         drop_path(spark, root)
 
 
-def cut(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: the plan restarts at the files, so
-    an iteration neither grows its lineage nor depends on blocks that one executor holds."""
+def cut(df: DataFrame, name: str, partition_by: list[str] | None = None, schema: StructType | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, as ``schema`` where it is given: the
+    plan restarts at the files, so an iteration neither grows its lineage nor depends on blocks
+    that one executor holds."""
     path = scratch_path(df.sparkSession, name)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(schema or df.schema).parquet(path)
     _PATHS[id(out)] = (weakref.ref(out, lambda _, k=id(out): _PATHS.pop(k, None)), path)
     return out
 

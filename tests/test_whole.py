@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from screenloom.functions import pvalues
-from screenloom.operators import expression, models
+from screenloom.operators import expression, models, similarity
 from screenloom.plans import catalog
 from screenloom.plans import composites as co
 
@@ -103,3 +103,23 @@ def test_greedy_genes_skip_and_go_on(spark):
 def test_axes_and_effects_are_registered(spark, sf):
     assert {"axis_1", "axis_2"} <= set(catalog.c06_postprocess(spark, sf).columns)
     assert "effect_l2_vs_control" in catalog.c03_effects(spark, sf).columns
+
+
+def test_targets_and_random_are_clustered_as_stored(spark, monkeypatch):
+    """What is not stored never becomes a number; distances are those of the dense rows."""
+    r = np.random.default_rng(5)
+    effects = [(f"p{i:02d}", f"g{i % 4}{g}", float(r.normal(1, 0.1))) for i in range(40) for g in range(5)]
+    combined = spark.createDataFrame(effects, "perturbation string, gene string, effect_for_cluster double")
+    targets = spark.createDataFrame([(f"p{i:02d}",) for i in range(20)], "perturbation string")
+    fitted, fit = [], similarity.BisectingKMeans.fit
+    monkeypatch.setattr(similarity.BisectingKMeans, "fit", lambda self, df: (fitted.append(df), fit(self, df))[1])
+    found = {x.perturbation: x.cluster for x in co.target_random(combined, targets, "ctl", k=4).collect()}
+    vectors = {x.perturbation: x.v for x in fitted[0].collect()}
+    assert len(found) == len(vectors) == 41
+    assert sum(len(v.values) for v in vectors.values()) == len(effects) and len(vectors["ctl"].values) == 0
+    dense = np.zeros((41, 20))
+    for p, g, e in effects:
+        dense[int(p[1:]), int(g[1]) * 5 + int(g[2])] = e
+    want = (dense - dense.mean(0)) / dense.std(0)
+    got = np.array([vectors[p].toArray() for p in [*(f"p{i:02d}" for i in range(40)), "ctl"]])
+    assert got - got[-1] == pytest.approx(want - want[-1])
