@@ -123,3 +123,15 @@ def test_targets_and_random_are_clustered_as_stored(spark, monkeypatch):
     want = (dense - dense.mean(0)) / dense.std(0)
     got = np.array([vectors[p].toArray() for p in [*(f"p{i:02d}" for i in range(40)), "ctl"]])
     assert got - got[-1] == pytest.approx(want - want[-1])
+
+
+def test_each_method_is_clustered_as_stored(spark, monkeypatch):
+    effects = [(f"p{i}", f"g{(i + j) % 30}", 1.0 + j) for i in range(30) for j in range(2)]
+    combined = spark.createDataFrame(effects, "perturbation string, gene string, effect_for_cluster double")
+    fitted, fit = [], similarity.BisectingKMeans.fit
+    monkeypatch.setattr(similarity.BisectingKMeans, "fit", lambda self, df: (fitted.append(df), fit(self, df))[1])
+    found = co.target_random_by_method({"a": combined, "b": combined}, combined.where("gene < 'g2'").select("perturbation"), "ctl", k=3)
+    assert len(fitted) == 2
+    for df, rows in zip(fitted, (found.where(f"method = 'deg_{m}'").count() for m in "ab")):
+        vectors = [x.v for x in df.collect()]
+        assert len(vectors) == rows and sum(len(v.values) for v in vectors) == 2 * (rows - 1)
