@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from screenloom.functions import pvalues
 from screenloom.operators import expression, models, similarity
@@ -135,3 +136,31 @@ def test_each_method_is_clustered_as_stored(spark, monkeypatch):
     for df, rows in zip(fitted, (found.where(f"method = 'deg_{m}'").count() for m in "ab")):
         vectors = [x.v for x in df.collect()]
         assert len(vectors) == rows and sum(len(v.values) for v in vectors) == 2 * (rows - 1)
+
+
+def test_cells_with_equal_vectors_ask_once(spark, monkeypatch):
+    """More copies than neighbours, of cells and of controls; each cell's neighbours as of all pairs."""
+    r = np.random.default_rng(6)
+    base = r.normal(0, 1, (12, 3))
+    at = np.r_[r.integers(0, 12, 100), r.integers(3, 12, 100), [0] * 12]
+    names = [f"c{i:03d}" for i in r.permutation(212)]
+    rows = [(n, "ctl" if i < 100 else "p", base[v].tolist()) for i, (n, v) in enumerate(zip(names, at))]
+    df = spark.createDataFrame(rows, "cell_barcode string, perturbation string, x array<double>")
+    asked, search = [], similarity.nearest_neighbours
+    for module in (models, similarity):
+        monkeypatch.setattr(module, "nearest_neighbours", lambda v, *a, among, **o: (asked.append((v.count(), among.count())), search(v, *a, among=among, **o))[1])
+    found = models.control_neighbours(df, "ctl", 4)
+    assert asked == [(12, 12)]
+    near, alike = found
+    got = {}
+    for x in alike.join(near, "asker").collect():
+        got.setdefault(x.cell_barcode, set()).add(x.neighbour)
+    for i, n in enumerate(names):
+        d = np.round(np.sqrt(((base[at[:100]] - base[at[i]]) ** 2).sum(1)), 9)
+        assert got[n] == {m for _, m in sorted((d[j], names[j]) for j in range(100) if j != i)[:4]}
+    assert alike.count() == len(got) == 212 and alike.select("asker").distinct().count() < 100
+    # Fewer controls than asked for.
+    few = df.where("perturbation = 'p'").unionByName(df.where("perturbation = 'ctl'").limit(2))
+    near, alike = models.control_neighbours(few, "ctl", 4)
+    each = {x.cell_barcode: x.n for x in alike.join(near, "asker").groupBy("cell_barcode").agg(F.count("*").alias("n")).collect()}
+    assert sorted(each.values()) == [1, 1] + [2] * 112
