@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenloom import schema
 from screenloom.functions.columns import as_double, finite, neg_log10
 from screenloom.operators.relational import full_outer_chain, pairwise_correlation, top_per_group, z_scores
+from screenloom.session import cut
 from screenloom.sources.tables import path_exists
 
 
@@ -44,25 +45,37 @@ def significant(max_p: float = 0.05, min_effect: float = 0.25, max_rank: int = 1
     return p & F.when(F.col("effect_mode") == "rank", rank).otherwise(F.abs("effect_value") >= min_effect)
 
 
-def combine_streams(streams: list[DataFrame], n_streams: int | None = None, **limits) -> DataFrame:
+def combine_streams(streams: list[DataFrame], n_streams: int | None = None, names: list[str] | None = None, **limits) -> DataFrame:
     """(perturbation, gene, effect_for_cluster, abs_effect, n_streams_detected): effects that are
     not significant count as 0 in the sum, which is divided by the number of streams; the other
-    two figures count all rows."""
+    two figures count all rows. With ``names``, all names that streams have, the rows are shuffled
+    once: a distinct count would shuffle them by name first. Another name is an error."""
     rows = reduce(DataFrame.unionByName, streams)
     rows = rows.withColumn("counted", F.when(significant(**limits), F.col("effect_value")).otherwise(0.0))
     return rows.groupBy("perturbation", "gene").agg(
         (F.sum("counted") / (n_streams or len(streams))).alias("effect_for_cluster"),
-        F.max(F.abs("effect_value")).alias("abs_effect"), F.count_distinct("stream").alias("n_streams_detected"),
+        F.max(F.abs("effect_value")).alias("abs_effect"), _distinct_names("stream", names).alias("n_streams_detected"),
     )
 
 
+def _distinct_names(column: str, names: list[str] | None) -> Column:
+    """The distinct count of a column; of up to 63 known names, by a bit for each."""
+    if not names or len(names) > 63:
+        return F.count_distinct(column)
+    bit = F.when(F.col(column).isNull(), F.lit(0).cast("bigint"))
+    for k, name in enumerate(names):
+        bit = bit.when(F.col(column) == name, F.lit(1 << k).cast("bigint"))
+    other = F.raise_error(F.concat(F.lit("not among the names: "), F.col(column))).cast("bigint")
+    return F.bit_count(F.bit_or(bit.otherwise(other))).cast("bigint")
+
+
 def feature_genes(combined: DataFrame, per_perturbation: int, least: int) -> DataFrame:
     """The genes to cluster on: the strongest ``per_perturbation`` of each perturbation (0: all),
     topped up with the globally strongest until there are ``least``."""
     size = F.abs("effect_for_cluster")
     if per_perturbation <= 0:
         return combined.select("gene").distinct()
-    own = top_per_group(combined, ["perturbation"], [size.desc(), F.col("gene")], per_perturbation).select("gene").distinct()
+    own = cut(top_per_group(combined, ["perturbation"], [size.desc(), F.col("gene")], per_perturbation).select("gene").distinct(), "own")
     have = own.count()
     if have >= least:
         return own

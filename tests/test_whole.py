@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from screenloom.functions import pvalues
-from screenloom.operators import expression, models, similarity
+from screenloom.operators import expression, models, similarity, streams
 from screenloom.plans import catalog
 from screenloom.plans import composites as co
 
@@ -164,3 +164,32 @@ def test_cells_with_equal_vectors_ask_once(spark, monkeypatch):
     near, alike = models.control_neighbours(few, "ctl", 4)
     each = {x.cell_barcode: x.n for x in alike.join(near, "asker").groupBy("cell_barcode").agg(F.count("*").alias("n")).collect()}
     assert sorted(each.values()) == [1, 1] + [2] * 112
+
+
+def test_known_streams_are_shuffled_once(spark):
+    """A distinct count beside sums is two shuffles of all rows; of known names it is one."""
+    rows = [("p", "g", 1.0, 0.01, None, "a", "logfoldchange"), ("p", "g", -3.0, 0.5, None, "b", "logfoldchange"), ("p", "g", 2.0, None, None, "a", "logfoldchange"),
+            ("p", "h", 0.1, 0.01, None, "b", "logfoldchange"), ("q", "g", 4.0, 0.01, None, None, "logfoldchange")]
+    both = spark.createDataFrame(rows, "perturbation string, gene string, effect_value double, pval_adj double, rank int, stream string, effect_mode string")
+    known, counted = streams.combine_streams([both], 2, names=["a", "b"]), streams.combine_streams([both], 2)
+    assert known._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(known.collect()) == sorted(counted.collect()) == [("p", "g", 1.5, 3.0, 2), ("p", "h", 0.0, 0.1, 1), ("q", "g", 2.0, 4.0, 0)]
+    assert known.dtypes == counted.dtypes
+    with pytest.raises(Exception, match="not among the names: b"):
+        streams.combine_streams([both], 2, names=["a"]).collect()
+
+
+def test_the_twins_streams_are_shuffled_once(spark, sf):
+    plan = catalog._combined(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_methods_with_the_same_effects_share_their_genes(spark, monkeypatch):
+    effects = [(f"p{i}", f"g{(i + j) % 30}", 1.0 + j) for i in range(30) for j in range(2)]
+    combined = spark.createDataFrame(effects, "perturbation string, gene string, effect_for_cluster double")
+    other = combined.where("gene <> 'g0'")
+    asked, genes = [], streams.feature_genes
+    monkeypatch.setattr(streams, "feature_genes", lambda df, *limits: (asked.append((df, *limits)), genes(df, *limits))[1])
+    found = co.target_random_by_method({"a": combined, "b": combined, "c": other}, combined.where("gene < 'g2'").select("perturbation"), "ctl", k=3, per_perturbation=1)
+    assert [(df is combined, *limits) for df, *limits in asked] == [(True, 1, 20), (False, 1, 20)]
+    assert {x.method for x in found.select("method").distinct().collect()} == {"deg_a", "deg_b", "deg_c"}
