@@ -1,11 +1,13 @@
 """Whole jobs: no day, size, pattern, control or gene is left out."""
 
 import math
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from screenloom import session
 from screenloom.functions import pvalues
 from screenloom.operators import expression, models, similarity, streams
 from screenloom.plans import catalog
@@ -193,3 +195,61 @@ def test_methods_with_the_same_effects_share_their_genes(spark, monkeypatch):
     found = co.target_random_by_method({"a": combined, "b": combined, "c": other}, combined.where("gene < 'g2'").select("perturbation"), "ctl", k=3, per_perturbation=1)
     assert [(df is combined, *limits) for df, *limits in asked] == [(True, 1, 20), (False, 1, 20)]
     assert {x.method for x in found.select("method").distinct().collect()} == {"deg_a", "deg_b", "deg_c"}
+
+
+def test_cells_with_equal_values_are_one_row_of_the_model(spark, monkeypatch):
+    """More copies than neighbours; each cell's score and class as from all pairs of cells."""
+    r = np.random.default_rng(8)
+    base = r.poisson(3, (14, 6)).astype(float)
+    base[5:, :2] += 6
+    at = np.r_[r.integers(0, 8, 120), r.integers(4, 14, 80)]
+    names, label = [f"c{i:03d}" for i in r.permutation(200)], np.array(["ctl"] * 120 + ["p"] * 80)
+    counts = spark.createDataFrame([(n, f"g{j}", float(base[v, j])) for n, v in zip(names, at) for j in range(6) if base[v, j] > 0], "cell_barcode string, gene string, value double")
+    cells = spark.createDataFrame([*zip(names, label.tolist()), ("bare", "p")], "cell_barcode string, perturbation string")
+    model, written = co.Defaults(n_pcs=3, neighbours=4), {}
+    make = co.cut
+    monkeypatch.setattr(co, "cut", lambda df, name, *a, **o: written.setdefault(name, make(df, name, *a, **o)))
+    classes, deltas, scores = co.run_mixscape(counts, cells, "ctl", model)
+    kinds = len(set(zip(at.tolist(), label.tolist())))
+    assert written["components"].count() == kinds and written["chosen"].count() > 0
+    assert kinds < written["scores"].count() + written["kinds"].where("perturbation = 'ctl'").count() < 40
+
+    values = co.prepared(counts, model.target_sum)
+    pcs = {x.cell_barcode: np.array(x.x) for x in similarity.principal_components(values, co.gene_index(values), 3).collect()}
+    x, layer = np.log1p(base * 1e4 / base.sum(1, keepdims=True))[at], []
+    for i, n in enumerate(names):
+        near = sorted((round(float(np.sqrt(((pcs[names[j]] - pcs[n]) ** 2).sum())), 9), names[j], j) for j in range(120) if j != i)[:4]
+        layer.append(x[i] - x[[j for *_, j in near]].mean(0))
+    layer = np.array(layer)
+    weight = np.zeros(6)
+    for g in written["chosen"].collect():
+        weight[int(g.gene[1])] = g.weight
+    c = layer[:120].mean(0)
+    want = {n: (v - c) @ weight / (weight @ weight) for n, v in zip(names[120:], layer[120:])} | {"bare": -c @ weight / (weight @ weight)}
+    got = {s.cell_barcode: s.projection for s in scores.collect()}
+    assert got.keys() == want.keys() and all(abs(got[n] - want[n]) < 1e-9 for n in want)
+    found = {k.cell_barcode: k for k in classes.collect()}
+    assert len(found) == classes.count() == 201 and all(found[n].mixscape_class_global == "NT" for n in names[:120])
+    sure = models.classify(scores, models.control_moments(*_long(spark, layer[:120], names, weight)), "ctl", cells)
+    assert {k.cell_barcode: round(k.p_ko, 6) for k in sure.collect()} == {n: round(k.p_ko, 6) for n, k in found.items()}
+    assert {d.perturbation: d.n_cells for d in deltas.collect()} == {"ctl": 120, "p": 80}
+
+
+def _long(spark, layer, names, weight):
+    values = spark.createDataFrame([(n, f"g{j}", float(v)) for n, row in zip(names, layer) for j, v in enumerate(row)], "cell_barcode string, gene string, value double")
+    cells = spark.createDataFrame([(n, "ctl") for n in names[: len(layer)]], "cell_barcode string, perturbation string")
+    genes = spark.createDataFrame([("p", f"g{j}", float(w)) for j, w in enumerate(weight) if w], "perturbation string, gene string, weight double")
+    return values, cells, genes, "ctl"
+
+
+def test_a_write_leaves_no_shuffle(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for f in blocks.getAllFiles().mkString(",").split(",") if "shuffle_" in f and f.endswith(".data")}
+    before, setting = shuffles(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    kept = session.cut(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "kept")
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before and kept.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
